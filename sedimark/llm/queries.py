@@ -4,16 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimark.llm import simhash
+from sedimark.llm import linededup, quality, sharding, simhash, suffixdedup
 from sedimark.llm.common import documents
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digests(linededup.dedup_lines(documents(spark, sf_dir)))
+
+
+def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digests(suffixdedup.remove_repeats(documents(spark, sf_dir)))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_minimax_sharding": op3_minimax_sharding,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": linededup.ORACLE,
+}
