@@ -62,6 +62,13 @@ def given_back(name: str = "doc_id"):
     return F.when(F.col(name) != NULL_ID, F.col(name)).alias(name)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def groups_for(total_bytes: int, per_group: int = GROUP_BYTES) -> int:
     return max(1, -(-int(total_bytes or 0) // per_group))
 

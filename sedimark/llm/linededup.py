@@ -15,10 +15,12 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sedimark.llm.common import drop_written, given_back, keyed, portions, texts, written
+from sedimark.llm.common import NULL_ID, drop_written, free_name, keyed, portions, texts, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FAN = 20, 3, 4, 2
 _BLANK = b" \t\n\x0b\x0c\r"
@@ -108,36 +110,48 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fan: int = FAN) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept): ``docs`` without the lines repeated across documents.
-
-    Lines are cut at \\n. A key of at least ``min_chars`` code points found in at least ``min_docs`` documents keeps
-    its lines only in the largest doc_id that holds it. kept: the other lines joined by \\n, null when every line
-    went and otherwise possibly empty. Null or empty text: one empty line, kept. Rows that repeat a doc_id are
-    documents of their own with the same id: they count apart and keep or lose lines together. A null doc_id counts
-    as the smallest id. Other columns are ignored; an empty table gives an empty result.
+    """``docs`` with the text of every row, in place, less the lines repeated across documents.
+
+    Two columns are added, ``n_lines`` and ``n_dropped`` (replaced where the table has such columns); n_chars, where
+    the table has it, follows the text. Lines are cut at \\n. A key of at least ``min_chars`` code points found in at
+    least ``min_docs`` documents keeps its lines only in the largest doc_id that holds it; the other lines are joined
+    by \\n, and a document that loses all has the empty text. Null or empty text: one empty line, kept; the text
+    becomes empty. Rows that repeat a doc_id are documents of their own with the same id: they count apart and keep
+    or lose lines together. A null doc_id counts as the smallest id and stays null. An empty table gives an empty
+    result.
     """
-    rows = keyed(docs)
-    lost = repeated_lines(rows, min_chars, min_docs, batches, fan)
-    both = rows.join(lost, "doc_id", "left")
+    base = docs.drop("n_lines", "n_dropped")
+    lost = repeated_lines(keyed(docs), min_chars, min_docs, batches, fan)
+    id_, keys_ = free_name(base, "_id"), free_name(base, "_keys")
+    rows = base.withColumn("text", F.coalesce("text", F.lit(""))).withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    both = rows.join(lost.select(F.col("doc_id").alias(id_), F.col("keys").alias(keys_)), id_, "left").drop(id_)
+    names = base.columns
+    chars = "n_chars" in names
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(parts, "text"):
             out: list[list] = [[], [], []]
-            for text, keys in zip(texts(part.column("text")), part.column("keys").to_pylist()):
+            for text, keys in zip(texts(part.column("text")), part.column(keys_).to_pylist()):
                 lines = text.split(b"\n")
                 gone = set(keys or ())
                 kept = [x for x in lines if line_key(x, min_chars) not in gone] if gone else lines
                 out[0].append(len(lines))
                 out[1].append(len(lines) - len(kept))
-                out[2].append(b"\n".join(kept) if kept else None)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()).cast(pa.string())], ["doc_id", "n_lines", "n_dropped", "kept"])
+                out[2].append(b"\n".join(kept))
+            columns = {n: part.column(n) for n in names}
+            columns["text"] = pa.array(out[2], pa.binary()).cast(columns["text"].type)
+            if chars:
+                columns["n_chars"] = pc.utf8_length(columns["text"]).cast(columns["n_chars"].type)
+            columns |= {"n_lines": pa.array(out[0], pa.int64()), "n_dropped": pa.array(out[1], pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return both.mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept string")
+    added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+    return both.mapInArrow(run, T.StructType([*base.schema.fields, *added]))
 
 
 def digests(deduped: DataFrame) -> DataFrame:
-    """The result of dedup_lines() with the kept text as its SHA-256."""
-    return deduped.select(given_back(), "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+    """(doc_id, n_lines, n_dropped, kept_sha256): the result of dedup_lines() with the text as its SHA-256."""
+    return deduped.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 ORACLE = r"""

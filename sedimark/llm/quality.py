@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.llm.common import portions, texts
+from sedimark.llm.common import free_name, portions, texts
 
 #: Most labelled rows the model is fitted on.
 SAMPLE = 6000
@@ -201,7 +201,5 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
 def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier predicts as good."""
-    name = "_quality_score"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_quality_score")
     return with_score(docs, train(docs, labels, sample), name).where(F.col(name) >= threshold).drop(name)

@@ -200,3 +200,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) ->
     label = label.join(least, "component").select("fp", "component_id")
     out = prints.join(label, "fp")
     return out.select(given_back(), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), given_back("component_id"))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each group: the one of smallest doc_id.
+
+    Rows that share an id are one document here: they stay or go together.
+    """
+    found = near_duplicates(docs, width, block)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")

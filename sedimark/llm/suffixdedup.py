@@ -26,8 +26,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sedimark.llm.common import given_back, groups_for, keyed, raw, written
+from sedimark.llm.common import NULL_ID, given_back, groups_for, keyed, raw, written
 
 SPAN, GRAM = 50, 16
 REACH = SPAN - GRAM  # bytes before a minimizer that its windows can take in
@@ -166,6 +167,7 @@ def _ints(table: pa.Table, kind: int) -> np.ndarray:
 
 
 _COPIES, _SHARED, _MARKS = 0, 1, 2
+_CARRY = "carried_"
 _OUT = "part int, grp int, blob binary"
 
 
@@ -342,7 +344,7 @@ def covered(size: int, starts: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def _cut(key, docs: pa.Table, side: pa.Table) -> pa.Table:
-    """Step 4: every document of a group without its marked windows."""
+    """Step 4: every document of a group, with its further columns, without its marked windows."""
     group = _Group(docs, _ints(side, _COPIES))
     marks = _ints(side, _MARKS).reshape(-1, 2)
     row = (marks[:, 0] >> np.uint64(32)).astype(np.int64)
@@ -363,11 +365,13 @@ def _cut(key, docs: pa.Table, side: pa.Table) -> pa.Table:
         out[0].append(len(text) - len(kept))
         out[1].append(spans)
         out[2].append(kept.tobytes())
-    return pa.table([pa.array(group.ids), pa.array(group.size), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    columns = [pa.array(group.ids), pa.array(group.size), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())]
+    carried = docs.select([c for c in docs.column_names if c.startswith(_CARRY)]).take(pa.array(group.order))
+    return pa.table([*columns, *carried.columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carried.column_names])
 
 
-def remove_repeats(docs: DataFrame, group_bytes: int | None = None, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of ``docs``.
+def remove_repeats(docs: DataFrame, group_bytes: int | None = None, hot: int = HOT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of ``docs``, then the columns named in ``carry``.
 
     kept: the bytes that no ``SPAN``-byte string starting in a document of smaller doc_id covers; cuts may fall inside
     a code point. n_spans: maximal removed runs. Null text: empty. Strings are judged on the input. A null doc_id
@@ -388,13 +392,47 @@ def remove_repeats(docs: DataFrame, group_bytes: int | None = None, hot: int = H
 
     side = "grp int, kind int, blob binary"
     copied = written(copies.groupBy("grp").applyInArrow(listed, side), "copies")
-    texts = rows.select(group, "doc_id", F.col("text").cast("binary").alias("text")).repartition(groups, "grp").groupBy("grp")
+    carried = [docs[c].alias(_CARRY + c) for c in carry]
+    whole = docs.select(
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+        F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"),
+        *carried,
+    )
+    texts = whole.select(group, "*").repartition(groups, "grp").groupBy("grp")
     hashes = texts.cogroup(copied.groupBy("grp")).applyInArrow(_gather_hashes(groups), _OUT)
     shared = written(hashes.groupBy("part").applyInArrow(_shared_hashes(hot), side), "shared").unionByName(copied)
     contexts = texts.cogroup(shared.groupBy("grp")).applyInArrow(_contexts(groups), _OUT)
     marks = written(contexts.groupBy("part").applyInArrow(_marks, side), "marks").unionByName(copied)
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return texts.cogroup(marks.groupBy("grp")).applyInArrow(_cut, out)
+    out = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = T.StructType([*out.fields, *(T.StructField(_CARRY + c, docs.schema[c].dataType) for c in carry)])
+    cut = texts.cogroup(marks.groupBy("grp")).applyInArrow(_cut, out)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(F.col(_CARRY + c).alias(c) for c in carry if c not in ("doc_id", "text")))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, with the text of every row less its repeated strings.
+
+    Bytes of a code point that a cut went through are dropped too, so that the text stays valid UTF-8. n_chars, where
+    the table has it, follows the text. A null doc_id stays null; null text becomes empty.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    spare = tuple(c for c in others if c in ("n_bytes", "n_removed", "n_spans", "kept"))
+    named = docs.select(*(docs[c].alias("own_" + c if c in spare else c) for c in docs.columns))
+    removed = remove_repeats(named, carry=tuple("own_" + c if c in spare else c for c in others))
+    names = [f.name for f in removed.schema.fields[5:]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.array([x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *(batch.column(n) for n in names)], ["doc_id", "text", *names])
+
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), *removed.schema.fields[5:]]
+    out = removed.mapInArrow(run, T.StructType(fields))
+    of = {c: F.col("own_" + c if c in spare else c).alias(c) for c in others}
+    of |= {"doc_id": given_back().cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("text")}
+    if "n_chars" in of:
+        of["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*(of[c] for c in docs.columns))
 
 
 def digests(removed: DataFrame) -> DataFrame:
