@@ -1,6 +1,613 @@
-"""All queries of the engine's own operators with their SQL oracles."""
+"""All queries of the engine's own operators over the benchmark tables, each with its SQL oracle.
+
+A query is registered with @query, next to the DuckDB SQL that must give the same rows.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sedimark.functions import hashing, text, urls
+from sedimark.operators import er, graph, ledger, orgs, quality, runs
+from sedimark.operators.scratch import global_rank
+from sedimark.plans import bindings as b
+from sedimark.sources import details, listings
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return keep
+
+
+# --- SQL fragments of the oracles ----------------------------------------------------------------------------------
+
+_WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _norm(x: str) -> str:
+    return f"trim(regexp_replace(coalesce({x}, ''), '{_WS}', ' ', 'g'))"
+
+
+def _key(x: str) -> str:
+    return f"replace(lower({_norm(x)}), 'ß', 'ss')"
+
+
+def _signature(x: str) -> str:
+    out = f"' ' || regexp_replace({_key(x)}, '[^a-z0-9ąćęłńóśźż]+', ' ', 'g') || ' '"
+    for form in ("spółka z ograniczoną odpowiedzialnością", "sp *z *o *o", "spółka komandytowa", "sp *k", "s *a", "ltd", "limited"):
+        out = f"regexp_replace({out}, ' {form} ', '  ', 'g')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+def _tokens(x: str) -> str:
+    return f"list_distinct(list_transform(list_filter(regexp_extract_all({x}, '[a-zA-Z0-9+#.]+'), lambda y: length(y) > 1), lambda y: lower(y)))"
+
+
+def _domain(x: str) -> str:
+    host = f"lower(regexp_replace(regexp_replace(regexp_extract({x}, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':.*$', ''))"
+    host = f"regexp_replace({host}, '^\\.+|\\.+$', '', 'g')"
+    return f"CASE WHEN {host} NOT IN ('', 'theprotocol.it', 'www.theprotocol.it', 'justjoin.it', 'www.justjoin.it') THEN regexp_replace({host}, '^www\\.', '') END"
+
+
+_ORD = "struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, d := l_suppkey, e := l_extendedprice)"
+_SENIOR = "['intern','junior','lead','mid','middle','principal','senior','staff','trainee']"
+
+_OFFER_EDGES = f"""
+edges AS (
+  SELECT 'OFFER:' || l_orderkey AS "from", 'OFFER_MENTIONS_NODE' AS relation, 'TECHNOLOGY:' || p_name AS "to" FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+  UNION ALL SELECT 'OFFER:' || l_orderkey, 'OFFER_MENTIONS_NODE', 'PROCESS:' || s_name FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+  UNION ALL SELECT 'OFFER:' || o_orderkey, 'HAS_PRIORITY', 'PRIORITY:' || o_orderpriority FROM orders
+  UNION ALL SELECT 'STATUS:' || o_orderstatus, 'STATUS_OF', o_orderpriority FROM orders
+)"""
+_OFFER_NODES = f"""
+WITH {_OFFER_EDGES}, offer AS (SELECT 'OFFER:' || o_orderkey AS id, 'OFFER' AS type, o_orderstatus AS label, 'customer ' || o_custkey AS company FROM orders),
+ends AS (SELECT DISTINCT id FROM (SELECT "from" AS id FROM edges UNION ALL SELECT "to" FROM edges) WHERE id NOT IN (SELECT id FROM offer)),
+nodes AS (
+  SELECT * FROM offer UNION ALL
+  SELECT id, CASE WHEN instr(id, ':') > 0 THEN split_part(id, ':', 1) ELSE 'CONCEPT' END, CASE WHEN instr(id, ':') > 0 THEN substr(id, instr(id, ':') + 1) ELSE id END, NULL FROM ends
+)"""
+
+
+# --- graph and frequencies ------------------------------------------------------------------------------------------
+
+
+def _snapshot(name: str, table: str, join: str, term: str) -> str:
+    return f"""
+WITH t AS (SELECT {term} AS name, count(*) AS count, min({name}) AS first FROM {table} {join} GROUP BY 1)
+SELECT row_number() OVER (ORDER BY count DESC, first)::BIGINT AS rank, name, count::BIGINT AS count FROM t"""
+
+
+@query(_snapshot(_ORD, "lineitem", "JOIN part ON p_partkey = l_partkey", "p_name"))
+def market_snapshot_technologies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.ranked_terms(b.mentions_of_parts(spark, sf_dir), "p_name", b.ORDINAL)
+
+
+@query(_snapshot(_ORD, "lineitem", "JOIN supplier ON s_suppkey = l_suppkey", "s_name"))
+def market_snapshot_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.ranked_terms(b.mentions_of_suppliers(spark, sf_dir), "s_name", b.ORDINAL)
+
+
+@query(_snapshot("event_id", "events", "", "event_type"))
+def market_snapshot_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.ranked_terms(b.table(spark, sf_dir, "events"), "event_type", ["event_id"])
+
+
+@query('WITH ' + _OFFER_EDGES + ' SELECT "from", relation, "to" FROM edges')
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.edges(b.offers(spark, sf_dir)).select("from", "relation", "to")
+
+
+@query(_OFFER_NODES + " SELECT * FROM nodes")
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nodes(b.offers(spark, sf_dir))
+
+
+@query(_OFFER_NODES + " SELECT type, count(*)::BIGINT AS n FROM nodes GROUP BY type")
+def graph_node_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nodes(b.offers(spark, sf_dir)).groupBy("type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'OFFER:' || o_custkey AS id, 'OFFER' AS type, max_by(o_orderstatus, o_orderkey) AS label, max_by(o_orderpriority, o_orderkey) AS company FROM orders GROUP BY o_custkey")
+def offer_node_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = b.table(spark, sf_dir, "orders")
+    return graph.offer_nodes(orders.select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("role"), F.col("o_orderpriority").alias("company"), F.col("o_orderkey").alias("ordinal")))
+
+
+@query("SELECT count(*)::BIGINT AS offers FROM orders")
+def offer_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "orders").agg(F.count("*").alias("offers"))
+
+
+# --- text, hashes, URLs --------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, {_norm('text')} AS norm_text FROM documents")
+def norm_text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "documents").select("doc_id", text.norm_text(F.col("text")).alias("norm_text"))
+
+
+@query(f"SELECT doc_id, {_key('text')} AS norm_key FROM documents")
+def norm_key_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "documents").select("doc_id", text.norm_key(F.col("text")).alias("norm_key"))
+
+
+@query(f"""SELECT doc_id, sha256('{{"body_text":' || to_json({_norm('text')}) || ',"company_mention":' || to_json({_norm('source')}) || ',"title":' || to_json({_norm('lang')}) || '}}') AS content_hash FROM documents""")
+def content_hash_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "documents").select("doc_id", hashing.content_hash(F.col("lang"), F.col("source"), F.col("text")).alias("content_hash"))
+
+
+@query("SELECT page_id, sha256(html) AS payload_sha256, 'web/' || page_id || '/' || sha256(html) AS archive_key FROM pages")
+def payload_hash_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = hashing.payload_hash(F.col("html"))
+    return b.table(spark, sf_dir, "pages").select("page_id", digest.alias("payload_sha256"), hashing.archive_key(F.lit("web"), F.col("page_id").cast("string"), digest).alias("archive_key"))
+
+
+@query("SELECT page_id, regexp_replace(url, '[?#].*$', '') AS canonical_url FROM pages")
+def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical_url"))
+
+
+@query("SELECT page_id, split_part(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '/', -1) AS segment FROM pages")
+def url_last_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "pages").select("page_id", urls.last_segment(F.col("url")).alias("segment"))
+
+
+@query(f"SELECT page_id, {_domain('url')} AS domain FROM pages")
+def url_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "pages").select("page_id", urls.domain(F.col("url")).alias("domain"))
+
+
+@query(f"SELECT page_id, {_domain('u')} AS domain FROM (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'https://justjoin.it/x' WHEN 1 THEN 'https://WWW.theprotocol.it' WHEN 2 THEN 'http://jobs.justjoin.it:80/' ELSE url END AS u FROM pages)")
+def domain_rejects_portals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 5
+    url = F.when(k == 0, "https://justjoin.it/x").when(k == 1, "https://WWW.theprotocol.it").when(k == 2, "http://jobs.justjoin.it:80/").otherwise(F.col("url"))
+    return b.table(spark, sf_dir, "pages").select("page_id", urls.domain(url).alias("domain"))
+
+
+@query(r"""SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1)) AS href FROM pages""")
+def listing_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listings.anchors(b.table(spark, sf_dir, "pages"), "page_id").select("page_id", "href")
+
+
+def _dedup(pick: str) -> str:
+    return rf"""
+WITH a AS (SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) AS pos FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS h FROM pages))
+SELECT href, {pick}(page_id, struct_pack(p := page_id, q := pos)) AS page_id FROM a GROUP BY href"""
+
+
+@query(_dedup("min_by"))
+def listing_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = listings.anchors(b.table(spark, sf_dir, "pages"), "page_id")
+    return listings.first_wins(found, ["href"], [F.asc("page_id"), F.asc("pos")]).select("href", "page_id")
+
+
+@query(_dedup("max_by"))
+def listing_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = listings.anchors(b.table(spark, sf_dir, "pages"), "page_id")
+    return listings.last_wins(found, ["href"], ["page_id", "pos"]).select("href", "page_id")
+
+
+@query(r"""
+WITH a AS (SELECT page_id, url, unnest(h) AS href, generate_subscripts(h, 1) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS h FROM pages)),
+j AS (SELECT page_id, pos, regexp_replace(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href, '[?#].*$', '') AS link FROM a WHERE starts_with(href, '/'))
+SELECT page_id, split_part(regexp_replace(link, '/+$', ''), '/', -1) AS source_posting_id, max_by(link, pos) AS posting_url FROM j WHERE split_part(regexp_replace(link, '/+$', ''), '/', -1) <> '' GROUP BY 1, 2""")
+def listing_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = b.table(spark, sf_dir, "pages")
+    refs = listings.anchor_refs(pages, detail="/")
+    return pages.select("page_id", "url").join(refs, "url").select("page_id", "source_posting_id", "posting_url")
+
+
+@query("SELECT i::BIGINT AS page, CASE WHEN i = 1 THEN 'https://s.example/offers' ELSE 'https://s.example/offers?page=' || i END AS url FROM range(1, 31) t(i)")
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listings.listing_pages(spark, "https://s.example/offers")
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&amp;', '&', 'g')) AS title FROM pages")
+def pages_h1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = details.parse_postings(b.table(spark, sf_dir, "pages"), "page_id")
+    return parsed.select("page_id", "title")
+
+
+@query()
+def pages_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = details.parse_postings(b.table(spark, sf_dir, "pages"), "page_id")
+    return parsed.select("page_id", "company", "projection", "error", F.sha2("body", 256).alias("body_sha256"))
+
+
+_TITLE = "CASE WHEN p_size = 50 THEN '' ELSE (CASE p_size % 4 WHEN 0 THEN 'Senior ' WHEN 1 THEN 'Junior ' ELSE '' END) || p_name || (CASE WHEN p_size % 3 = 0 THEN ' ' || p_type ELSE '' END) END"
+_MENTION = "CASE WHEN p_size <> 49 THEN p_brand || (CASE p_partkey % 5 WHEN 0 THEN ' sp. z o.o.' WHEN 1 THEN ' Ltd.' ELSE '' END) END"
+_POSTINGS = f"""
+raw AS (SELECT p_partkey AS id, 's' || (p_partkey % 2) AS source, {_TITLE} AS title, {_MENTION} AS mention_text, regexp_extract(p_brand, '([0-9]+)', 1)::INT AS brand FROM part),
+postings AS (
+  SELECT id, source, {_norm('title')} AS title, {_key('mention_text')} AS org, {_signature('mention_text')} AS sig, {_tokens('title')} AS tok, mention_text,
+    CASE WHEN {_key('mention_text')} <> '' THEN min(id) OVER (PARTITION BY {_key('mention_text')}) END AS org_id,
+    CASE WHEN mention_text IS NOT NULL AND brand % 7 < 2 THEN ['d' || (brand % 7) || '.example'] ELSE [] END AS domains
+  FROM raw
+)"""
+
+
+@query(f"WITH {_POSTINGS} SELECT id, list_sort(tok) AS tokens FROM postings")
+def title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.postings(spark, sf_dir).select("id", F.array_sort(text.title_tokens(F.col("title"))).alias("tokens"))
+
+
+@query(f"WITH {_POSTINGS} SELECT id, list_sort(list_filter(tok, lambda x: list_contains({_SENIOR}, x))) AS seniority FROM postings")
+def seniority_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.postings(spark, sf_dir).select("id", text.seniority(text.title_tokens(F.col("title"))).alias("seniority"))
+
+
+@query(f"WITH {_POSTINGS} SELECT id, sig AS signature FROM postings")
+def org_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.postings(spark, sf_dir).select("id", text.org_signature(F.col("org_mention")).alias("signature"))
+
+
+# --- ledger ---------------------------------------------------------------------------------------------------------
+
+
+def _ledger(content: str) -> str:
+    return f"""
+WITH o AS (SELECT user_id, event_id AS seq, sha256({content}) AS hash FROM events),
+f AS (SELECT *, row_number() OVER (PARTITION BY user_id, hash ORDER BY seq) = 1 AS fresh FROM o),
+r AS (SELECT *, sum(fresh::INT) OVER w::BIGINT AS revision_no, last_value(CASE WHEN fresh THEN hash END IGNORE NULLS) OVER w AS current_hash FROM f
+      WINDOW w AS (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, CASE WHEN fresh AND revision_no = 1 THEN 'OBSERVED' WHEN fresh THEN 'CHANGED' WHEN hash = current_hash THEN 'UNCHANGED' ELSE 'REJECTED' END AS state FROM r)"""
+
+
+_COARSE = "event_type || '|' || floor(value)::BIGINT"
+
+
+@query(_ledger("event_type") + " SELECT user_id, seq, state, revision_no, current_hash FROM s")
+def revision_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.lifecycle(b.observations(spark, sf_dir), ["user_id"]).select("user_id", "seq", "state", "revision_no", "current_hash")
+
+
+@query(_ledger(_COARSE) + " SELECT user_id, revision_no, seq, hash FROM s WHERE state IN ('OBSERVED', 'CHANGED')")
+def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.revisions(ledger.lifecycle(b.observations(spark, sf_dir, True), ["user_id"])).select("user_id", "revision_no", "seq", "hash")
+
+
+@query(_ledger(_COARSE) + """ SELECT user_id, max(revision_no) FILTER (fresh) AS revision_no, max_by(hash, seq) FILTER (fresh) AS hash, min(seq) AS first_seq, max(seq) AS last_seq FROM s WHERE state <> 'REJECTED' GROUP BY user_id""")
+def current_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.current_revisions(ledger.lifecycle(b.observations(spark, sf_dir, True), ["user_id"]), ["user_id"])
+
+
+@query(_ledger("event_type") + " SELECT state, count(*)::BIGINT AS n FROM s GROUP BY state")
+def lifecycle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.lifecycle(b.observations(spark, sf_dir), ["user_id"]).groupBy("state").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH o AS (SELECT user_id, event_id AS seq, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM events),
+g AS (SELECT *, p IS DISTINCT FROM event_type AS fresh FROM o)
+SELECT user_id, seq, CASE WHEN fresh AND sum(fresh::INT) OVER w = 1 THEN 'OBSERVED' WHEN fresh THEN 'CHANGED' ELSE 'UNCHANGED' END AS state, sum(fresh::INT) OVER w::BIGINT AS revision_no
+FROM g WINDOW w AS (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""")
+def revision_ledger_reverting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.lifecycle(b.observations(spark, sf_dir), ["user_id"], revert_policy="new_revision").select("user_id", "seq", "state", "revision_no")
+
+
+@query("""
+WITH o AS (SELECT user_id, event_id AS seq, event_type, value, props, lag(event_type) OVER w AS pt, lag(value) OVER w AS pv, lag(props) OVER w AS pp, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT user_id, seq, list_filter([CASE WHEN pt IS DISTINCT FROM event_type THEN 'event_type' END, CASE WHEN pp IS DISTINCT FROM props THEN 'props' END, CASE WHEN pv IS DISTINCT FROM value THEN 'value' END], lambda x: x IS NOT NULL) AS changed,
+  left(pp, 500) AS before, left(props, 500) AS after FROM o WHERE n > 1""")
+def revision_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("seq")
+    names = ["event_type", "value", "props"]
+    rows = b.observations(spark, sf_dir).withColumns({f"p_{n}": F.lag(n).over(w) for n in names} | {"n": F.row_number().over(w)}).where("n > 1")
+    changed = ledger.changed_fields({n: F.col(f"p_{n}") for n in names}, {n: F.col(n) for n in names})
+    return rows.select("user_id", "seq", changed.alias("changed"), ledger.preview(F.col("p_props")).alias("before"), ledger.preview(F.col("props")).alias("after"))
+
+
+@query("SELECT user_id, strftime(ts, '%Y-%m-%d') AS run_id, sha256(props) AS payload_sha256, min(event_id) AS raw_id FROM events GROUP BY 1, 2, 3")
+def raw_observation_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.observations(spark, sf_dir).select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("run_id"), hashing.payload_hash(F.col("props")).alias("payload_sha256"), "seq")
+    return rows.groupBy("user_id", "run_id", "payload_sha256").agg(F.min("seq").alias("raw_id"))
+
+
+# --- runs -----------------------------------------------------------------------------------------------------------
+
+_RUN = "strftime(ts, '%Y-%m-%d')"
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as item events: the event type gives the status."""
+    status = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "purchase", "SUCCEEDED").otherwise("PROCESSING")
+    return b.table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.lit("web").alias("source_code"), F.col("user_id").cast("string").alias("source_posting_id"), status.alias("status"), F.col("event_id").alias("seq"))
+
+
+_ITEMS = f"items AS (SELECT {_RUN} AS run_id, 'web' AS source_code, user_id::VARCHAR AS source_posting_id, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCEEDED' ELSE 'PROCESSING' END AS status, event_id AS seq FROM events)"
+
+
+@query(f"WITH {_ITEMS} SELECT DISTINCT run_id, source_code, source_posting_id FROM items i WHERE NOT EXISTS (SELECT 1 FROM items d WHERE d.status = 'SUCCEEDED' AND d.run_id = i.run_id AND d.source_posting_id = i.source_posting_id)")
+def claim_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    return runs.claimable(items.select(*runs.ITEM).distinct(), items)
+
+
+@query(f"WITH {_ITEMS} SELECT run_id, action, count(*)::BIGINT AS n FROM (SELECT run_id, source_posting_id, CASE WHEN bool_or(status = 'SUCCEEDED') THEN 'REPLAY_SKIPPED' ELSE 'PROCESS' END AS action FROM items GROUP BY 1, 2) GROUP BY 1, 2")
+def replay_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _items(spark, sf_dir)
+    return runs.replay(items.select(*runs.ITEM).distinct(), items).groupBy("run_id", "action").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_ITEMS} SELECT run_id, source_code, source_posting_id, max_by(status, seq) AS status FROM items GROUP BY 1, 2, 3 HAVING bool_or(status = 'PROCESSING')")
+def item_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.item_status(_items(spark, sf_dir), "seq").drop("seq")
+
+
+@query(f"SELECT {_RUN} AS run_id, user_id, max_by(event_type, event_id) AS outcome, max(event_id) AS seq FROM events GROUP BY 1, 2")
+def attempt_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), "user_id", F.col("event_type").alias("outcome"), F.col("event_id").alias("seq"))
+    return ledger.latest(rows, ["run_id", "user_id"], "seq")
+
+
+@query("""
+WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 400 + event_id % 120 END AS status, CASE event_id % 3 WHEN 0 THEN 'ReadTimeout' WHEN 1 THEN 'ConnectError' ELSE 'ValueError' END AS kind FROM events)
+SELECT event_id, CASE WHEN status IS NOT NULL THEN status = 429 OR status BETWEEN 500 AND 599 ELSE kind <> 'ValueError' END AS retryable, CASE WHEN status IS NOT NULL THEN 'HTTP_' || status ELSE kind END AS failure_type FROM e""")
+def failure_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id") % 3
+    status = F.when(F.col("event_type") == "error", 400 + F.col("event_id") % 120)
+    kind = F.when(k == 0, "ReadTimeout").when(k == 1, "ConnectError").otherwise("ValueError")
+    return b.table(spark, sf_dir, "events").select("event_id", runs.failure_class(status, kind).alias("c")).select("event_id", "c.*")
+
+
+@query("SELECT i::BIGINT AS attempt, 0.25 * 2.0 ** (i - 1) AS delay FROM range(1, 11) t(i)")
+def retry_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.range(1, 11).select(F.col("id").alias("attempt"), runs.RetryPolicy(10, 0.25).delay(F.col("id")).alias("delay"))
+
+
+@query(f"SELECT {_RUN} AS run_id, CASE WHEN bool_or(value > 1e9) THEN 'FAILED' WHEN count(*) FILTER (event_type = 'error' AND value > 200) > 0 THEN 'PARTIAL' ELSE 'COMPLETED' END AS status FROM events GROUP BY 1")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run_id"), (F.col("value") > 1e9).alias("failed"), ((F.col("event_type") == "error") & (F.col("value") > 200)).cast("int").alias("error_count"))
+    return runs.run_status(rows)
+
+
+@query(_ledger("event_type") + " SELECT user_id % 2 AS source_code, state, count(*)::BIGINT AS n FROM s GROUP BY 1, 2")
+def run_state_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = ledger.lifecycle(b.observations(spark, sf_dir), ["user_id"])
+    return runs.source_report(states.withColumn("source_code", F.col("user_id") % 2))
+
+
+# --- organisations --------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_POSTINGS} SELECT org AS normalized_name, min_by(mention_text, id) AS canonical_name, 'CANDIDATE' AS status FROM postings WHERE org <> '' GROUP BY org")
+def org_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.seed(b.postings(spark, sf_dir), "id")
+
+
+@query(f"WITH {_POSTINGS} SELECT id, org AS normalized_name, 'LOW' AS confidence_band, 'CANDIDATE' AS status, 'HYPOTHESIS' AS epistemic_class FROM postings WHERE org <> ''")
+def org_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.candidates(b.postings(spark, sf_dir)).select("id", "normalized_name", "confidence_band", "status", "epistemic_class")
+
+
+@query(f"WITH {_POSTINGS} SELECT DISTINCT org AS normalized_name, id % 10 AS revision, 'ADVERTISER' AS role, 'FACT' AS epistemic_class, 'MEDIUM' AS confidence_band FROM postings WHERE org <> ''")
+def org_participation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.participations(b.postings(spark, sf_dir).withColumn("revision", F.col("id") % 10), "revision")
+
+
+@query(f"WITH {_POSTINGS} SELECT id, 'SOURCE_MENTION' AS evidence_type, 'WEAK' AS strength, 'FACT' AS epistemic_class, {_norm('mention_text')} AS value FROM postings WHERE mention_text IS NOT NULL")
+def mention_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.mention_evidence(b.postings(spark, sf_dir).where("mention_text IS NOT NULL")).select("id", "evidence_type", "strength", "epistemic_class", "value")
+
+
+@query("SELECT event_id, 'source_projection.k' AS path FROM events")
+def json_leaf_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.json_leaves(b.table(spark, sf_dir, "events"), "event_id", "props").select("event_id", "path")
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with a page's URL in one of five places."""
+    k = F.col("page_id") % 5
+    field = F.when(k == 0, "companyUrl").when(k == 1, "companyProfile").when(k == 2, "note").when(k == 3, "hiringOrganization").otherwise("website")
+    inner = F.to_json(F.map_from_arrays(F.array(field), F.array(F.concat(F.lit("see "), F.col("url")))))
+    return b.table(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit('{"details": [1, '), inner, F.lit("]}")).alias("payload"))
+
+
+_EVIDENCE = f"""ev AS (
+  SELECT page_id, CASE page_id % 5 WHEN 1 THEN 'SOURCE_ORGANIZATION_PROFILE_URL' WHEN 3 THEN 'HIRING_ORGANIZATION_URL' ELSE 'EXPLICIT_ORGANIZATION_URL' END AS evidence_type, url,
+    'source_projection.details[1].' || CASE page_id % 5 WHEN 0 THEN 'companyUrl' WHEN 1 THEN 'companyProfile' WHEN 3 THEN 'hiringOrganization' ELSE 'website' END AS path,
+    CASE page_id % 5 WHEN 1 THEN 'MEDIUM' ELSE 'STRONG' END AS strength, {_domain('url')} AS domain
+  FROM pages WHERE page_id % 5 <> 2)"""
+
+
+@query(f"WITH {_EVIDENCE} SELECT * FROM ev")
+def url_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orgs.url_evidence(orgs.json_leaves(_payloads(spark, sf_dir), "page_id", "payload"), "page_id")
+
+
+@query(f"WITH {_EVIDENCE} SELECT page_id % 20 AS organization_id, domain, 'CANDIDATE' AS status, CASE WHEN bool_or(strength = 'STRONG') THEN 'HIGH' ELSE 'MEDIUM' END AS confidence_band FROM ev WHERE domain IS NOT NULL GROUP BY 1, 2")
+def domain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = orgs.url_evidence(orgs.json_leaves(_payloads(spark, sf_dir), "page_id", "payload"), "page_id")
+    return orgs.domain_candidates(found.withColumn("organization_id", F.col("page_id") % 20), "organization_id")
+
+
+@query(f"""
+WITH {_EVIDENCE}, d AS (SELECT page_id % 20 AS organization_id, list_sort(list_distinct(list(domain))) AS domains FROM ev WHERE domain IS NOT NULL GROUP BY 1)
+SELECT a.organization_id AS a_id, b.organization_id AS b_id, list_sort(list_intersect(a.domains, b.domains)) AS shared FROM d a JOIN d b ON a.organization_id < b.organization_id AND len(list_intersect(a.domains, b.domains)) > 0""")
+def shared_domain_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = orgs.domain_sets(domain_candidates(spark, sf_dir), "organization_id")
+    each = sets.select("organization_id", "domains", F.explode("domains").alias("d"))
+    a = each.select(F.col("organization_id").alias("a_id"), F.col("domains").alias("a_d"), "d")
+    c = each.select(F.col("organization_id").alias("b_id"), F.col("domains").alias("b_d"), "d")
+    shared = F.array_sort(F.array_intersect("a_d", "b_d"))
+    return a.join(c, "d").where("a_id < b_id").where(F.col("d") == F.array_min(shared)).select("a_id", "b_id", shared.alias("shared"))
+
+
+# --- entity-resolution pairs ----------------------------------------------------------------------------------------
+
+_PAIRS = f"""
+WITH {_POSTINGS}, x AS (
+  SELECT a.id AS a_id, b.id AS b_id, a.title AS title_a, b.title AS title_b, a.sig AS org_signature_a, b.sig AS org_signature_b,
+    CASE WHEN len(a.tok) + len(b.tok) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a.tok, b.tok))::DOUBLE / (len(a.tok) + len(b.tok) - len(list_intersect(a.tok, b.tok))) END AS sim,
+    a.org <> '' AND a.org = b.org AS same_org_mention, a.sig <> '' AND a.sig = b.sig AS same_org_name_signature, coalesce(a.org_id = b.org_id, false) AS same_org_candidate,
+    len(list_intersect(a.domains, b.domains)) > 0 AS shared_explicit_domain,
+    list_sort(list_filter(a.tok, lambda t: list_contains({_SENIOR}, t))) AS sa, list_sort(list_filter(b.tok, lambda t: list_contains({_SENIOR}, t))) AS sb
+  FROM postings a JOIN postings b ON a.id < b.id AND a.source <> b.source
+), pairs AS (
+  SELECT *, sa = sb AS same_seniority_signal, len(sa) > 0 AND len(sb) > 0 AND sa <> sb AS seniority_conflict, round_even(sim, 4) AS title_jaccard,
+    CASE WHEN same_org_mention AND sim = 1 THEN 'same_org_exact_title' WHEN same_org_name_signature AND NOT same_org_mention AND sim = 1 THEN 'org_legal_suffix_variant_exact_title'
+         WHEN same_org_mention AND sim >= 0.55 THEN 'same_org_similar_title' WHEN same_org_candidate AND sim >= 0.45 THEN 'same_org_candidate_similar_title'
+         WHEN shared_explicit_domain THEN 'shared_explicit_domain' ELSE 'similar_title_cross_org' END AS stratum
+  FROM x WHERE same_org_mention OR same_org_name_signature OR same_org_candidate OR shared_explicit_domain OR sim >= 0.45::DOUBLE
+)"""
+_ORDER = "shared_explicit_domain DESC, (same_org_mention OR same_org_name_signature) DESC, same_org_candidate DESC, sim DESC, a_id, b_id"
+_SELECTED = _PAIRS + f""", capped AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {_ORDER}) AS n FROM pairs),
+selected AS (SELECT *, row_number() OVER (ORDER BY {_ORDER})::BIGINT AS rank FROM capped WHERE n <= 40 QUALIFY row_number() OVER (ORDER BY {_ORDER}) <= 200)"""
+_FLAGS = "title_jaccard, same_org_mention, same_org_name_signature, same_org_candidate, shared_explicit_domain, same_seniority_signal, seniority_conflict, stratum"
+
+
+def _flags() -> list[str]:
+    return _FLAGS.split(", ")
+
+
+@query(f"""
+WITH {_POSTINGS}, k AS (SELECT *, {_key('title')} AS tk FROM postings WHERE org <> '')
+SELECT a.id AS a_id, b.id AS b_id FROM k a JOIN k b ON a.tk = b.tk AND a.org = b.org AND a.id < b.id AND a.source <> b.source""")
+def match_candidates_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return er.exact_matches(_exact_input(spark, sf_dir))
+
+
+def _exact_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.postings(spark, sf_dir).select("id", "source", text.norm_key(F.col("title")).alias("title_key"), "org_mention").withColumnRenamed("org_mention", "company_key")
+
+
+@query(f"""
+WITH {_POSTINGS}, k AS (SELECT *, {_key('title')} AS tk FROM postings WHERE org <> '')
+SELECT a.id AS a_id, b.id AS b_id FROM k a JOIN k b ON a.tk = b.tk AND a.org = b.org AND a.id < b.id AND a.source <> b.source WHERE (a.id + b.id) % 3 <> 0""")
+def match_candidates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = er.exact_matches(_exact_input(spark, sf_dir))
+    return ledger.append_new(found.where((F.col("a_id") + F.col("b_id")) % 3 == 0), found, ["a_id", "b_id"])
+
+
+@query(_PAIRS + f" SELECT a_id, b_id, title_a, title_b, org_signature_a, org_signature_b, {_FLAGS} FROM pairs")
+def er_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return er.candidate_pairs(b.postings(spark, sf_dir)).select("a_id", "b_id", "title_a", "title_b", "org_signature_a", "org_signature_b", *_flags())
+
+
+@query(_PAIRS + " SELECT stratum, count(*)::BIGINT AS n FROM pairs GROUP BY stratum")
+def er_strata_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return er.candidate_pairs(b.postings(spark, sf_dir)).groupBy("stratum").agg(F.count("*").alias("n"))
+
+
+@query(_PAIRS + f" SELECT row_number() OVER (ORDER BY {_ORDER})::BIGINT AS rank, a_id, b_id, stratum FROM pairs")
+def er_ranked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["a_id", "b_id", "stratum", "shared_explicit_domain", "same_org_mention", "same_org_name_signature", "same_org_candidate", "sim"]
+    return global_rank(er.candidate_pairs(b.postings(spark, sf_dir)).select(*columns), er.ranking()).select("rank", "a_id", "b_id", "stratum")
+
+
+@query(_SELECTED + f" SELECT rank, a_id, b_id, {_FLAGS} FROM selected")
+def er_review_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return er.review_selection(er.candidate_pairs(b.postings(spark, sf_dir))).select("rank", "a_id", "b_id", *_flags())
+
+
+@query(_SELECTED + """ SELECT (SELECT count(*) FROM postings)::BIGINT AS postings_considered, (SELECT count(*) FROM pairs)::BIGINT AS candidate_pairs_generated, (SELECT count(*) FROM selected)::BIGINT AS review_pairs_selected,
+  0::BIGINT AS auto_same_count, 0::BIGINT AS auto_distinct_count, (SELECT count(*) FROM selected)::BIGINT AS unresolved_count""")
+def er_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings = b.postings(spark, sf_dir)
+    pairs = er.candidate_pairs(postings)
+    return er.summary(pairs, er.review_selection(pairs), postings)
+
+
+@query(f"WITH {_POSTINGS} SELECT n_name, p.id, p.org, s_name FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey LEFT JOIN postings p ON p.id = s_suppkey")
+def posting_left_join_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, supplier = b.table(spark, sf_dir, "nation"), b.table(spark, sf_dir, "supplier")
+    rows = nation.join(supplier, nation["n_nationkey"] == supplier["s_nationkey"], "left")
+    p = b.postings(spark, sf_dir).select("id", F.coalesce("org_mention", F.lit("")).alias("org"))
+    return rows.join(p, rows["s_suppkey"] == p["id"], "left").select("n_name", "id", "org", "s_name")
+
+
+@query(_SELECTED + """ SELECT rank, a_id, b_id, 's' || (a_id % 2) AS source_a, 'https://www.s.example/job-offer/' || a_id AS url_a, 's' || (b_id % 2) AS source_b, 'https://www.s.example/job-offer/' || b_id AS url_b FROM selected""")
+def pair_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings = b.postings(spark, sf_dir)
+    chosen = er.review_selection(er.candidate_pairs(postings)).select("rank", "a_id", "b_id")
+    both = er.with_endpoints(chosen, postings)
+    return both.select("rank", "a_id", "b_id", F.col("a.source").alias("source_a"), F.col("a.url").alias("url_a"), F.col("b.source").alias("source_b"), F.col("b.url").alias("url_b"))
+
+
+# --- gates ----------------------------------------------------------------------------------------------------------
+
+
+def _gate(*rows: tuple[str, str, int, str]) -> str:
+    """Rows of (name, op, expected, SQL of the actual count)."""
+    return " UNION ALL ".join(f"SELECT '{n}' AS check_name, '{op}' AS op, {e}::BIGINT AS expected, ({sql})::BIGINT AS actual, ({sql}) {op} {e} AS ok" for n, op, e, sql in rows)
+
+
+def _posting_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    states = ledger.lifecycle(b.observations(spark, sf_dir), ["user_id"])
+    code = F.concat(F.lit("s"), (F.col("user_id") % 2).cast("string"))
+    return states.select("user_id", code.alias("source_code")).distinct(), states
+
+
+_STATES = _ledger("event_type")
+
+
+@query(_STATES + " " + _gate(
+    ("postings of s0", ">=", 10, "SELECT count(DISTINCT user_id) FROM s WHERE user_id % 2 = 0"), ("postings of s1", ">=", 10, "SELECT count(DISTINCT user_id) FROM s WHERE user_id % 2 = 1"),
+    ("UNCHANGED", ">=", 20, "SELECT count(*) FROM s WHERE state = 'UNCHANGED'"), ("revisions", ">=", 20, "SELECT count(*) FROM s WHERE state IN ('OBSERVED', 'CHANGED')")))
+def dq_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings, states = _posting_tables(spark, sf_dir)
+    return quality.crawl_gate(postings, states, ledger.revisions(states), ["s0", "s1"], 10)
+
+
+@query(_STATES + " " + _gate(
+    ("postings of s0", "=", 75, "SELECT count(DISTINCT user_id) FROM s WHERE user_id % 2 = 0"), ("postings of s1", "=", 75, "SELECT count(DISTINCT user_id) FROM s WHERE user_id % 2 = 1"),
+    ("postings", "=", 150, "SELECT count(DISTINCT user_id) FROM s"), ("revisions", "=", 150, "SELECT count(*) FROM s WHERE state IN ('OBSERVED', 'CHANGED')"),
+    ("raw_observations", "=", 300, "SELECT count(*) FROM s"), ("ingestion_runs", "=", 2, f"SELECT count(DISTINCT {_RUN}) FROM events"), ("completed runs", "=", 2, f"SELECT count(DISTINCT {_RUN}) FROM events"),
+    ("ingestion_items", "=", 300, "SELECT count(*) FROM s"), ("OBSERVED", "=", 150, "SELECT count(*) FROM s WHERE state = 'OBSERVED'"), ("UNCHANGED", "=", 150, "SELECT count(*) FROM s WHERE state = 'UNCHANGED'"),
+    ("CHANGED", "=", 0, "SELECT count(*) FROM s WHERE state = 'CHANGED'"), ("missing_raw_versions", "=", 0, "SELECT count(*) FROM s WHERE seq % 100 = 0"),
+    ("missing_revision_versions", "=", 0, "SELECT 0"), ("missing_org_resolver_versions", "=", 0, "SELECT count(*) FROM s WHERE seq % 50 = 0"), ("missing_match_generator_versions", "=", 0, "SELECT 0")))
+def dq_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings, states = _posting_tables(spark, sf_dir)
+    versioned = states.withColumns({c: F.lit("v1") for c in ("transport_version", "run_id", "source_posting_id", "archive_key", "normalizer_version", "candidate_generator_version")} | {"parser_version": F.lit("v1")})
+    days = b.table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run_id")).distinct().withColumn("status", F.lit("COMPLETED"))
+    return quality.production_gate({
+        "job_posting": postings, "job_posting_revision": ledger.revisions(versioned), "raw_observation": versioned.withColumn("parser_version", F.when(F.col("seq") % 100 != 0, "v1")),
+        "ingestion_run": days, "ingestion_item": states.select("seq"), "posting_lifecycle_observation": states.select("seq", "state"),
+        "organization_candidate": states.select(F.when(F.col("seq") % 50 != 0, "v1").alias("resolver_version")), "match_candidate": versioned.select("candidate_generator_version"),
+    }, ["s0", "s1"], 75)
+
+
+@query(_SELECTED + " " + _gate(
+    ("postings", "=", 2000, "SELECT count(*) FROM postings"), ("organization_mentions", ">", 0, "SELECT count(*) FROM postings WHERE org <> ''"),
+    ("organization evidence covers mentions", ">=", 0, "SELECT 0"), ("er_eval_pairs", ">", 0, "SELECT count(*) FROM selected"), ("bad_pair_order", "=", 0, "SELECT count(*) FROM selected WHERE a_id >= b_id"),
+    ("missing_org_provenance", "=", 0, "SELECT count(*) FROM postings WHERE org <> '' AND id % 7 = 0"), ("missing_org_versions", "=", 0, "SELECT 0"), ("missing_eval_features", "=", 0, "SELECT 0")))
+def dq_org_er(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings = b.postings(spark, sf_dir)
+    mentions = postings.where("org_mention <> ''").select("id", "mention_text")
+    evidence = mentions.select("id", F.when(F.col("id") % 7 == 0, "{}").otherwise('{"source": 1}').alias("provenance_json"), F.lit("v1").alias("resolver_version"))
+    chosen = er.review_selection(er.candidate_pairs(postings))
+    pairs = chosen.select("a_id", "b_id", F.to_json(F.struct("title_jaccard", "same_org_mention")).alias("features_json"))
+    return quality.org_er_gate(postings, mentions, evidence, pairs, 2000)
+
+
+@query(_gate(("event_type in its values", "=", 0, "SELECT count(*) FROM events WHERE event_type NOT IN ('click', 'view')"), ("o_orderstatus in its values", "=", 0, "SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P')")))
+def dq_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.Gate().enum(b.table(spark, sf_dir, "events"), "event_type", ["click", "view"]).enum(b.table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O", "P"]).result()
+
+
+@query(_gate(("pair order", "=", 0, "SELECT count(*) FROM lineitem WHERE l_partkey >= l_suppkey")))
+def dq_pair_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.Gate().count(b.table(spark, sf_dir, "lineitem"), "pair order", "=", 0, F.col("l_partkey") >= F.col("l_suppkey")).result()
+
+
+@query(_gate(("orders key", "=", 0, "SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)"), ("lineitem key", "=", 0, "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)")))
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.Gate().unique(b.table(spark, sf_dir, "orders"), "orders key", "o_orderkey").unique(b.table(spark, sf_dir, "lineitem"), "lineitem key", "l_orderkey", "l_linenumber").result()
+
+
+@query(_gate(("lineitem order", "=", 0, "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"), ("event user", "=", 0, "SELECT count(*) FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)")))
+def dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gate = quality.Gate().references(b.table(spark, sf_dir, "lineitem"), "lineitem order", "l_orderkey", b.table(spark, sf_dir, "orders"), "o_orderkey")
+    return gate.references(b.table(spark, sf_dir, "events"), "event user", "user_id", b.table(spark, sf_dir, "customer"), "c_custkey").result()
