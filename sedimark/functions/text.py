@@ -27,11 +27,11 @@ TOKEN = "[a-zA-Z0-9+#.]+"
 
 @lru_cache(1)
 def fold_tables() -> tuple[str, str, dict[str, str]]:
-    """Where case folding differs from lower case: letters to replace one by one, their folds, and folds of several letters."""
+    """Letters that case folding replaces one by one, what they become, and the folds of several letters."""
     one, long = {}, {}
     for c in map(chr, range(sys.maxunicode + 1)):
-        if len(low := c.lower()) == 1 and (fold := low.casefold()) != low:
-            (one if len(fold) == 1 else long)[low] = fold
+        if (fold := c.casefold()) != c:
+            (one if len(fold) == 1 else long)[c] = fold
     return "".join(one), "".join(one.values()), long
 
 
@@ -41,12 +41,15 @@ def norm_text(s: Column) -> Column:
 
 
 def casefold(s: Column) -> Column:
-    """Full case folding. The few letters that fold to several are looked up only in texts that have one."""
+    """Full case folding, by Python's tables and not the JVM's, which may know other letters.
+
+    The few letters that fold to several are looked up only in texts that have one.
+    """
     before, after, long = fold_tables()
-    low = F.translate(F.lower(s), before, after)
+    folded = F.translate(s, before, after)
     table = F.create_map(*[F.lit(x) for pair in long.items() for x in pair])
-    each = F.transform(F.split(low, ""), lambda c: F.coalesce(F.element_at(table, c), c))
-    return F.when(low.rlike("[" + "".join(long) + "]"), F.array_join(each, "")).otherwise(low)
+    each = F.transform(F.split(folded, ""), lambda c: F.coalesce(F.element_at(table, c), c))
+    return F.when(folded.rlike("[" + "".join(long) + "]"), F.array_join(each, "")).otherwise(folded)
 
 
 def norm_key(s: Column) -> Column:
