@@ -91,7 +91,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="sedimark", description=__doc__)
     sub = top.add_subparsers(dest="command", required=True)
 
-    def command(name: str, run, **options) -> None:  # noqa: ANN001
+    def command(name: str, run, /, **options) -> None:  # noqa: ANN001
         p = sub.add_parser(name, help=run.__doc__)
         p.set_defaults(run=run)
         for option, kind in options.items():
