@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside operators, so that keys and joins stay total; given back as null.
 NULL_ID = -(2**63)
-#: UTF-8 bytes of text that one Python task group should hold.
-GROUP_BYTES = 24 << 20
+
+
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,7 +69,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def groups_for(total_bytes: int, per_group: int = GROUP_BYTES) -> int:
+def groups_for(total_bytes: int, per_group: int) -> int:
     return max(1, -(-int(total_bytes or 0) // per_group))
 
 

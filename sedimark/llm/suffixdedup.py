@@ -6,7 +6,7 @@ No suffix array over the corpus is ever built in one place. Every window of ``SP
 position of the least hash among its ``GRAM``-byte substrings. Equal windows have equal minimizers at equal places, so
 windows can be compared apart for each minimizer value:
 
-1. Documents, in groups of about 24 MB, give the distinct hashes of their minimizers; hashes that occur in two or more
+1. Documents, in groups of about 10 MB, give the distinct hashes of their minimizers; hashes that occur in two or more
    documents go back to the groups that hold them. Whole copies of a text are settled before, by digest.
 2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it.
 3. For each part of the hash space a suffix array over those windows is sorted to depth ``SPAN``, ties by document;
@@ -36,8 +36,10 @@ CONTEXT = REACH + SPAN
 WINDOWS = REACH + 1
 #: Occurrences of one minimizer value beyond which its windows are dealt out one by one.
 HOT = 200_000
+#: UTF-8 bytes of text in one group of documents.
+GROUP = 10 << 20
 #: Suffixes that are sorted at once.
-SORTED = 600_000
+SORTED = 250_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
 
@@ -343,7 +345,7 @@ def covered(size: int, starts: np.ndarray) -> tuple[np.ndarray, int]:
     return gone, int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
 
 
-def _cut(key, docs: pa.Table, side: pa.Table) -> pa.Table:
+def _cut(key, docs: pa.Table, side: pa.Table, as_text: bool) -> pa.Table:
     """Step 4: every document of a group, with its further columns, without its marked windows."""
     group = _Group(docs, _ints(side, _COPIES))
     marks = _ints(side, _MARKS).reshape(-1, 2)
@@ -364,24 +366,24 @@ def _cut(key, docs: pa.Table, side: pa.Table) -> pa.Table:
         kept = text[~gone] if spans else text
         out[0].append(len(text) - len(kept))
         out[1].append(spans)
-        out[2].append(kept.tobytes())
-    columns = [pa.array(group.ids), pa.array(group.size), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())]
+        out[2].append(kept.tobytes().decode("utf-8", "ignore") if as_text else kept.tobytes())
+    columns = [pa.array(group.ids), pa.array(group.size), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string() if as_text else pa.binary())]
     carried = docs.select([c for c in docs.column_names if c.startswith(_CARRY)]).take(pa.array(group.order))
     return pa.table([*columns, *carried.columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carried.column_names])
 
 
-def remove_repeats(docs: DataFrame, group_bytes: int | None = None, hot: int = HOT, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_bytes: int = GROUP, hot: int = HOT, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of ``docs``, then the columns named in ``carry``.
 
     kept: the bytes that no ``SPAN``-byte string starting in a document of smaller doc_id covers; cuts may fall inside
-    a code point. n_spans: maximal removed runs. Null text: empty. Strings are judged on the input. A null doc_id
+    a code point; with ``as_text`` it is a string, less the bytes of code points that a cut went through. n_spans: maximal removed runs. Null text: empty. Strings are judged on the input. A null doc_id
     counts as the smallest; rows that share an id never remove from each other. Texts under ``SPAN`` bytes are kept.
     Other columns are ignored; an empty table gives an empty result.
     """
     rows = keyed(docs)
     size = written(rows.select("doc_id", F.octet_length("text").cast("long").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha")), "sizes")
     total = size.agg(F.sum("size")).first()[0]
-    groups = groups_for(total) if group_bytes is None else groups_for(total, group_bytes)
+    groups = groups_for(total, group_bytes)
     group = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp")
     least = size.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = size.join(least, "sha").where("doc_id > first").select(group, "doc_id", F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long").alias("sha8")).distinct()
@@ -403,9 +405,9 @@ def remove_repeats(docs: DataFrame, group_bytes: int | None = None, hot: int = H
     shared = written(hashes.groupBy("part").applyInArrow(_shared_hashes(hot), side), "shared").unionByName(copied)
     contexts = texts.cogroup(shared.groupBy("grp")).applyInArrow(_contexts(groups), _OUT)
     marks = written(contexts.groupBy("part").applyInArrow(_marks, side), "marks").unionByName(copied)
-    out = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
     out = T.StructType([*out.fields, *(T.StructField(_CARRY + c, docs.schema[c].dataType) for c in carry)])
-    cut = texts.cogroup(marks.groupBy("grp")).applyInArrow(_cut, out)
+    cut = texts.cogroup(marks.groupBy("grp")).applyInArrow(lambda key, left, right: _cut(key, left, right, as_text), out)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(F.col(_CARRY + c).alias(c) for c in carry if c not in ("doc_id", "text")))
 
 
@@ -418,21 +420,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     spare = tuple(c for c in others if c in ("n_bytes", "n_removed", "n_spans", "kept"))
     named = docs.select(*(docs[c].alias("own_" + c if c in spare else c) for c in docs.columns))
-    removed = remove_repeats(named, carry=tuple("own_" + c if c in spare else c for c in others))
-    names = [f.name for f in removed.schema.fields[5:]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = pa.array([x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *(batch.column(n) for n in names)], ["doc_id", "text", *names])
-
-    fields = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), *removed.schema.fields[5:]]
-    out = removed.mapInArrow(run, T.StructType(fields))
+    removed = remove_repeats(named, carry=tuple("own_" + c if c in spare else c for c in others), as_text=True)
     of = {c: F.col("own_" + c if c in spare else c).alias(c) for c in others}
-    of |= {"doc_id": given_back().cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("text")}
+    of |= {"doc_id": given_back().cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("kept").alias("text")}
     if "n_chars" in of:
-        of["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return out.select(*(of[c] for c in docs.columns))
+        of["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return removed.select(*(of[c] for c in docs.columns))
 
 
 def digests(removed: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def test_matches_brute_force(spark):
         rows.append((pick.randrange(90), "".join(pick.choice(shared) if pick.random() < 0.4 else word(pick.randrange(120)) for _ in range(pick.randrange(5)))))
     rows += [(None, shared[3]), (200, None), (201, ""), (202, shared[5]), (203, shared[5]), (203, shared[5]), (204, "z" * 49), (205, "q" * 60 + "z" * 60), (206, "\0" * 70), (207, "\0" * 55)]
     df = spark.createDataFrame([(*r, "s", 4) for r in rows], "doc_id long, text string, kept string, n_bytes int")
-    for bytes_, hot in ((None, sd.HOT), (3000, 2)):
+    for bytes_, hot in ((sd.GROUP, sd.HOT), (3000, 2)):
         got = [tuple(r) for r in sd.digests(sd.remove_repeats(df, bytes_, hot)).collect()]
         assert sorted(got, key=str) == slow(rows)
     assert sd.remove_repeats(df.limit(0)).count() == 0
