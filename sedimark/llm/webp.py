@@ -277,55 +277,46 @@ def _number_of(parts: np.ndarray) -> np.ndarray:
     return p[..., 0] << _U32(24) | p[..., 1] << _U32(16) | p[..., 2] << _U32(8) | p[..., 3]
 
 
-def _predict(mode: int, left, top, right, corner):  # noqa: ANN001
-    """The predicted pixel (four channels) from its left, top, top-right and top-left neighbours."""
+def _predict(mode: np.ndarray, left: np.ndarray, top: np.ndarray, right: np.ndarray, corner: np.ndarray) -> np.ndarray:
+    """The predicted pixels (rows of four channels), each by its own mode, from their left, top, top-right and top-left neighbours."""
     half = lambda a, b: (a + b) >> 1
-    if mode == 1:
-        return left
-    if mode == 2:
-        return top
-    if mode == 3:
-        return right
-    if mode == 4:
-        return corner
-    if mode == 5:
-        return half(half(left, right), top)
-    if mode == 6:
-        return half(left, corner)
-    if mode == 7:
-        return half(left, top)
-    if mode == 8:
-        return half(corner, top)
-    if mode == 9:
-        return half(top, right)
-    if mode == 10:
-        return half(half(left, corner), half(top, right))
-    if mode == 11:
-        guess = left + top - corner
-        return left if np.abs(guess - left).sum() < np.abs(guess - top).sum() else top
-    if mode == 12:
-        return np.clip(left + top - corner, 0, 255)
-    if mode == 13:
-        mean = half(left, top)
-        # halves round towards zero
-        return np.clip(mean + np.trunc((mean - corner) / 2).astype(np.int32), 0, 255)
-    return np.array([255, 0, 0, 0], np.int32)
+    out = np.tile(np.array([255, 0, 0, 0], np.int32), (len(mode), 1))
+    for m in np.unique(mode):
+        k = np.flatnonzero(mode == m)
+        l, t, r, c = left[k], top[k], right[k], corner[k]  # noqa: E741
+        if m == 11:
+            guess = l + t - c
+            out[k] = np.where((np.abs(guess - l).sum(1) < np.abs(guess - t).sum(1))[:, None], l, t)
+        elif m == 12:
+            out[k] = np.clip(l + t - c, 0, 255)
+        elif m == 13:
+            mean = half(l, t)
+            out[k] = np.clip(mean + np.trunc((mean - c) / 2).astype(np.int32), 0, 255)  # halves round towards zero
+        elif 1 <= m <= 10:
+            out[k] = (
+                l, t, r, c, half(half(l, r), t), half(l, c), half(l, t), half(c, t), half(t, r), half(half(l, c), half(t, r)),
+            )[m - 1]
+    return out
 
 
 def invert_predictor(pixels: np.ndarray, modes: np.ndarray, tile: int) -> np.ndarray:
-    """Adds to each residual (h x w) the prediction of its tile's mode (green channel of ``modes``)."""
+    """Adds to each residual (h x w) the prediction of its tile's mode (green channel of ``modes``).
+
+    Pixels with equal x + 2 y depend only on smaller ones, so they are decoded together.
+    """
     h, w = pixels.shape
-    parts, mode = _bytes_of(pixels), (modes >> _U32(8)) & _U32(15)
-    for y in range(h):
-        for x in range(w):
-            if y == 0:
-                guess = np.array([255, 0, 0, 0], np.int32) if x == 0 else parts[0, x - 1]
-            elif x == 0:
-                guess = parts[y - 1, 0]
-            else:
-                beyond = parts[y - 1, x + 1] if x + 1 < w else parts[y, 0]
-                guess = _predict(int(mode[y >> tile, x >> tile]), parts[y, x - 1], parts[y - 1, x], beyond, parts[y - 1, x - 1])
-            parts[y, x] = (parts[y, x] + guess) & 255
+    parts, mode = _bytes_of(pixels), ((modes >> _U32(8)) & _U32(15)).astype(np.int32)
+    parts[0, 0] = (parts[0, 0] + (255, 0, 0, 0)) & 255
+    parts[0] = np.cumsum(parts[0], 0) & 255  # the first row adds its left neighbour
+    for front in range(2, w + 2 * (h - 1)):
+        y = np.arange(max(1, (front - w + 2) // 2), min(h - 1, front // 2) + 1)
+        x = front - 2 * y
+        if not len(y):
+            continue
+        beyond = np.where((x + 1 < w)[:, None], parts[y - 1, np.minimum(x + 1, w - 1)], parts[y, 0])
+        guess = _predict(mode[y >> tile, x >> tile], parts[y, x - 1], parts[y - 1, x], beyond, parts[y - 1, x - 1])
+        guess[x == 0] = parts[y - 1, 0][x == 0]
+        parts[y, x] = (parts[y, x] + guess) & 255
     return _number_of(parts)
 
 
