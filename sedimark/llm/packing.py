@@ -13,6 +13,8 @@ rows are spread over keys. A sequence's id is its task's partition number times
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -24,34 +26,101 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from sedimark.llm.bpe import byte_alphabet
 from sedimark.llm.common import portions, texts
 
 LENGTH, END = 2048, 1
 #: Pieces in one sequence, loss-bearing tokens in one sequence, and open sequences of a task.
 SEGMENTS, LOSS, OPEN = 64, 2048, 48
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
+
+
+#: Texts of these characters need no Unicode normalisation, and lower-casing them never depends on their neighbours.
+_PLAIN = re.compile("[\\x09-\\x0d\\x20-\\x7e\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]*+")
+#: The words of such a text, as the tokenizer's own pattern cuts them.
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\xdf-\\xf6\\xf8-\\xff]+|[0-9]|[^\\x09-\\x0d\\x20a-z0-9\\xdf-\\xf6\\xf8-\\xff]+")
+
+
+_ASCII_SPACE = re.compile("[\\x09-\\x0d\\x20]+")
 
 
 class WordCodec:
-    """Ids by a tokenizer that drops white space: chunks between ASCII white space are encoded once each."""
+    """Ids by a lower-casing tokenizer that drops white space and ends words with a suffix.
+
+    A text of plain letters is cut into words here, and new words go to the tokenizer's model together, without its
+    normaliser, which has nothing to do for them. In other texts only the chunks between ASCII white space that are
+    not plain go to the tokenizer as they are: white space is never inside a token. Of known words and chunks two
+    generations are held; those in use move to the younger.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        bare = json.loads(self.tokenizer.to_str())
+        suffix = bare["model"]["end_of_word_suffix"]
+        self.special = [t["content"] for t in bare["added_tokens"]]
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(bare))
+        vocabulary = bare["model"]["vocab"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.alphabet = {b: c for c, b in byte_alphabet().items()} | {32: " "}
+        self.chunks: list[dict[str, bytes]] = [{}, {}]
+        self.words: list[dict[str, bytes]] = [{}, {}]
 
-    def encode(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        chunks, known = text.split(), self.known
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            if len(known) > _REMEMBERED:
-                known.clear()
-                new = list(set(chunks))
-            for chunk, got in zip(new, self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)):
-                known[chunk] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+    @staticmethod
+    def _unknown(held: list[dict], wanted: set) -> list:
+        if len(held[0]) > _REMEMBERED:
+            held[:] = [{}, held[0]]
+        young, old = held
+        new = wanted.difference(young)
+        young.update((x, old[x]) for x in new.intersection(old))
+        return list(new.difference(young))
+
+    def _learn_words(self, wanted: set[str]) -> None:
+        new = self._unknown(self.words, wanted)
+        known = self.words[0]
+        for k in range(0, len(new), 1000):
+            part = new[k : k + 1000]
+            line = " ".join(part).encode().decode("latin-1").translate(self.alphabet)
+            ids = np.array(self.model.encode(line, add_special_tokens=False).ids, "<u4")
+            end = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(end) != len(part):
+                raise ValueError("the tokenizer does not end each word with its suffix")
+            whole, first = ids.tobytes(), 0
+            for w, j in zip(part, end):
+                known[w] = whole[first:j]
+                first = j
+
+    def _plain(self, s: str) -> bool:
+        return _PLAIN.fullmatch(s) is not None and not ("<" in s and any(x in s for x in self.special))
+
+    def _mixed(self, text: str) -> bytes:
+        out = []
+        for chunk in filter(None, _ASCII_SPACE.split(text)):
+            if self._plain(chunk):
+                words = _WORDS.findall(chunk.lower())
+                self._learn_words(set(words))
+                out += map(self.words[0].__getitem__, words)
+            else:
+                young, old = self.chunks
+                ids = young.get(chunk) or old.get(chunk) or np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+                if len(young) > _REMEMBERED:
+                    self.chunks = [{}, young]
+                self.chunks[0][chunk] = ids
+                out.append(ids)
+        return b"".join(out)
+
+    def encode(self, texts_: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        decoded = [t.decode() for t in texts_]
+        words = [_WORDS.findall(s.lower()) if self._plain(s) else None for s in decoded]
+        self._learn_words(set().union(*(w for w in words if w)))
+        known = self.words[0]
+        ready = [None if w is None else b"".join(map(known.__getitem__, w)) for w in words]
+        for s, ids in zip(decoded, ready):
+            yield self._mixed(s) if ids is None else ids
 
 
 @lru_cache(2)
@@ -194,9 +263,9 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGME
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
         packer, end = Packer(emit, length, segments, loss, most_open), np.array([END], "<u4").tobytes()
-        for part in portions(batches, "text", 2 << 20):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts(part.column("text"))):
-                ids = own.encode(text) + end
+        for part in portions(batches, "text", 4 << 20):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), own.encode(texts(part.column("text")))):
+                ids += end
                 packer.add((doc_id, ids), len(ids) // 4)
             yield rows()
         packer.finish()

@@ -60,3 +60,11 @@ def test_pack(spark):
             at += r.length
         assert at <= 2048 and (at == 2048 or at & (at - 1) == 0)
     assert packing.pack(df.limit(0), PATH).count() == 0
+
+
+def test_word_codec_equals_the_library():
+    lib, own, pick = Tokenizer.from_file(PATH), packing.WordCodec(PATH), random.Random(9)
+    parts = ["Word", "naïve", "ÀÉß", "'s", "'RE", "'", "12", "...", "×", "é", "中", " ", "\n", "<|endoftext|>", "<|", "!?", "İ", "Σ", "ª", "x" * 40, "\x7f", "\x01"]
+    samples = ["".join(pick.choice(parts) for _ in range(pick.randrange(30))) for _ in range(3000)] + [chr(c) + "aZ" for c in range(0x300)]
+    for s, ids in zip(samples, own.encode([s.encode() for s in samples])):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(s, add_special_tokens=False).ids, s
