@@ -91,3 +91,10 @@ def domain_candidates(evidence: DataFrame, organization: str) -> DataFrame:
 def domain_sets(domains: DataFrame, organization: str) -> DataFrame:
     """(organization, domains): the sets of candidate or verified domains."""
     return domains.where(F.col("status").isin("CANDIDATE", "VERIFIED")).groupBy(organization).agg(F.array_sort(F.collect_set("domain")).alias("domains"))
+
+
+def enrichment_summary(mention_rows: DataFrame, url_rows: DataFrame, domains: DataFrame) -> DataFrame:
+    """One row of counts of an enrichment pass."""
+    out = mention_rows.agg(F.count("*").alias("mention_evidence")).crossJoin(url_rows.agg(F.count("*").alias("url_evidence")))
+    both = domains.agg(F.count("*").alias("domain_candidates"), F.count_if(F.col("status") == "VERIFIED").alias("verified_domains"))
+    return out.crossJoin(both)  # of one row each

@@ -445,6 +445,15 @@ def shared_domain_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(c, "d").where("a_id < b_id").where(F.col("d") == F.array_min(shared)).select("a_id", "b_id", shared.alias("shared"))
 
 
+@query(f"""
+WITH {_POSTINGS}, {_EVIDENCE}
+SELECT (SELECT count(*) FROM postings WHERE mention_text IS NOT NULL)::BIGINT AS mention_evidence, (SELECT count(*) FROM ev)::BIGINT AS url_evidence,
+  (SELECT count(DISTINCT (page_id % 20, domain)) FROM ev WHERE domain IS NOT NULL)::BIGINT AS domain_candidates, 0::BIGINT AS verified_domains""")
+def enrichment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mentions = orgs.mention_evidence(b.postings(spark, sf_dir).where("mention_text IS NOT NULL"))
+    return orgs.enrichment_summary(mentions, url_evidence(spark, sf_dir), domain_candidates(spark, sf_dir))
+
+
 # --- entity-resolution pairs ----------------------------------------------------------------------------------------
 
 _PAIRS = f"""
@@ -520,6 +529,11 @@ def er_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return er.summary(pairs, er.review_selection(pairs), postings)
 
 
+@query(_SELECTED + """ SELECT 'stratum' AS kind, stratum AS value, count(*)::BIGINT AS n FROM selected GROUP BY stratum UNION ALL SELECT 'label', 'UNRESOLVED', count(*)::BIGINT FROM selected""")
+def er_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return er.histograms(er.review_selection(er.candidate_pairs(b.postings(spark, sf_dir))))
+
+
 @query(f"WITH {_POSTINGS} SELECT n_name, p.id, p.org, s_name FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey LEFT JOIN postings p ON p.id = s_suppkey")
 def posting_left_join_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, supplier = b.table(spark, sf_dir, "nation"), b.table(spark, sf_dir, "supplier")
