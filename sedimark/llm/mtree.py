@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sedimark.llm.common import written
 
-K, EVERY, CHUNK, BLOCK, PAGE, FANOUT = 5, 50, 8192, 1024, 48, 12
+K, EVERY, CHUNK, BLOCK, PAGE, FANOUT = 5, 50, 8192, 1024, 1024, 12
 _LONG = 2**63 - 1
 
 
@@ -40,19 +40,27 @@ def quantised(column: pa.Array) -> np.ndarray:
 
 
 class Tree:
-    """An M-tree over vectors with whole components; nodes are numbered, 0 is the root."""
+    """An M-tree over vectors with whole components; nodes are numbered, 0 is the root.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.routing: list[int] = []  # the routing vector's row
+    The vectors of a leaf lie together, far from its routing vector first, so that a bound cuts them at one place.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE):
+        self.ids, self.vectors, self.page = ids, vectors, page
+        self.routing: list[int] = []  # the routing vector's row while building, then the vector
         self.radius: list[float] = []
         self.parent_distance: list[float] = []
         self.children: list[list[int]] = []
-        self.rows: list[np.ndarray] = []  # of a leaf: its vectors' rows, far from the routing vector first
-        self.distance: list[np.ndarray] = []
+        self.leaf: list[tuple[int, int]] = []  # of a leaf: its rows
+        self.distance: list[np.ndarray] = []  # of a leaf: its vectors' distances to the routing vector, negated, rising
+        self._order: list[np.ndarray] = []
+        self._placed = 0
         self._pick = np.random.default_rng(1)
         if len(ids) and vectors.dtype != object:
             self._node(np.arange(len(ids)), 0, None)
+            order = np.concatenate(self._order)
+            self.routing = [vectors[r] for r in self.routing]
+            self.ids, self.vectors = ids[order], np.ascontiguousarray(vectors[order])
 
     def _far(self, centre: int, rows: np.ndarray) -> np.ndarray:
         return np.sqrt(((self.vectors[rows] - self.vectors[centre]) ** 2).sum(1))
@@ -64,13 +72,16 @@ class Tree:
         self.radius.append(float(far.max()))
         self.parent_distance.append(0.0 if parent is None else float(self._far(parent, np.array([centre]))[0]))
         self.children.append([])
-        order = np.argsort(-far, kind="stable") if len(rows) <= PAGE else np.zeros(0, np.int64)
-        self.rows.append(rows[order])
-        self.distance.append(far[order])
-        if len(rows) <= PAGE:
+        self.leaf.append((0, 0))
+        self.distance.append(np.zeros(0))
+        if len(rows) <= self.page:
+            order = np.argsort(-far, kind="stable")
+            self._order.append(rows[order])
+            self.leaf[me], self.distance[me] = (self._placed, self._placed + len(rows)), -far[order]
+            self._placed += len(rows)
             return me
         if not far.max():  # copies of one vector: pages of equal size
-            parts = [(p, int(p[0])) for p in np.array_split(rows, min(FANOUT, -(-len(rows) // PAGE)))]
+            parts = [(p, int(p[0])) for p in np.array_split(rows, min(FANOUT, -(-len(rows) // self.page)))]
         else:
             pivots = self._pick.choice(rows, min(FANOUT, len(rows)), replace=False)
             near = np.argmin([self._far(int(p), rows) for p in pivots], 0)
@@ -89,35 +100,38 @@ class Tree:
             scores = self.vectors.astype(object) @ query.astype(object)
             return sorted(((int(s), int(i)) for s, i in zip(scores, self.ids) if i != own), key=lambda x: (-x[0], x[1]))[:k], len(self.ids)
         norm = float(np.sqrt(query @ query)) * (1 + 1e-9) + 1e-9  # so that rounding never cuts a bound short
-        dot = float(self.vectors[self.routing[0]] @ query)
+        dot = float(self.routing[0] @ query)
         best: list[tuple[int, int]] = []  # heap of (score, -id)
-        queue, taken = [(-(dot + norm * self.radius[0]), 0, dot)], 1
+        queue, taken, floor = [(-(dot + norm * self.radius[0]), 0, dot)], 1, -np.inf
         while queue:
             bound, node, dot = heapq.heappop(queue)
-            floor = best[0][0] if len(best) == k else -np.inf
             if -bound < floor:
                 break
-            if not self.children[node]:
-                far = self.distance[node]
-                n = len(far) if floor == -np.inf else int(np.searchsorted(-far, (dot - floor) / norm, "right")) if norm else len(far)
-                rows = self.rows[node][:n]
-                taken += n
-                for s, i in zip((self.vectors[rows] @ query).tolist(), self.ids[rows].tolist()):
-                    if s >= floor and i != own:
-                        item = (int(s), -i)
-                        if len(best) < k:
-                            heapq.heappush(best, item)
-                        elif item > best[0]:
-                            heapq.heapreplace(best, item)
-                            floor = best[0][0]
+            if self.children[node]:
+                for child in self.children[node]:
+                    if dot + norm * (self.parent_distance[child] + self.radius[child]) < floor:
+                        continue
+                    below = float(self.routing[child] @ query)
+                    taken += 1
+                    if below + norm * self.radius[child] >= floor:
+                        heapq.heappush(queue, (-(below + norm * self.radius[child]), child, below))
                 continue
-            for child in self.children[node]:
-                if dot + norm * (self.parent_distance[child] + self.radius[child]) < floor:
-                    continue
-                below = float(self.vectors[self.routing[child]] @ query)
-                taken += 1
-                if below + norm * self.radius[child] >= floor:
-                    heapq.heappush(queue, (-(below + norm * self.radius[child]), child, below))
+            first, last = self.leaf[node]
+            if floor > -np.inf:
+                last = first + int(np.searchsorted(self.distance[node], (dot - floor) / norm, "right"))
+            scores = self.vectors[first:last] @ query
+            taken += last - first
+            if len(scores) > 2 * k:  # only what can be among the k best, ties included
+                floor = max(floor, float(np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]))
+            good = np.flatnonzero(scores >= floor)
+            for s, i in zip(scores[good].tolist(), self.ids[first:last][good].tolist()):
+                if i != own:
+                    item = (int(s), -i)
+                    if len(best) < k:
+                        heapq.heappush(best, item)
+                    elif item > best[0]:
+                        heapq.heapreplace(best, item)
+            floor = best[0][0] if len(best) == k else -np.inf
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1])), taken
 
 
@@ -161,7 +175,7 @@ def search(embeddings: DataFrame, k: int = K, every: int = EVERY, chunk: int = C
     trees = _packed(rows, "chunk", chunks)
     # every block of the stated queries meets every chunk once
     queries = _packed(asked, "block", blocks).select("block", F.col("blob").alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    work = queries.join(trees, "chunk")
+    work = queries.join(trees, "chunk").repartition(chunks, "chunk")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, tree = None, None
