@@ -58,12 +58,25 @@ def _before(w: _Words) -> list[str]:
     return out
 
 
+def _comments_title(w: _Words) -> str:
+    p = w.pick
+    tag = p.choice(["h2", "h3", "h4", "p"])
+    return f"<{tag}>{p.choice(['Comments', f'{p.randrange(2, 90)} comments', w.some(1, 4).capitalize(), w.sentence()])}</{tag}>"
+
+
+def _aside(w: _Words) -> str:
+    """What stands inside an article without being part of it."""
+    p = w.pick
+    inner = p.choice([f"<p>{w.paragraph()}</p>", f"<h4>{w.some(1, 4)}</h4><p>{w.sentence()}</p>", _menu(w)])
+    return p.choice([f"<aside>{inner}</aside>", f"<aside>{inner}</aside>", f'<div class="related">{inner}</div>', f'<form><label>{w.some(1, 3)}</label><input><button>{w.some(1, 3)}</button></form>', _notice(w)])
+
+
 def _after(w: _Words) -> list[str]:
     p = w.pick
     out = []
     if p.random() < 0.3:
         each = "".join(p.choice([f"<li>{w.paragraph()}</li>", f'<div class="comment"><b>{w.word()}</b><p>{w.paragraph()}</p></div>']) for _ in range(p.randrange(1, 4)))
-        out.append(f'<{(t := p.choice(["div", "section", "ol"]))} {p.choice(["id", "class"])}="{p.choice(["comments", "comment-list", "responses"])}"><h3>Comments</h3>{each}</{t}>')
+        out.append(f'<{(t := p.choice(["div", "section", "ol"]))} {p.choice(["id", "class"])}="{p.choice(["comments", "comment-list", "responses", "discussion"])}">{_comments_title(w)}{each}</{t}>')
     if p.random() < 0.35:
         out.append(f'<{(t := p.choice(["aside", "div"]))} class="{p.choice(["sidebar", "related", "widget"])}"><h4>{w.some(1, 4)}</h4>{p.choice([_menu(w), "<p>" + w.paragraph() + "</p>"])}</{t}>')
     if p.random() < 0.3:
@@ -113,8 +126,8 @@ def pages(n: int, seed: int = 11) -> list[list[tuple[str, int]]]:
         page += [(x, 0) for x in _before(w)] + [(start, 0)]
         for x in _article(w):
             page.append((x, 1))
-            if p.random() < 0.03:
-                page.append((_notice(w), 0))
+            if p.random() < 0.08:
+                page.append((_aside(w), 0))
         page += [(end, 0)] + [(x, 0) for x in _after(w)] + [("</body></html>", 0)]
         out.append(page)
     return out
