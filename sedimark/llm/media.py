@@ -64,17 +64,54 @@ def load(media: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def feature(samples: np.ndarray) -> str:
-    """Height, mean and deviation of the samples, entropy in bits, and a 64-bit difference hash of the column means."""
-    counts = np.bincount(samples.ravel(), minlength=256)
-    n = counts.sum()
-    levels = np.arange(256)
-    mean = float(counts @ levels) / n
-    spread = float(counts @ (levels - mean) ** 2 / n) ** 0.5
-    share = counts[counts > 0] / n
-    columns = samples.sum((0, 2), dtype=np.int64)
-    dhash = int((_BITS * (columns > np.roll(columns, 1))).sum(dtype=np.uint64))
-    return f"rows={len(samples)};mean={mean:.4f};std={spread:.4f};entropy={float(-(share * np.log2(share)).sum()) + 0.0:.4f};dhash={dhash:016x}"
+class Summary:
+    """Digests and features of one text, gathered over its pieces from the bytes read back."""
+
+    def __init__(self):
+        self.payload, self.media = hashlib.sha256(), hashlib.sha256()
+        self.rows = self.media_bytes = 0
+        self.tail = b""
+        self.counts = np.zeros(256, np.int64)
+        self.columns = np.zeros(WIDTH, np.int64)
+
+    def add(self, media: bytes, samples: np.ndarray) -> None:
+        data = samples.tobytes()
+        self.payload.update(data)
+        self.media.update(media)
+        self.rows += len(samples)
+        self.media_bytes += len(media)
+        self.tail = data[-16:]
+        self.counts += np.bincount(samples.ravel(), minlength=256)
+        self.columns += samples.sum((0, 2), dtype=np.int64)
+
+    def feature(self) -> str:
+        """Height, mean and deviation of the samples, entropy in bits, and a 64-bit difference hash of the column sums."""
+        n, levels = self.counts.sum(), np.arange(256)
+        mean = float(self.counts @ levels) / n
+        spread = float(self.counts @ (levels - mean) ** 2 / n) ** 0.5
+        share = self.counts[self.counts > 0] / n
+        dhash = int((_BITS * (self.columns > np.roll(self.columns, 1))).sum(dtype=np.uint64))
+        return f"rows={self.rows};mean={mean:.4f};std={spread:.4f};entropy={float(-(share * np.log2(share)).sum()) + 0.0:.4f};dhash={dhash:016x}"
+
+    def row(self) -> tuple:
+        return (self.rows * ROW, self.payload.hexdigest(), zlib.crc32(self.tail), self.media_bytes, self.media.hexdigest(), self.feature())
+
+
+def summaries(data: np.ndarray, at: np.ndarray) -> Iterator[Summary]:
+    """The summary of each text; one longer than ``PORTION`` is stored and read back in whole strips, piece by piece."""
+    if len(at) == 2 and at[1] - at[0] > PORTION:
+        out, step = Summary(), PORTION // (STRIP * ROW) * STRIP * ROW
+        for first in range(at[0], at[1], step):
+            piece = data[first : min(first + step, at[1])]
+            stored, _ = store(piece, np.array([0, len(piece)]))
+            out.add(stored[0], load(stored)[0])
+        yield out
+        return
+    media, _ = store(data, at)
+    for stored, samples in zip(media, load(media)):
+        out = Summary()
+        out.add(stored, samples)
+        yield out
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
@@ -89,12 +126,9 @@ def round_trip(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(batches, "text", PORTION):
             data, at = raw(part.column("text"))
-            media, _ = store(data, at)
             out: list[list] = [[] for _ in range(6)]
-            for stored, samples in zip(media, load(media)):
-                payload = samples.tobytes()
-                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(samples))
-                for column, v in zip(out, values):
+            for found in summaries(data, at):
+                for column, v in zip(out, found.row()):
                     column.append(v)
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at)), *(pa.array(c, t) for c, t in zip(out, kinds))], names)

@@ -22,8 +22,18 @@ def test_round_trip(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(b), len(payload), hashlib.sha256(payload).hexdigest())
         assert r.tail_crc32 == zlib.crc32(payload[-16:])
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
-        assert r.feature == media.feature(np.frombuffer(payload, np.uint8).reshape(-1, 64, 3))
+        own = media.Summary()
+        own.add(stored, np.frombuffer(payload, np.uint8).reshape(-1, 64, 3))
+        assert r.feature == own.feature()
     assert len({tuple(r)[1:] for r in got if r.doc_id in (None, 4)}) == 1
     assert media.round_trip(df.limit(0)).count() == 0
     long = next(r for r in got if r.doc_id == 8)
     assert long.media_bytes < 0.5 * long.payload_bytes
+
+
+def test_long_texts_are_stored_in_pieces(monkeypatch):
+    data = np.frombuffer("".join(random.Random(1).choice("abc \n") for _ in range(100_001)).encode(), np.uint8)
+    at = np.array([0, len(data)])
+    whole = next(media.summaries(data, at)).row()
+    monkeypatch.setattr(media, "PORTION", 20_000)
+    assert next(media.summaries(data, at)).row() == whole
