@@ -24,6 +24,8 @@ from sedimark.llm.common import portions, raw
 
 #: Distinct fragments that one task remembers before it starts afresh.
 REMEMBERED = 300_000
+#: Fragments of one very long text that are encoded at once.
+BLOCK = 1_000_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -93,12 +95,23 @@ class Codec:
     def encode(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[list[int]]:
         """The ids of each of several texts lying one after another in ``text``."""
         at = self.splitter.cuts(text, starts)
-        whole, place = text.tobytes(), [*at.tolist(), len(text)]
-        fragments = [whole[i:j] for i, j in zip(place, place[1:])]
-        self.learn(fragments)
-        known = self.known
-        for i, j in zip(np.searchsorted(at, starts).tolist(), np.searchsorted(at, ends).tolist()):
-            yield [x for f in fragments[i:j] for x in known[f]]
+        whole, at = text.tobytes(), np.r_[at, len(text)]
+        bounds = list(zip(np.searchsorted(at, starts).tolist(), np.searchsorted(at, ends).tolist()))
+        if len(bounds) > 1 or not bounds or bounds[0][1] - bounds[0][0] <= BLOCK:
+            place = at.tolist()
+            fragments = [whole[i:j] for i, j in zip(place, place[1:])]
+            self.learn(fragments)
+            known = self.known
+            for i, j in bounds:
+                yield [x for f in fragments[i:j] for x in known[f]]
+            return
+        ids: list[int] = []  # one very long text: block by block
+        for k in range(*bounds[0], BLOCK):
+            place = at[k : min(k + BLOCK, bounds[0][1]) + 1].tolist()
+            fragments = [whole[i:j] for i, j in zip(place, place[1:])]
+            self.learn(fragments)
+            ids += [x for f in fragments for x in self.known[f]]
+        yield ids
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")

@@ -41,6 +41,21 @@ _PLAIN = re.compile("[\\x09-\\x0d\\x20-\\x7e\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]*+
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\xdf-\\xf6\\xf8-\\xff]+|[0-9]|[^\\x09-\\x0d\\x20a-z0-9\\xdf-\\xf6\\xf8-\\xff]+")
 
 
+#: Bytes of one text that are encoded at once.
+LONG = 8 << 20
+
+
+def _cut_at_space(text: bytes) -> Iterator[bytes]:
+    """Pieces of about half of ``LONG`` that begin at ASCII white space; a longer run without any stays whole."""
+    first = 0
+    while first < len(text):
+        found = _BYTE_SPACE.search(text, first + LONG // 2)
+        last = found.start() if found else len(text)
+        yield text[first:last]
+        first = last
+
+
+_BYTE_SPACE = re.compile(rb"[\x09-\x0d\x20]")
 _ASCII_SPACE = re.compile("[\\x09-\\x0d\\x20]+")
 
 
@@ -113,7 +128,13 @@ class WordCodec:
         return b"".join(out)
 
     def encode(self, texts_: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        """The ids of each text as little-endian unsigned 32-bit numbers; a very long one is cut at white space."""
+        if len(texts_) == 1 and len(texts_[0]) > LONG:
+            yield b"".join(x for part in _cut_at_space(texts_[0]) for x in self._encode([part]))
+        else:
+            yield from self._encode(texts_)
+
+    def _encode(self, texts_: list[bytes]) -> Iterator[bytes]:
         decoded = [t.decode() for t in texts_]
         words = [_WORDS.findall(s.lower()) if self._plain(s) else None for s in decoded]
         self._learn_words(set().union(*(w for w in words if w)))

@@ -46,3 +46,10 @@ def test_query_form(spark, lib):
         want.append((i, len(ids), digest(",".join(map(str, ids))), digest(lib.decode(ids, skip_special_tokens=False))))
     assert got == sorted(want, key=str)
     assert bpe.round_trip(df.limit(0), PATH).count() == 0
+
+
+def test_a_long_text_is_encoded_in_blocks(lib, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 7)
+    text = "".join(TRICKY)
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert list(bpe.Codec(PATH).encode(data, np.array([0]), np.array([len(data)]))) == [lib.encode(text, add_special_tokens=False).ids]

@@ -68,3 +68,10 @@ def test_word_codec_equals_the_library():
     samples = ["".join(pick.choice(parts) for _ in range(pick.randrange(30))) for _ in range(3000)] + [chr(c) + "aZ" for c in range(0x300)]
     for s, ids in zip(samples, own.encode([s.encode() for s in samples])):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(s, add_special_tokens=False).ids, s
+
+
+def test_a_long_text_is_encoded_in_pieces(monkeypatch):
+    text = ("Some wörds, 12 中 don't\n" * 40 + "x" * 300 + " end").encode()
+    whole = list(packing.WordCodec(PATH).encode([text]))
+    monkeypatch.setattr(packing, "LONG", 64)
+    assert list(packing.WordCodec(PATH).encode([text])) == whole
