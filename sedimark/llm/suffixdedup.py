@@ -59,8 +59,23 @@ def _stir(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8)."""
+def minimizers(text: np.ndarray, step: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8).
+
+    A position is one or not by the ``SPAN`` bytes on its two sides alone, so a long text is taken ``step`` bytes at a time.
+    """
+    if len(text) <= step + 2 * SPAN:
+        return _minimizers(text)
+    found = []
+    for first in range(0, len(text), step):
+        low = max(0, first - SPAN)
+        h, at = _minimizers(text[low : first + step + SPAN])
+        own = (at + low >= first) & (at + low < first + step)
+        found.append((h[own], at[own] + low))
+    return np.concatenate([h for h, _ in found]), np.concatenate([at for _, at in found])
+
+
+def _minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(text) < SPAN:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
@@ -338,10 +353,10 @@ def _marks(table: pa.Table) -> pa.Table:
 
 def covered(size: int, starts: np.ndarray) -> tuple[np.ndarray, int]:
     """Which of ``size`` bytes windows at ``starts`` cover, and in how many runs."""
-    edge = np.zeros(size + 1, np.int64)
+    edge = np.zeros(size + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, np.minimum(starts + SPAN, size), -1)
-    gone = np.cumsum(edge[:-1]) > 0
+    gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
     return gone, int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
 
 

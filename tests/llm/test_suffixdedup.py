@@ -41,6 +41,14 @@ def test_every_window_has_a_minimizer():
     assert all(any(s <= a <= s + sd.REACH for a in at) for s in range(len(text) - sd.SPAN + 1))
 
 
+def test_a_long_text_is_taken_in_steps():
+    pick = random.Random(3)
+    text = np.array([pick.choice(b"abc ") for _ in range(5000)] + [122] * 400, np.uint8)
+    whole = sd.minimizers(text)
+    for step in (200, 333, 5000):
+        assert all((x == y).all() and len(x) == len(y) for x, y in zip(whole, sd.minimizers(text, step)))
+
+
 def test_matches_brute_force(spark):
     pick = random.Random(7)
     word = lambda n: "".join(pick.choice("abcdé ") for _ in range(n))
