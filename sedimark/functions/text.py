@@ -43,13 +43,18 @@ def norm_text(s: Column) -> Column:
 def casefold(s: Column) -> Column:
     """Full case folding, by Python's tables and not the JVM's, which may know other letters.
 
-    The few letters that fold to several are looked up only in texts that have one.
+    Most letters become one other; sharp s is replaced in place; the few others that fold to several are looked up
+    letter by letter, and only in texts that have one.
     """
     before, after, long = fold_tables()
+    sharp = {c: f for c, f in long.items() if f == "ss"}
     folded = F.translate(s, before, after)
-    table = F.create_map(*[F.lit(x) for pair in long.items() for x in pair])
+    for c, f in sharp.items():
+        folded = F.replace(folded, F.lit(c), F.lit(f))
+    rest = {c: f for c, f in long.items() if c not in sharp}
+    table = F.create_map(*[F.lit(x) for pair in rest.items() for x in pair])
     each = F.transform(F.split(folded, ""), lambda c: F.coalesce(F.element_at(table, c), c))
-    return F.when(folded.rlike("[" + "".join(long) + "]"), F.array_join(each, "")).otherwise(folded)
+    return F.when(folded.rlike("[" + "".join(rest) + "]"), F.array_join(each, "")).otherwise(folded)
 
 
 def norm_key(s: Column) -> Column:
