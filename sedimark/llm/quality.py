@@ -160,6 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # at most ``sample`` pairs of numbers go to every task
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # however many rows share an id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -169,9 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "at", "weight", "stats"])
 
     got = rows.mapInArrow(run, "doc_id long, quality int, at array<int>, weight array<float>, stats array<double>").toArrow()
-    found = sorted({i: (q, a, w, s) for i, q, a, w, s in zip(*(got.column(c).to_pylist() for c in ("doc_id", "quality", "at", "weight", "stats")))}.items())[: 2 * sample]
-    rows = [(np.array(a, np.int64), np.array(w, np.float64), np.array(s)) for _, (_, a, w, s) in found]
-    return fit(rows, np.array([q for _, (q, *_) in found], np.float64))
+    found = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "quality", "at", "weight", "stats"))))
+    rows = [(np.array(a, np.int64), np.array(w, np.float64), np.array(s)) for _, _, a, w, s in found]
+    return fit(rows, np.array([q for _, q, *_ in found], np.float64))
 
 
 def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
