@@ -40,6 +40,17 @@ def norm_text(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), f"[{SPACE}]+", " "))
 
 
+def near_class(letters: dict[str, str]) -> str:
+    """A pattern of a few ranges that hold all the letters: a class of many single ones is slow to test."""
+    ranges: list[list[str]] = []
+    for c in sorted(letters):
+        if ranges and ord(c) - ord(ranges[-1][1]) <= 64:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"{a}-{b}" for a, b in ranges) + "]"
+
+
 def casefold(s: Column) -> Column:
     """Full case folding, by Python's tables and not the JVM's, which may know other letters.
 
@@ -53,8 +64,12 @@ def casefold(s: Column) -> Column:
         folded = F.replace(folded, F.lit(c), F.lit(f))
     rest = {c: f for c, f in long.items() if c not in sharp}
     table = F.create_map(*[F.lit(x) for pair in rest.items() for x in pair])
-    each = F.transform(F.split(folded, ""), lambda c: F.coalesce(F.element_at(table, c), c))
-    return F.when(folded.rlike("[" + "".join(rest) + "]"), F.array_join(each, "")).otherwise(folded)
+
+    def letters(x: Column) -> Column:
+        each = F.transform(F.split(x, ""), lambda c: F.coalesce(F.element_at(table, c), c))
+        return F.when(x.rlike(near_class(rest)), F.array_join(each, "")).otherwise(x)
+
+    return F.transform(F.array(folded), letters)[0]  # so that the folded text is computed once
 
 
 def norm_key(s: Column) -> Column:
