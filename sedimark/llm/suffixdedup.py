@@ -401,6 +401,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP, hot: int = HOT, ca
     groups = groups_for(total, group_bytes)
     group = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp")
     least = size.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    least = written(least, "firsts")  # a table of its own: Spark then splits a digest that many texts share
     copies = size.join(least, "sha").where("doc_id > first").select(group, "doc_id", F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long").alias("sha8")).distinct()
 
     def listed(table: pa.Table) -> pa.Table:
