@@ -104,7 +104,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         batch = batch if low is None else batch.where(F.col("doc_id") > low)
         batch = batch if high is None else batch.where(F.col("doc_id") <= high)
         runs.add(batch, min_docs)
-    dropped = runs.entries().where(F.col("n") >= min_docs).select("key", "top")
+    # a table of its own: Spark then splits a key that many documents share
+    dropped = written(runs.entries().where(F.col("n") >= min_docs).select("key", "top"), "dropped")
     lost = keys.join(dropped, "key").where("doc_id < top")
     return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
