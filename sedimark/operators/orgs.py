@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimark.functions.text import casefold, norm_key, norm_text
 from sedimark.functions.urls import domain, find_urls
+from sedimark.operators.scratch import cut
 
 # Parts of payload paths that mark an organisation's own URL, and its profile at the source.
 OWN_URL_PATHS = ("website", "webSite", "companyUrl", "employerUrl", "corporateUrl", "careersUrl", "careerUrl", "homepage", "sameAs")
 PROFILE_PATHS = ("profileUrl", "companyProfile", "employerProfile")
 HIRING_PATH = "hiringorganization"
+#: So many levels of a JSON walk are read as one plan; more are written together first.
+UNITED = 32
 
 
 def seed(mentions: DataFrame, order: str) -> DataFrame:
@@ -35,20 +40,25 @@ def participations(mentions: DataFrame, revision: str) -> DataFrame:
 def json_leaves(payloads: DataFrame, key: str, json: str, root: str = "source_projection") -> DataFrame:
     """(key, path, value): the leaves of JSON payloads depth first, as dotted and indexed paths; value is null unless a string.
 
-    Bad JSON has no leaves, empty containers neither. Every level of nesting is one step of a recursive query.
+    Bad JSON has no leaves, empty containers neither. The walk goes level by level over durable tables until no container
+    is left, so neither rows nor levels are capped; jobs run while the result is made, two for each level. Spark's parser
+    takes JSON of at most 1,000 levels as good.
     """
-    view = "_sedimark_payloads"
-    payloads.select(F.col(key).alias("k"), F.try_parse_json(F.col(json).cast("string")).alias("v")).where("v IS NOT NULL").createOrReplaceTempView(view)
-    return payloads.sparkSession.sql(f"""
-        WITH RECURSIVE walk(k, path, v) AS (
-          SELECT k, '{root}', v FROM {view}
-          UNION ALL
-          SELECT w.k, CASE WHEN e.key IS NULL THEN concat(w.path, '[', e.pos, ']') ELSE concat(w.path, '.', e.key) END, e.value
-          FROM walk w, LATERAL variant_explode(w.v) e
-        )
-        SELECT k AS {key}, path, CASE WHEN schema_of_variant(v) = 'STRING' THEN CAST(v AS STRING) END AS value
-        FROM walk WHERE NOT (schema_of_variant(v) LIKE 'OBJECT%' OR schema_of_variant(v) LIKE 'ARRAY%')
-    """)
+    kind = F.schema_of_variant("v")
+    deep = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    level = payloads.select(F.col(key).alias("k"), F.lit(root).alias("path"), F.try_parse_json(F.col(json).cast("string")).alias("v")).where("v IS NOT NULL")
+    found: list[DataFrame] = []
+    while True:
+        level = cut(level.withColumn("deep", deep))
+        found.append(level.where("NOT deep").select(F.col("k").alias(key), "path", F.when(kind == "STRING", F.try_variant_get("v", "$", "string")).alias("value")))
+        containers = level.where("deep").select("k", F.col("path").alias("above"), F.col("v").alias("inside"))
+        if containers.isEmpty():
+            return reduce(DataFrame.unionAll, found)
+        if len(found) == UNITED:
+            found = [cut(reduce(DataFrame.unionAll, found))]
+        each = containers.lateralJoin(payloads.sparkSession.tvf.variant_explode(F.col("inside").outer()))
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
+        level = each.select("k", F.concat("above", step).alias("path"), F.col("value").alias("v"))
 
 
 def url_kind(path: Column) -> Column:

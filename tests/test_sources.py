@@ -63,6 +63,13 @@ def test_json_walk_and_url_evidence(spark):
     assert got == {("EXPLICIT_ORGANIZATION_URL", "example.com", "STRONG"), ("HIRING_ORGANIZATION_URL", "hire.example", "STRONG")}
 
 
+def test_json_walk_has_no_caps(spark):
+    many = spark.range(550_000).select("id", F.lit('{"k": 1}').alias("j"))
+    assert orgs.json_leaves(many, "id", "j").count() == 550_000
+    deep = spark.createDataFrame([(1, '{"a":[' * 60 + '"x"' + "]}" * 60)], "id int, j string")
+    assert [(r.path, r.value) for r in orgs.json_leaves(deep, "id", "j").collect()] == [("source_projection" + ".a[0]" * 60, "x")]
+
+
 def test_manifest_and_migrations(spark, tmp_path):
     path = tmp_path / "m.json"
     path.write_text(json.dumps({"sources": {"web": [{"source": "web", "source_posting_id": "1", "url": "u"}]}}))
