@@ -121,8 +121,9 @@ class Tree:
                 last = first + int(np.searchsorted(self.distance[node], (dot - floor) / norm, "right"))
             scores = self.vectors[first:last] @ query
             taken += last - first
-            if len(scores) > 2 * k:  # only what can be among the k best, ties included
-                floor = max(floor, float(np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]))
+            others = scores[self.ids[first:last] != own]  # an id may hold several vectors
+            if len(others) > 2 * k:  # only what can be among the k best, ties included
+                floor = max(floor, float(np.partition(others, len(others) - k)[len(others) - k]))
             good = np.flatnonzero(scores >= floor)
             for s, i in zip(scores[good].tolist(), self.ids[first:last][good].tolist()):
                 if i != own:

@@ -41,6 +41,14 @@ def test_large_scores_and_few_rows(spark):
     assert mtree.search(one).count() == 0
 
 
+def test_several_vectors_of_the_query_id(spark):
+    rows = [(0, [3.0 + k, 0.0]) for k in range(3)] + [(i, [1.0 + i / 100, 0.1]) for i in range(1, 21)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in mtree.search(df).collect()) == slow(rows)
+    tree = mtree.Tree(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]) * 256)
+    assert [i for _, i in tree.top(np.array([768.0, 0.0]), 0, 5)[0]] == [20, 19, 18, 17, 16]
+
+
 def test_bounds_save_products():
     pick = np.random.default_rng(2)
     centre = pick.normal(0, 300, (20, 16))
