@@ -8,7 +8,7 @@ from html import unescape
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _NAME = re.compile("[a-z]+")
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp")
+RAW = ("script", "style", "title", "textarea", "template", "iframe", "svg", "xmp")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 #: A start tag on the left ends an open element on its right, within the nearest container.
@@ -76,13 +76,16 @@ def blocks(html: str) -> list[Block]:
             links = sum(t == "a" for t, _ in stack) if tag == "a" or links else 0
             continue
         if tag in RAW:
+            if tag == "svg" and found[3].endswith("/"):
+                continue
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else n
+            if end or tag != "svg":  # in an svg that never ends, the page goes on
+                at = end.end() if end else n
             continue
         if tag not in INLINE:
             flush()
             ends = ENDS.get(tag, ()) if tag in ENDS else ("p",)
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if tag != "noscript" else ():
                 if stack[k][0] in ends or stack[k][0] == "p":
                     del stack[k:]
                     break

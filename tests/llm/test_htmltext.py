@@ -19,6 +19,16 @@ def test_blocks():
     assert [b.text for b in blocks("<script>never closed <p>x")] == []
 
 
+def test_self_closed_svg_and_noscript(spark):
+    page = PAGE.replace("<p>First", '<p><svg class="icon"/>First').replace("<p>Second", "<noscript><p>Without scripts.</p></noscript><p>Second")
+    assert [b.text for b in blocks(page)][5:8] == ["First particle été.", "Without scripts.", "Second one goes on."]
+    assert [b.text for b in blocks("<p>a<svg/>b<svg><text>no</text></svg>c<svg width=1>d<p>e")] == ["abcd", "e"]
+    kept = blocks("<p>a<noscript>b</noscript>c</p>")
+    assert [b.text for b in kept] == ["a", "b", "c"] and "in=p" in kept[2].path
+    got = htmltext.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first().text
+    assert "First particle été." in got and "Second one goes on." in got
+
+
 def test_held_out_pages():
     field = htmltext.trained()
     right = whole = same = 0
