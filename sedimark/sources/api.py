@@ -14,8 +14,6 @@ DETAIL_URL, SEARCH_URL = ("offerUrl", "url"), ("url", "offerUrl")
 DETAIL_TITLE, SEARCH_TITLE = ("title", "jobTitle"), ("title",)
 DETAIL_COMPANY, SEARCH_COMPANY = ("company", "employer", "hiringOrganization"), ("company", "employer", "employerName", "companyName")
 COMPANY_NAME = ("name", "employerName", "label")
-#: How many levels of 'data' around a list of offers are looked through.
-NESTED = 4
 
 
 def pick(value: Column, *names: str) -> Column:
@@ -37,9 +35,14 @@ def payload(structured: Column, fallback: Column) -> Column:
 
 
 def offers(value: Column) -> Column:
-    """The objects of the first list of offers, looked for under 'data' too."""
-    lists = [F.try_variant_get(value, "$" + ".data" * depth + f".{n}", "array<variant>") for depth in range(NESTED) for n in OFFER_LISTS]
-    return F.filter(F.coalesce(*lists, F.array().cast("array<variant>")), lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    """The objects of the first list of offers, looked for under any depth of 'data' too."""
+    first = lambda v: F.coalesce(*[F.try_variant_get(v, f"$.{n}", "array<variant>") for n in OFFER_LISTS])
+    inner = lambda v: F.try_variant_get(v, "$.data", "variant")
+    onward = lambda v: first(v).isNull() & F.coalesce(F.schema_of_variant(inner(v)).startswith("OBJECT"), F.lit(False))
+    # no path goes down more often than the JSON names 'data'
+    most = F.array_repeat(F.lit(0), F.coalesce(F.regexp_count(F.to_json(value), F.lit('"data"')), F.lit(0)))
+    found = first(F.reduce(most, value, lambda v, _: F.when(onward(v), inner(v)).otherwise(v)))
+    return F.filter(F.coalesce(found, F.array().cast("array<variant>")), lambda v: F.schema_of_variant(v).startswith("OBJECT"))
 
 
 def company(value: Column) -> Column:

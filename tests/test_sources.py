@@ -55,6 +55,12 @@ def test_api_payloads(spark):
     assert [r.n for r in sizes] == [2, 1, 0]
 
 
+def test_offers_under_any_depth_of_data(spark):
+    rows = [('{"data": ' * n + '{"data": [1], "items": [{"a": 1}]}' + "}" * n, n) for n in (0, 3, 4, 5, 40)] + [('{"data": {"data": [{"items": [{}]}]}}', -1), ('{"data": null}', -2)]
+    got = spark.createDataFrame(rows, "s string, n int").select("n", F.size(api.offers(F.parse_json("s"))).alias("size")).collect()
+    assert {r.n: r["size"] for r in got} == {0: 1, 3: 1, 4: 1, 5: 1, 40: 1, -1: 0, -2: 0}
+
+
 def test_json_walk_and_url_evidence(spark):
     payload = {"details": {"companyUrl": "https://example.com", "description": "See https://random.example/blog", "list": [1, {"x": None}, []]}, "hiringOrganization": {"u": "https://www.hire.example/a"}}
     leaves = orgs.json_leaves(spark.createDataFrame([(1, json.dumps(payload)), (2, "{bad")], "id int, j string"), "id", "j")
