@@ -39,9 +39,15 @@ def run_ledger(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def enrich(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Payloads (id, organization_id, payload) to URL evidence and domain candidates."""
+    """Payloads (id, organization_id, payload, normalized_projection_json where there is one) to URL evidence and domain candidates.
+
+    The payload may also be named source_projection_json, as in the revisions.
+    """
     rows = spark.read.parquet(args.payloads)
-    found = orgs.url_evidence(orgs.json_leaves(rows, "id", "payload"), "id").join(rows.select("id", "organization_id"), "id")
+    leaves = orgs.json_leaves(rows, "id", "payload" if "payload" in rows.columns else "source_projection_json")
+    if "normalized_projection_json" in rows.columns:
+        leaves = leaves.unionAll(orgs.json_leaves(rows, "id", "normalized_projection_json", "normalized_projection"))
+    found = orgs.url_evidence(leaves, "id").join(rows.select("id", "organization_id"), "id")
     found.write.mode("overwrite").parquet(f"{args.out}/evidence")
     orgs.domain_candidates(found, "organization_id").write.mode("overwrite").parquet(f"{args.out}/domains")
     return 0

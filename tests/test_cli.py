@@ -25,3 +25,13 @@ def test_commands(spark, tmp_path, capsys):
     rows = [(1, "a", "x y", "o", 1, ["d"]), (2, "b", "x y", "o", 1, ["d"])]
     spark.createDataFrame(rows, "id int, source string, title string, org_mention string, organization_id int, domains array<string>").write.parquet(str(tmp_path / "post"))
     assert cli.main(["er-eval", "--postings", str(tmp_path / "post"), "--out", str(tmp_path / "corpus")]) == 0
+
+
+def test_enrich_reads_both_projections(spark, tmp_path):
+    rows = [(1, 9, '{"website": "https://a.example"}', '{"website": "https://a.example", "companyUrl": "https://b.example/x"}'), (2, 8, None, '{"homepage": "https://c.example"}')]
+    for name in ("payload", "source_projection_json"):
+        spark.createDataFrame(rows, f"id int, organization_id int, {name} string, normalized_projection_json string").write.parquet(str(tmp_path / name))
+        assert cli.main(["enrich", "--payloads", str(tmp_path / name), "--out", str(tmp_path / "ev")]) == 0
+        got = {(r.id, r.path, r.url) for r in spark.read.parquet(str(tmp_path / "ev/evidence")).collect()}
+        assert got == {(1, "normalized_projection.website", "https://a.example"), (1, "normalized_projection.companyUrl", "https://b.example/x"), (2, "normalized_projection.homepage", "https://c.example")}
+        assert {(r.organization_id, r.domain) for r in spark.read.parquet(str(tmp_path / "ev/domains")).collect()} == {(9, "a.example"), (9, "b.example"), (8, "c.example")}
