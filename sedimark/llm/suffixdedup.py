@@ -8,7 +8,8 @@ windows can be compared apart for each minimizer value:
 
 1. Documents, in groups of about 10 MB, give the distinct hashes of their minimizers; hashes that occur in two or more
    documents go back to the groups that hold them. Whole copies of a text are settled before, by digest.
-2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it.
+2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it; equal
+   contexts of a group are sent once, by the smallest doc_id, with a list of places.
 3. For each part of the hash space a suffix array over those windows is sorted to depth ``SPAN``, ties by document;
    previous and next smaller positions of the document order with the LCP array give each window's longest previous
    factor, and windows with one of ``SPAN`` bytes are marked. Equal contexts are combined first, keeping the smallest
@@ -193,17 +194,19 @@ def _rows(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.T
 
 
 def _gather_hashes(parts: int):
-    """Step 1: each group's distinct minimizer hashes with the number of its documents that hold them (up to 255)."""
+    """Step 1: each group's distinct minimizer hashes with the number of its documents that hold them (up to 255), then how often each occurs."""
 
     def run(key, docs: pa.Table, side: pa.Table) -> pa.Table:
         group = _Group(docs, _ints(side, _COPIES))
-        found = [np.unique(h) for _, h, _ in group.minimizers()]
-        values, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+        found = [h for _, h, _ in group.minimizers()] or [np.zeros(0, np.uint64)]
+        values, counts = np.unique(np.concatenate([np.unique(h) for h in found]), return_counts=True)
+        times = np.unique(np.concatenate(found), return_counts=True)[1].astype(np.uint64)
         part = _part_of(values, parts)
         order = np.argsort(part, kind="stable")
         packed = ((values << np.uint64(8)) | np.minimum(counts, 255).astype(np.uint64))[order]
+        times = times[order]
         cut = np.searchsorted(part[order], np.arange(parts + 1))
-        out = [(p, key[0].as_py(), _pack(packed[cut[p] : cut[p + 1]])) for p in range(parts) if cut[p] < cut[p + 1]]
+        out = [(p, key[0].as_py(), _pack(packed[cut[p] : cut[p + 1]], times[cut[p] : cut[p + 1]])) for p in range(parts) if cut[p] < cut[p + 1]]
         return _rows(out, ["part", "grp", "blob"], [pa.int32(), pa.int32(), pa.binary()])
 
     return run
@@ -214,16 +217,18 @@ def _shared_hashes(hot: int):
 
     def run(table: pa.Table) -> pa.Table:
         groups = table.column("grp").to_pylist()
-        own = [np.frombuffer(_unpack(b.as_py()), np.uint64) for b in table.column("blob")]
+        both = [np.frombuffer(_unpack(b.as_py()), np.uint64).reshape(2, -1) for b in table.column("blob")]
+        own, times = [b[0] for b in both], np.concatenate([b[1] for b in both])
         every = np.concatenate(own)
         values, where = np.unique(every >> np.uint64(8), return_inverse=True)
         total = np.bincount(where, (every & np.uint64(255)).astype(np.int64)).astype(np.int64)
+        occurrences = np.bincount(where, times).astype(np.int64)
         out, at = [], 0
         for g, x in zip(groups, own):
             of = where[at : at + len(x)]
             at += len(x)
             keep = total[of] > 1
-            kept = (values[of[keep]] << np.uint64(8)) | (total[of[keep]] > hot).astype(np.uint64)
+            kept = (values[of[keep]] << np.uint64(8)) | (occurrences[of[keep]] > hot).astype(np.uint64)
             if len(kept):
                 out.append((g, _SHARED, _pack(kept)))
         return _rows(out, ["grp", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()])
@@ -251,8 +256,19 @@ def _row_hash(rows: np.ndarray) -> np.ndarray:
     return h
 
 
+def _equal(h: np.ndarray, inside: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order with equal contexts together, smallest ``doc`` first, and where in it a context differs from the last."""
+    order = np.lexsort((doc, inside, _row_hash(text), h))
+    new = np.ones(len(order), bool)
+    for k in range(0, len(order) - 1, 1 << 16):
+        x, y = order[k : k + (1 << 16)], order[k + 1 : k + 1 + (1 << 16)]
+        new[k + 1 : k + 1 + len(y)] = (h[x[: len(y)]] != h[y]) | (inside[x[: len(y)]] != inside[y]) | (text[x[: len(y)]] != text[y]).any(1)
+    return order, new
+
+
 def _contexts(parts: int):
-    """Step 2: (part, group, blob) of contexts; a blob holds hash, row, doc_id, position, windows and bytes of each."""
+    """Step 2: (part, group, blob) of contexts; a blob holds hash, doc_id, windows and bytes of each distinct context of the
+    group, as its smallest document has it, then context, row, position and whether the doc_id is another for each place."""
 
     def run(key, docs: pa.Table, side: pa.Table) -> pa.Table:
         group = _Group(docs, _ints(side, _COPIES))
@@ -284,13 +300,21 @@ def _contexts(parts: int):
         out = []
         if piece[0]:
             whole = [np.concatenate(x) for x in piece]
-            part = _part_of(whole[0], parts)
+            h, row, doc, at, inside, rows = whole
+            order, new = _equal(h, inside, rows, row)  # rows go up with doc_id
+            context = np.empty(len(h), np.int64)
+            context[order] = order[new][np.cumsum(new) - 1]  # each context as its first place has it
+            later = doc != doc[context]
+            # in the order of the texts, where neighbours overlap and pack well
+            part = _part_of(h, parts)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(parts + 1))
             for p in range(parts):
                 own = order[cut[p] : cut[p + 1]]
                 if len(own):
-                    out.append((p, key[0].as_py(), _pack(np.array([len(own)], np.uint64), *(x[own] for x in whole))))
+                    one = own[context[own] == own]
+                    columns = (h[one], doc[one], inside[one], rows[one], np.searchsorted(one, context[own]).astype(np.uint32), row[own], at[own], later[own])
+                    out.append((p, key[0].as_py(), _pack(np.array([len(one), len(own)], np.uint64), *columns)))
         return _rows(out, ["part", "grp", "blob"], [pa.int32(), pa.int32(), pa.binary()])
 
     return run
@@ -298,26 +322,26 @@ def _contexts(parts: int):
 
 def _unpack_contexts(blob: bytes) -> list[np.ndarray]:
     data = _unpack(blob)
-    n, at, out = int(np.frombuffer(data, np.uint64, 1)[0]), 8, []
-    for kind in (np.uint64, np.uint32, np.int64, np.uint32, np.uint64):
-        out.append(np.frombuffer(data, kind, n, at))
+    m, n = np.frombuffer(data, np.uint64, 2).tolist()
+    at, out = 16, []
+    for kind, size in ((np.uint64, m), (np.int64, m), (np.uint64, m), (np.uint8, m * CONTEXT), (np.uint32, n), (np.uint32, n), (np.uint32, n), (np.bool_, n)):
+        out.append(np.frombuffer(data, kind, size, at))
         at += out[-1].nbytes
-    return [*out, np.frombuffer(data, np.uint8, n * CONTEXT, at).reshape(n, CONTEXT)]
+    out[3] = out[3].reshape(m, CONTEXT)
+    return out
 
 
 def _marks(table: pa.Table) -> pa.Table:
     """Step 3, for one part of the hash space: (group, blob) of rows, positions and marked windows."""
     groups = table.column("grp").to_pylist()
     blobs = [_unpack_contexts(b.as_py()) for b in table.column("blob")]
-    h, row, doc, pos, inside, text = (np.concatenate([b[k] for b in blobs]) for k in range(6))
-    of = np.repeat(np.array(groups), [len(b[0]) for b in blobs])
+    h, doc, inside, text, _, row, pos, later = (np.concatenate([b[k] for b in blobs]) for k in range(8))
+    shift = np.cumsum([0, *(len(b[0]) for b in blobs)])
+    context = np.concatenate([b[4].astype(np.int64) + s for b, s in zip(blobs, shift)])
+    grp = np.repeat(np.array(groups), [len(b[4]) for b in blobs])
     del blobs
-    # equal contexts, smallest doc_id first
-    order = np.lexsort((doc, inside, _row_hash(text), h))
-    new = np.ones(len(order), bool)
-    for k in range(0, len(order) - 1, 1 << 16):
-        x, y = order[k : k + (1 << 16)], order[k + 1 : k + 1 + (1 << 16)]
-        new[k + 1 : k + 1 + len(y)] = (h[x[: len(y)]] != h[y]) | (inside[x[: len(y)]] != inside[y]) | (text[x[: len(y)]] != text[y]).any(1)
+    # equal contexts of several groups, smallest doc_id first
+    order, new = _equal(h, inside, text, doc)
     run = np.cumsum(new) - 1
     one = order[new]  # each distinct context where its smallest document has it
     marks = np.zeros(len(one), np.uint64)
@@ -338,16 +362,15 @@ def _marks(table: pa.Table) -> pa.Table:
         np.bitwise_or.at(marks, own[r[hit]], np.uint64(1) << w[hit].astype(np.uint64))
         first = last
     # a context that a smaller document has too is marked whole; others as found
-    full = np.where(doc[order] > doc[one][run], inside[order], marks[run])
-    keep = full > 0
-    order, full = order[keep], full[keep]
+    found, behind = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
+    found[order], behind[order] = marks[run], doc[order] > doc[one][run]
+    full = np.where(later | behind[context], inside[context], found[context])
+    by = np.flatnonzero(full)
+    by = by[np.argsort(grp[by], kind="stable")]
     out = []
-    by = np.argsort(of[order], kind="stable")
-    order, full = order[by], full[by]
-    for g in np.unique(of[order]):
-        x = of[order] == g
-        place = (row[order[x]].astype(np.uint64) << np.uint64(32)) | pos[order[x]]
-        out.append((int(g), _MARKS, _pack(np.column_stack([place, full[x]]).ravel())))
+    for own in np.split(by, np.flatnonzero(np.diff(grp[by])) + 1) if len(by) else ():
+        place = (row[own].astype(np.uint64) << np.uint64(32)) | pos[own]
+        out.append((int(grp[own[0]]), _MARKS, _pack(np.column_stack([place, full[own]]).ravel())))
     return _rows(out, ["grp", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()])
 
 

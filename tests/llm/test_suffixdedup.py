@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sedimark.llm import suffixdedup as sd
 
@@ -62,3 +63,14 @@ def test_matches_brute_force(spark):
         got = [tuple(r) for r in sd.digests(sd.remove_repeats(df, bytes_, hot)).collect()]
         assert sorted(got, key=str) == slow(rows)
     assert sd.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_occurrences_in_a_document_make_a_hash_hot_and_equal_contexts_travel_once():
+    docs = pa.table({"doc_id": [1, 2], "text": [b"z" * 400, b"z" * 400 + b"q"]})
+    none, key = pa.table({"blob": pa.array([], pa.binary()), "kind": pa.array([], pa.int32())}), (pa.scalar(0),)
+    hashes = sd._gather_hashes(1)(key, docs, none)
+    for hot, want in ((600, True), (100_000, False)):
+        shared = sd._shared_hashes(hot)(hashes)
+        assert (sd._ints(shared, sd._SHARED) & np.uint64(1)).any() == want
+        h, _, _, _, of, row, *_ = sd._unpack_contexts(sd._contexts(1)(key, docs, shared).column("blob")[0].as_py())
+        assert len(h) < 150 and len(of) > 600 and set(row.tolist()) == {0, 1}
