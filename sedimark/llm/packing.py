@@ -259,10 +259,11 @@ class Packer:
             self.count += 1
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, most_open: int = OPEN) -> DataFrame:
+def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, most_open: int = OPEN, bears: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row for each piece.
 
-    A document's tokens are its ids by the tokenizer at ``path`` without added specials, then ``END``; all bear loss.
+    A document's tokens are its ids by the tokenizer at ``path`` without added specials, then ``END``. All bear loss, or
+    those that ``bears`` marks: given a document's ids, a boolean for each; a sequence holds at most ``loss`` of them.
     Every token lies in exactly one piece, offsets in a sequence are gapless from 0, and a sequence has ``length``
     tokens or a power of two. Null text: empty, one token. Repeated rows are packed each. Other columns are ignored;
     an empty table gives an empty result. ``length`` is a power of two.
@@ -287,7 +288,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGME
         for part in portions(batches, "text", 4 << 20):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), own.encode(texts(part.column("text")))):
                 ids += end
-                packer.add((doc_id, ids), len(ids) // 4)
+                marked = None if bears is None else np.r_[0, np.cumsum(bears(np.frombuffer(ids, "<u4")), dtype=np.int64)]
+                packer.add((doc_id, ids), len(ids) // 4, marked)
             yield rows()
         packer.finish()
         yield rows()

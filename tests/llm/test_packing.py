@@ -35,6 +35,18 @@ def test_every_limit_holds_and_nothing_is_lost():
             assert all(n == length or n & (n - 1) == 0 for n in total)
 
 
+def test_pack_with_a_limit_on_loss_bearing_tokens(spark):
+    pick = random.Random(4)
+    rows = [(i, " ".join(pick.choice(["Word", "x", "12"]) for _ in range(pick.choice([1, 30, 900])))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    lib = Tokenizer.from_file(PATH)
+    ids = {i: np.array(lib.encode(t, add_special_tokens=False).ids + [1]) for i, t in rows}
+    held, got = {}, packing.pack(df, PATH, 256, 16, 40, bears=lambda x: x % 2 == 0).collect()
+    for r in got:
+        held[r.sequence_id] = held.get(r.sequence_id, 0) + int((ids[r.doc_id][r.start : r.start + r.length] % 2 == 0).sum())
+    assert max(held.values()) == 40 and sum(r.length for r in got) == sum(map(len, ids.values()))
+
+
 def test_pack(spark):
     lib = Tokenizer.from_file(PATH)
     pick = random.Random(8)
