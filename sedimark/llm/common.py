@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 
 
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir; without it one of our own, in local mode only."""
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not set_to:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_to = getattr(spark.sparkContext, "_sedimark_scratch", None)
         if not set_to:
             set_to = spark.sparkContext._sedimark_scratch = "file://" + tempfile.mkdtemp(prefix="sedimark-")
@@ -28,7 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/sedimark/{name}-{uuid.uuid4().hex}"
+    """A new folder's path; what is written there is deleted when the driver's JVM ends, if not before."""
+    path = f"{shared_dir(spark)}/sedimark/{name}-{uuid.uuid4().hex}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -38,9 +42,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, n: int, by: str) -> DataFrame:
+    """The rows as a table in the shared folder, one file for each of ``n`` hash buckets of ``by``, sorted by it.
+
+    Joins and groupings on ``by`` then need no exchange of this side. drop_written() forgets the table too.
+    """
+    spark = df.sparkSession
+    table = f"sedimark_{name}_{uuid.uuid4().hex}"
+    sorted_ = df.repartition(n, by).sortWithinPartitions(by)
+    sorted_.write.format("parquet").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
+    held = spark.table(table)
+    held._sedimark_table = table
+    return held
+
+
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes a table of written() that no later plan reads."""
-    for file in df.inputFiles()[:1]:
+    """Deletes a table of written() or bucketed() that no later plan reads."""
+    files = df.inputFiles()[:1]
+    if table := getattr(df, "_sedimark_table", None):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for file in files:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -6,14 +6,17 @@ No suffix array over the corpus is ever built in one place. Every window of ``SP
 position of the least hash among its ``GRAM``-byte substrings. Equal windows have equal minimizers at equal places, so
 windows can be compared apart for each minimizer value:
 
-1. Documents, in groups of about 10 MB, give the distinct hashes of their minimizers; hashes that occur in two or more
-   documents go back to the groups that hold them. Whole copies of a text are settled before, by digest.
-2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it; equal
-   contexts of a group are sent once, by the smallest doc_id, with a list of places.
-3. For each part of the hash space a suffix array over those windows is sorted to depth ``SPAN``, ties by document;
-   previous and next smaller positions of the document order with the LCP array give each window's longest previous
-   factor, and windows with one of ``SPAN`` bytes are marked. Equal contexts are combined first, keeping the smallest
-   doc_id. A hash with more than ``HOT`` occurrences is dealt out by its windows' own hashes, not by the minimizer.
+1. Documents lie in groups of about 10 MB, dealt once and kept as a table bucketed by group. Each group gives the
+   distinct hashes of its minimizers, a row each; sorted by hash, those that occur in two or more documents go back to
+   the groups that hold them. Whole copies of a text are settled before, by digest.
+2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it: one row
+   for each distinct context of the group, by its smallest doc_id, with a list of places. Places of a document at most
+   ``SPAN`` bytes apart are one entry, so a text of a short period takes no more rows than any other.
+3. Sorted by hash, contexts stream through the tasks. For each hash with different contexts a suffix array over their
+   windows is sorted to depth ``SPAN``, ties by document; previous and next smaller positions of the document order with
+   the LCP array give each window's longest previous factor, and windows with one of ``SPAN`` bytes are marked. Of equal
+   contexts the smallest doc_id stands for all. A hash with more than ``HOT`` occurrences is dealt out by its windows'
+   own hashes, not by the minimizer, so a task holds at most ``HOT`` different contexts of one hash.
 4. Marked windows return to their documents, which drop the bytes they cover.
 """
 
@@ -24,21 +27,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.llm.common import NULL_ID, given_back, groups_for, keyed, raw, written
+from sedimark.llm.common import NULL_ID, bucketed, drop_written, given_back, groups_for, raw, written
 
 SPAN, GRAM = 50, 16
 REACH = SPAN - GRAM  # bytes before a minimizer that its windows can take in
 CONTEXT = REACH + SPAN
 WINDOWS = REACH + 1
 #: Occurrences of one minimizer value beyond which its windows are dealt out one by one.
-HOT = 200_000
+HOT = 5_000
 #: UTF-8 bytes of text in one group of documents.
 GROUP = 10 << 20
+#: Most buckets of the table of groups, which may hold several groups each.
+BUCKETS = 100_000
+#: Minimizers whose contexts are cut out at once, and contexts that are held before equal ones are combined.
+STEP, HELD = 1 << 14, 1 << 17
 #: Suffixes that are sorted at once.
 SORTED = 250_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -60,20 +66,19 @@ def _stir(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def minimizers(text: np.ndarray, step: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8).
+def minimizers(text: np.ndarray, step: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8), in pieces.
 
     A position is one or not by the ``SPAN`` bytes on its two sides alone, so a long text is taken ``step`` bytes at a time.
     """
     if len(text) <= step + 2 * SPAN:
-        return _minimizers(text)
-    found = []
+        yield _minimizers(text)
+        return
     for first in range(0, len(text), step):
         low = max(0, first - SPAN)
         h, at = _minimizers(text[low : first + step + SPAN])
         own = (at + low >= first) & (at + low < first + step)
-        found.append((h[own], at[own] + low))
-    return np.concatenate([h for h, _ in found]), np.concatenate([at for _, at in found])
+        yield h[own], at[own] + low
 
 
 def _minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +113,20 @@ def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return result[0], n - 1 - result[1][::-1]
 
 
+def _least_between(lcp: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least of lcp[low + 1 .. high] for each pair low < high, by a table of powers of two."""
+    size = np.frexp((high - low).astype(float))[1] - 1
+    levels = [lcp]
+    for k in range(int(size.max(initial=0))):
+        last = levels[-1]
+        levels.append(np.minimum(last[: -(1 << k)], last[1 << k :]))
+    out = np.zeros(len(low), lcp.dtype)
+    for k in np.unique(size):
+        own = size == k
+        out[own] = np.minimum(levels[k][low[own] + 1], levels[k][high[own] + 1 - (1 << int(k))])
+    return out
+
+
 def previous_factors(windows: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Longest previous factors, at most the window's length, of windows (n x SPAN bytes) in documents ordered by doc.
 
@@ -121,128 +140,123 @@ def previous_factors(windows: np.ndarray, doc: np.ndarray) -> np.ndarray:
     flat = np.ascontiguousarray(windows[first]).view(f"S{depth}").ravel()
     array = first[np.argsort(flat, kind="stable")]
     rows, rank = windows[array], doc[array]
-    lcp = np.zeros(n + 1, np.int64)  # lcp[i]: of suffixes i - 1 and i
+    lcp = np.zeros(n + 1, np.uint8)  # lcp[i]: of suffixes i - 1 and i
     step = rows[1:] != rows[:-1]
     lcp[1:n] = np.where(step.any(1), step.argmax(1), depth)
     before, after = smaller_neighbours(rank)
     out = np.zeros(n, np.int64)
-    full = np.cumsum(lcp < depth)  # suffixes of one run of equal windows share this number
-    for near, own in ((before, before >= 0), (after, after < n)):
-        at = np.flatnonzero(own)
-        equal = full[near[at]] == full[at]
-        out[at[equal]] = depth
-        rest = at[~equal]
-        step_ = near[rest] - rest
-        close = np.abs(step_) == 1  # adjacent: the LCP is at hand; farther ones are below the depth and not needed exactly
-        out[rest[close]] = np.maximum(out[rest[close]], lcp[np.maximum(rest[close], near[rest[close]])])
+    own = np.flatnonzero(before >= 0)
+    out[own] = _least_between(lcp, before[own], own)
+    own = np.flatnonzero(after < n)
+    out[own] = np.maximum(out[own], _least_between(lcp, own, after[own]))
     factor = np.zeros(n, np.int64)
     factor[array] = out
     return factor
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+#: Kinds of rows that go to a group: (doc_id, digest) of a copy; (hash, whether it is hot) of a shared minimizer;
+#: (windows where a smaller document of the group has the context too, other windows, places) of marks.
+_COPIES, _SHARED, _MARKS = 0, 1, 2
+_CARRY = "carried_"
+_SIDE = "grp int, kind int, x long, y long, places binary"
+_U64 = np.uint64
 
 
-def _unpack(blob: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(blob)
+def _side(grp, kind: int, x: np.ndarray, y: np.ndarray, places: pa.Array | None = None) -> pa.RecordBatch:
+    n = len(x)
+    columns = [pa.array(grp, pa.int32()), pa.array(np.full(n, kind, np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.nulls(n, pa.binary()) if places is None else places]
+    return pa.RecordBatch.from_arrays(columns, ["grp", "kind", "x", "y", "places"])
 
 
-def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
-    return (h % np.uint64(parts)).astype(np.int64)
+def _longs(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return column.to_numpy().view(_U64)
 
 
 class _Group:
-    """The documents of one group in a fixed order, without texts that are whole copies."""
+    """The documents of one group in a fixed order, without texts that are whole copies; and what came for it."""
 
-    def __init__(self, table: pa.Table, copies: np.ndarray):
+    def __init__(self, table: pa.Table, side: pa.Table):
         bytes_, at = raw(table.column("text"))
-        ids = table.column("doc_id").to_numpy()
-        tie = [hashlib.blake2b(bytes_[at[i] : at[i + 1]].tobytes(), digest_size=8).digest() for i in range(len(ids))] if len(set(ids.tolist())) < len(ids) else ids
-        order = np.lexsort((np.array(tie), ids))
-        self.ids, self.order = ids[order], order
-        self.bytes, self.start, self.size = bytes_, at[:-1][order], np.diff(at)[order]
-        ids_, shas = copies.reshape(-1, 2).T if len(copies) else (copies, copies)
-        known = set(zip(ids_.view(np.int64).tolist(), shas.tolist()))
-        self.copy = np.isin(self.ids, ids_.view(np.int64))
-        for i in np.flatnonzero(self.copy):  # an id may be shared with a text that is no copy
-            sha = int.from_bytes(hashlib.sha256(self.text(i)).digest()[:8], "big")
-            self.copy[i] = (int(self.ids[i]), sha) in known
+        ids, sha = table.column("doc_id").to_numpy(), table.column("sha8").to_numpy()
+        self.order = order = np.lexsort((sha, ids))
+        self.ids, self.bytes, self.start, self.size = ids[order], bytes_, at[:-1][order], np.diff(at)[order]
+        kind = side.column("kind").to_numpy()
+        self.side = {k: side.filter(pa.array(kind == k)) for k in (_COPIES, _SHARED, _MARKS)}
+        copies = set(zip(*(self.side[_COPIES].column(c).to_pylist() for c in "xy")))
+        self.copy = np.array([x in copies for x in zip(self.ids.tolist(), sha[order].tolist())], bool) if copies else np.zeros(len(ids), bool)
 
     def text(self, i: int) -> np.ndarray:
         return self.bytes[self.start[i] : self.start[i] + self.size[i]]
 
     def minimizers(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for i in range(len(self.ids)):
-            if not self.copy[i] and self.size[i] >= SPAN:
-                yield i, *minimizers(self.text(i))
-
-
-def _ints(table: pa.Table, kind: int) -> np.ndarray:
-    """The 64-bit values of all blobs of one kind in the side table."""
-    blobs = [_unpack(b.as_py()) for b, k in zip(table.column("blob"), table.column("kind").to_pylist()) if k == kind]
-    return np.frombuffer(b"".join(blobs), np.uint64)
-
-
-_COPIES, _SHARED, _MARKS = 0, 1, 2
-_CARRY = "carried_"
-_OUT = "part int, grp int, blob binary"
-
-
-def _rows(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.Table:
-    return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
-
-
-def _gather_hashes(parts: int):
-    """Step 1: each group's distinct minimizer hashes with the number of its documents that hold them (up to 255), then how often each occurs."""
-
-    def run(key, docs: pa.Table, side: pa.Table) -> pa.Table:
-        group = _Group(docs, _ints(side, _COPIES))
-        found = [h for _, h, _ in group.minimizers()] or [np.zeros(0, np.uint64)]
-        values, counts = np.unique(np.concatenate([np.unique(h) for h in found]), return_counts=True)
-        times = np.unique(np.concatenate(found), return_counts=True)[1].astype(np.uint64)
-        part = _part_of(values, parts)
-        order = np.argsort(part, kind="stable")
-        packed = ((values << np.uint64(8)) | np.minimum(counts, 255).astype(np.uint64))[order]
-        times = times[order]
-        cut = np.searchsorted(part[order], np.arange(parts + 1))
-        out = [(p, key[0].as_py(), _pack(packed[cut[p] : cut[p + 1]], times[cut[p] : cut[p + 1]])) for p in range(parts) if cut[p] < cut[p + 1]]
-        return _rows(out, ["part", "grp", "blob"], [pa.int32(), pa.int32(), pa.binary()])
-
-    return run
+        """Pieces of each document's minimizers; a document's own follow each other."""
+        for i in np.flatnonzero(~self.copy & (self.size >= SPAN)).tolist():
+            for h, at in minimizers(self.text(i)):
+                yield i, h, at
+
+
+def _gather_hashes(key, docs: pa.Table, side: pa.Table) -> pa.Table:
+    """Step 1: the distinct minimizer hashes of a group, with the group, how often each occurs, and whether in several documents (lowest bit)."""
+    of: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for i, h, _ in _Group(docs, side).minimizers():
+        if of and of[-1][0] == i:  # a further piece of a long document
+            _, v, n = of.pop()
+            u, m = np.unique(h, return_counts=True)
+            values, where = np.unique(np.concatenate([v, u]), return_inverse=True)
+            of.append((i, values, np.bincount(where, np.concatenate([n, m]), len(values)).astype(np.int64)))
+        else:
+            of.append((i, *np.unique(h, return_counts=True)))
+    every = np.concatenate([v for _, v, _ in of]) if of else np.zeros(0, _U64)
+    values, where, docs_ = np.unique(every, return_inverse=True, return_counts=True)
+    times = np.bincount(where, np.concatenate([n for _, _, n in of]) if of else None, len(values)).astype(np.int64)
+    held = np.int64(key[0].as_py() << 32) | np.minimum(times, 1 << 30) << 1 | (docs_ > 1)
+    return pa.table([pa.array(values.view(np.int64)), pa.array(held)], ["h", "held"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, sorted by h, in tables that hold every row of their hashes."""
+    open_: list[pa.RecordBatch] = []  # rows of the last hash so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h = batch.column("h").to_numpy()
+        if h[0] != h[-1]:
+            last = int(np.searchsorted(h == h[-1], True))
+            yield pa.Table.from_batches([*open_, batch.slice(0, last)])
+            open_ = [batch.slice(last)]
+        elif not open_ or open_[-1].column("h")[0].as_py() == h[0]:
+            open_.append(batch)
+        else:
+            yield pa.Table.from_batches(open_)
+            open_ = [batch]
+    if open_:
+        yield pa.Table.from_batches(open_)
 
 
 def _shared_hashes(hot: int):
-    """Step 1, for one part of the hash space: the hashes found in two or more documents, for each group that has them."""
-
-    def run(table: pa.Table) -> pa.Table:
-        groups = table.column("grp").to_pylist()
-        both = [np.frombuffer(_unpack(b.as_py()), np.uint64).reshape(2, -1) for b in table.column("blob")]
-        own, times = [b[0] for b in both], np.concatenate([b[1] for b in both])
-        every = np.concatenate(own)
-        values, where = np.unique(every >> np.uint64(8), return_inverse=True)
-        total = np.bincount(where, (every & np.uint64(255)).astype(np.int64)).astype(np.int64)
-        occurrences = np.bincount(where, times).astype(np.int64)
-        out, at = [], 0
-        for g, x in zip(groups, own):
-            of = where[at : at + len(x)]
-            at += len(x)
-            keep = total[of] > 1
-            kept = (values[of[keep]] << np.uint64(8)) | (occurrences[of[keep]] > hot).astype(np.uint64)
-            if len(kept):
-                out.append((g, _SHARED, _pack(kept)))
-        return _rows(out, ["grp", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()])
+    """Step 1: the hashes found in two or more documents, for each group that has them; rows come sorted by h."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            h, held = table.column("h").to_numpy(), table.column("held").to_numpy()
+            start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            size = np.diff(np.r_[start, len(h)])
+            times = np.add.reduceat((held & 0xFFFFFFFF) >> 1, start)
+            keep = np.repeat((size > 1) | (held[start] & 1 > 0), size)
+            yield _side((held >> 32)[keep].astype(np.int32), _SHARED, h[keep], np.repeat((times > hot).astype(np.int64), size)[keep])
 
     return run
 
 
 def _context_rows(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes around minimizers (zeros beyond the text) and a bit for each window that lies inside the text."""
-    padded = np.concatenate([np.zeros(REACH, np.uint8), text, np.zeros(SPAN, np.uint8)])
-    rows = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at]
-    start = at[:, None] - REACH + np.arange(WINDOWS)
-    inside = (start >= 0) & (start + SPAN <= len(text))
-    return rows, (inside.astype(np.uint64) << np.arange(WINDOWS, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    low, high = max(0, int(at[0]) - REACH), min(len(text), int(at[-1]) + SPAN)
+    padded = np.zeros(int(at[-1]) - int(at[0]) + CONTEXT, np.uint8)
+    padded[low - (int(at[0]) - REACH) :][: high - low] = text[low:high]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at - at[0]]
+    least, most = np.maximum(0, REACH - at), np.minimum(WINDOWS - 1, len(text) - SPAN - at + REACH)
+    one = _U64(1)
+    return rows, ((one << (most + 1).astype(_U64)) - one) & ~((one << least.astype(_U64)) - one)
 
 
 def _row_hash(rows: np.ndarray) -> np.ndarray:
@@ -250,146 +264,172 @@ def _row_hash(rows: np.ndarray) -> np.ndarray:
     wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
     wide[:, : rows.shape[1]] = rows
     with np.errstate(over="ignore"):
-        h = np.zeros(len(rows), np.uint64)
-        for word in wide.view(np.uint64).T:
+        h = np.zeros(len(rows), _U64)
+        for word in wide.view(_U64).T:
             h = _stir((h + word) * _MIX)
     return h
 
 
-def _equal(h: np.ndarray, inside: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order with equal contexts together, smallest ``doc`` first, and where in it a context differs from the last."""
-    order = np.lexsort((doc, inside, _row_hash(text), h))
-    new = np.ones(len(order), bool)
-    for k in range(0, len(order) - 1, 1 << 16):
-        x, y = order[k : k + (1 << 16)], order[k + 1 : k + 1 + (1 << 16)]
-        new[k + 1 : k + 1 + len(y)] = (h[x[: len(y)]] != h[y]) | (inside[x[: len(y)]] != inside[y]) | (text[x[: len(y)]] != text[y]).any(1)
-    return order, new
-
-
-def _contexts(parts: int):
-    """Step 2: (part, group, blob) of contexts; a blob holds hash, doc_id, windows and bytes of each distinct context of the
-    group, as its smallest document has it, then context, row, position and whether the doc_id is another for each place."""
-
-    def run(key, docs: pa.Table, side: pa.Table) -> pa.Table:
-        group = _Group(docs, _ints(side, _COPIES))
-        shared = np.sort(_ints(side, _SHARED))
-        hot = shared[(shared & np.uint64(1)) > 0] >> np.uint64(8)
-        shared = shared >> np.uint64(8)
-        piece: list[list[np.ndarray]] = [[] for _ in range(6)]
-        if len(shared):
-            for i, h, at in group.minimizers():
-                near = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-                keep = shared[near] == h
-                h, at = h[keep], at[keep]
-                if not len(h):
-                    continue
-                rows, inside = _context_rows(group.text(i), at)
-                if len(hot) and (big := np.isin(h, hot)).any():
-                    # one row for each window of a hot minimizer, keyed by the window itself
-                    r, w = np.nonzero((inside[big][:, None] >> np.arange(WINDOWS, dtype=np.uint64)) & np.uint64(1))
-                    wide = np.zeros((len(r), CONTEXT), np.uint8)
-                    wide[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(rows[big], SPAN, axis=1)[r, w]
-                    start = at[big][r] - REACH + w
-                    _, once = np.unique(start, return_index=True)
-                    rows = np.concatenate([rows[~big], wide[once]])
-                    inside = np.concatenate([inside[~big], np.ones(len(once), np.uint64)])
-                    at = np.concatenate([at[~big], start[once] + REACH])
-                    h = np.concatenate([h[~big], _row_hash(wide[once])])
-                for k, x in enumerate((h, np.full(len(h), i, np.uint32), np.full(len(h), group.ids[i], np.int64), at.astype(np.uint32), inside, rows)):
-                    piece[k].append(x)
-        out = []
-        if piece[0]:
-            whole = [np.concatenate(x) for x in piece]
-            h, row, doc, at, inside, rows = whole
-            order, new = _equal(h, inside, rows, row)  # rows go up with doc_id
-            context = np.empty(len(h), np.int64)
-            context[order] = order[new][np.cumsum(new) - 1]  # each context as its first place has it
-            later = doc != doc[context]
-            # in the order of the texts, where neighbours overlap and pack well
-            part = _part_of(h, parts)
-            order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in range(parts):
-                own = order[cut[p] : cut[p + 1]]
-                if len(own):
-                    one = own[context[own] == own]
-                    columns = (h[one], doc[one], inside[one], rows[one], np.searchsorted(one, context[own]).astype(np.uint32), row[own], at[own], later[own])
-                    out.append((p, key[0].as_py(), _pack(np.array([len(one), len(own)], np.uint64), *columns)))
-        return _rows(out, ["part", "grp", "blob"], [pa.int32(), pa.int32(), pa.binary()])
+def _bits(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bit) of every set bit."""
+    return np.nonzero((masks[:, None] >> np.arange(WINDOWS, dtype=_U64)) & _U64(1))
 
-    return run
 
+class _Contexts:
+    """The distinct contexts of a group, and the places of each: (context, document, first, last position).
 
-def _unpack_contexts(blob: bytes) -> list[np.ndarray]:
-    data = _unpack(blob)
-    m, n = np.frombuffer(data, np.uint64, 2).tolist()
-    at, out = 16, []
-    for kind, size in ((np.uint64, m), (np.int64, m), (np.uint64, m), (np.uint8, m * CONTEXT), (np.uint32, n), (np.uint32, n), (np.uint32, n), (np.bool_, n)):
-        out.append(np.frombuffer(data, kind, size, at))
-        at += out[-1].nbytes
-    out[3] = out[3].reshape(m, CONTEXT)
-    return out
-
+    ``row`` numbers a context's smallest document. Equal contexts are combined whenever ``HELD`` of them are new.
+    """
 
-def _marks(table: pa.Table) -> pa.Table:
-    """Step 3, for one part of the hash space: (group, blob) of rows, positions and marked windows."""
-    groups = table.column("grp").to_pylist()
-    blobs = [_unpack_contexts(b.as_py()) for b in table.column("blob")]
-    h, doc, inside, text, _, row, pos, later = (np.concatenate([b[k] for b in blobs]) for k in range(8))
-    shift = np.cumsum([0, *(len(b[0]) for b in blobs)])
-    context = np.concatenate([b[4].astype(np.int64) + s for b, s in zip(blobs, shift)])
-    grp = np.repeat(np.array(groups), [len(b[4]) for b in blobs])
-    del blobs
-    # equal contexts of several groups, smallest doc_id first
-    order, new = _equal(h, inside, text, doc)
-    run = np.cumsum(new) - 1
-    one = order[new]  # each distinct context where its smallest document has it
-    marks = np.zeros(len(one), np.uint64)
-    # only minimizers with two or more distinct contexts need their windows compared
-    start = np.flatnonzero(np.r_[True, h[one][1:] != h[one][:-1]])
-    size = np.diff(np.r_[start, len(one)])
+    def __init__(self):
+        self.h, self.row, self.inside = np.zeros(0, _U64), np.zeros(0, np.int64), np.zeros(0, _U64)
+        self.text = np.zeros((0, CONTEXT), np.uint8)
+        self.places = np.zeros((0, 4), np.int64)
+        self._new: list[tuple] = []
+        self._count = 0
+
+    def add(self, h: np.ndarray, row: int, at: np.ndarray, inside: np.ndarray, text: np.ndarray) -> None:
+        self._new.append((h, np.full(len(h), row), at, inside, text))
+        self._count += len(h)
+        if self._count >= HELD:
+            self.fold()
+
+    def fold(self) -> None:
+        if not self._count:
+            return
+        h, row, at, inside, text = (np.concatenate(x) for x in zip(*self._new))
+        places = np.column_stack([len(self.h) + np.arange(len(h)), row, at, at])
+        h, row = np.concatenate([self.h, h]), np.concatenate([self.row, row])
+        inside, text = np.concatenate([self.inside, inside]), np.concatenate([self.text, text])
+        places = np.concatenate([self.places, places])
+        self._new, self._count = [], 0
+        order = np.lexsort((row, inside, _row_hash(text), h))
+        a, b = order[:-1], order[1:]
+        new = np.ones(len(order), bool)
+        new[1:] = (h[a] != h[b]) | (inside[a] != inside[b])
+        for k in range(1, len(order), 1 << 16):
+            new[k : k + (1 << 16)] |= (text[a[k - 1 : k - 1 + (1 << 16)]] != text[b[k - 1 : k - 1 + (1 << 16)]]).any(1)
+        one = order[new]
+        number = np.empty(len(h), np.int64)
+        number[order] = np.cumsum(new) - 1
+        self.h, self.row, self.inside, self.text = h[one], row[one], inside[one], text[one]
+        places[:, 0] = number[places[:, 0]]
+        places = places[np.lexsort((places[:, 2], places[:, 1], places[:, 0]))]
+        # windows of one context at most SPAN bytes apart cover one stretch
+        far = np.r_[True, (places[1:, :2] != places[:-1, :2]).any(1) | (places[1:, 2] - places[:-1, 3] > SPAN)]
+        start = np.flatnonzero(far)
+        self.places = np.column_stack([places[start, :3], np.maximum.reduceat(places[:, 3], start)])
+
+
+def _contexts(key, docs: pa.Table, side: pa.Table) -> pa.Table:
+    """Step 2: (h, inside, text, doc, grp, places) of each distinct context of the group, as its smallest document has it.
+
+    places: (row, first, last) of each stretch as unsigned 32-bit numbers, the highest bit of row set where another doc_id has it.
+    """
+    group, found = _Group(docs, side), _Contexts()
+    shared, heat = (_longs(group.side[_SHARED].column(c)) for c in "xy")
+    order = np.argsort(shared)
+    shared, heat = shared[order], heat[order] > 0
+    for i, h, at in group.minimizers() if len(shared) else ():
+        near = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
+        keep = shared[near] == h
+        h, at, hot = h[keep], at[keep], heat[near[keep]]
+        text = group.text(i)
+        if not hot.all():
+            for k in range(0, len(at), STEP):
+                own = slice(k, k + STEP)
+                if (cold := ~hot[own]).any():
+                    rows, inside = _context_rows(text, at[own][cold])
+                    found.add(h[own][cold], i, at[own][cold], inside, rows)
+        for k in range(0, np.count_nonzero(hot), STEP):
+            # one context for each window of a hot minimizer, keyed by the window itself
+            start = (at[hot][k : k + STEP, None] - REACH + np.arange(WINDOWS)).ravel()
+            start = np.unique(start[(start >= 0) & (start + SPAN <= len(text))])
+            wide = np.zeros((len(start), CONTEXT), np.uint8)
+            wide[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(text, SPAN)[start]
+            found.add(_row_hash(wide) >> _U64(8), i, start + REACH, np.ones(len(start), _U64), wide)
+    found.fold()
+    n, p = len(found.h), found.places
+    doc = group.ids[found.row] if n else np.zeros(0, np.int64)
+    later = group.ids[p[:, 1]] != doc[p[:, 0]] if n else np.zeros(0, bool)
+    packed = np.column_stack([p[:, 1] | later.astype(np.int64) << 31, p[:, 2], p[:, 3]]).astype("<u4")
+    cut = np.searchsorted(p[:, 0], np.arange(n + 1)) * 12
+    places = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
+    text = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * CONTEXT).astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(found.text).tobytes())])
+    columns = [pa.array(found.h.view(np.int64)), pa.array(found.inside.view(np.int64)), text, pa.array(doc), pa.array(np.full(n, key[0].as_py(), np.int32)), places]
+    return pa.table(columns, ["h", "inside", "text", "doc", "grp", "places"])
+
+
+_CONTEXT = "h long, inside long, text binary, doc long, grp int, places binary"
+
+
+def _marked(h: np.ndarray, doc: np.ndarray, inside: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The windows of distinct contexts, sorted by h, that a smaller document has in another context of the same hash."""
+    marks = np.zeros(len(h), _U64)
+    start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[start, len(h)])
     need = np.flatnonzero(np.repeat(size > 1, size))
     ends = np.cumsum(size[size > 1])
     first = 0
     while first < len(need):
-        # whole minimizers up to the bound; the windows of a larger one are sorted at once, as it is at most HOT long
+        # whole minimizers up to the bound; a larger one is sorted at once, as it has at most HOT contexts
         last = int(ends[max(np.searchsorted(ends, first + SORTED // WINDOWS, "right") - 1, np.searchsorted(ends, first, "right"))])
         own = need[first:last]
-        src = one[own]
-        r, w = np.nonzero((inside[src][:, None] >> np.arange(WINDOWS, dtype=np.uint64)) & np.uint64(1))
-        windows = np.lib.stride_tricks.sliding_window_view(text[src], SPAN, axis=1)[r, w]
-        hit = previous_factors(windows, doc[src][r]) >= SPAN
-        np.bitwise_or.at(marks, own[r[hit]], np.uint64(1) << w[hit].astype(np.uint64))
+        r, w = _bits(inside[own])
+        windows = np.lib.stride_tricks.sliding_window_view(text[own], SPAN, axis=1)[r, w]
+        hit = previous_factors(windows, doc[own][r]) >= SPAN
+        np.bitwise_or.at(marks, own[r[hit]], _U64(1) << w[hit].astype(_U64))
         first = last
-    # a context that a smaller document has too is marked whole; others as found
-    found, behind = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
-    found[order], behind[order] = marks[run], doc[order] > doc[one][run]
-    full = np.where(later | behind[context], inside[context], found[context])
-    by = np.flatnonzero(full)
-    by = by[np.argsort(grp[by], kind="stable")]
-    out = []
-    for own in np.split(by, np.flatnonzero(np.diff(grp[by])) + 1) if len(by) else ():
-        place = (row[own].astype(np.uint64) << np.uint64(32)) | pos[own]
-        out.append((int(grp[own[0]]), _MARKS, _pack(np.column_stack([place, full[own]]).ravel())))
-    return _rows(out, ["grp", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()])
-
-
-def covered(size: int, starts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Which of ``size`` bytes windows at ``starts`` cover, and in how many runs."""
+    return marks
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 3: marks for the groups; contexts come sorted by h, inside, text and doc."""
+    for table in _runs(batches):
+        h, inside, doc = _longs(table.column("h")), _longs(table.column("inside")), table.column("doc").to_numpy()
+        text = raw(table.column("text"))[0].reshape(-1, CONTEXT)
+        new = np.r_[True, (h[1:] != h[:-1]) | (inside[1:] != inside[:-1]) | (text[1:] != text[:-1]).any(1)]
+        run, one = np.cumsum(new) - 1, np.flatnonzero(new)  # the first of equal contexts has the smallest doc_id
+        marks = _marked(h[one], doc[one], inside[one], text[one])
+        own = np.where(doc > doc[one][run], inside, marks[run])
+        packed, at = raw(table.column("places"))
+        later = np.bitwise_or.reduceat(packed.view("<u4").reshape(-1, 3)[:, 0], at[:-1] // 12) >> np.uint32(31)
+        keep = np.flatnonzero((own > 0) | (later > 0))
+        kept = table.take(pa.array(keep)).combine_chunks()
+        if len(keep):
+            yield _side(kept.column("grp").to_numpy(), _MARKS, inside[keep], own[keep], kept.column("places").chunk(0))
+
+
+def covered(size: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, int]:
+    """Which of ``size`` bytes the stretches first..last (ends excluded) cover, and in how many runs."""
     edge = np.zeros(size + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + SPAN, size), -1)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, last, -1)
     gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
     return gone, int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]]))
 
 
+def _stretches(marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first byte, end) of what marks cover, sorted by row. The marked windows of one context overlap, so each place covers one stretch."""
+    if not marks.num_rows:
+        return (np.zeros(0, np.int64),) * 3
+    packed, at = raw(marks.column("places"))
+    place = packed.view("<u4").reshape(-1, 3)
+    of = np.repeat(np.arange(marks.num_rows), np.diff(at) // 12)
+    mask = np.where(place[:, 0] >> np.uint32(31) > 0, _longs(marks.column("x"))[of], _longs(marks.column("y"))[of])
+    place, mask = place[mask > 0].astype(np.int64), mask[mask > 0]
+    low = np.frexp((mask & (~mask + _U64(1))).astype(float))[1] - 1
+    high = np.frexp(mask.astype(float))[1] - 1  # under 2^35: exact
+    row = place[:, 0] & 0x7FFFFFFF
+    order = np.argsort(row, kind="stable")
+    return row[order], (place[:, 1] - REACH + low)[order], (place[:, 2] - REACH + high + SPAN)[order]
+
+
 def _cut(key, docs: pa.Table, side: pa.Table, as_text: bool) -> pa.Table:
     """Step 4: every document of a group, with its further columns, without its marked windows."""
-    group = _Group(docs, _ints(side, _COPIES))
-    marks = _ints(side, _MARKS).reshape(-1, 2)
-    row = (marks[:, 0] >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(row, kind="stable")
-    marks, bound = marks[order], np.searchsorted(row[order], np.arange(len(group.ids) + 1))
+    group = _Group(docs, side)
+    row, first, last = _stretches(group.side[_MARKS])
+    bound = np.searchsorted(row, np.arange(len(group.ids) + 1))
     out: list[list] = [[], [], []]
     for i in range(len(group.ids)):
         text = group.text(i)
@@ -397,10 +437,8 @@ def _cut(key, docs: pa.Table, side: pa.Table, as_text: bool) -> pa.Table:
         if group.copy[i] and len(text) >= SPAN:
             gone, spans = np.ones(len(text), bool), 1
         elif bound[i] < bound[i + 1]:
-            own = marks[bound[i] : bound[i + 1]]
-            r, w = np.nonzero((own[:, 1][:, None] >> np.arange(WINDOWS, dtype=np.uint64)) & np.uint64(1))
-            starts = (own[:, 0] & np.uint64(0xFFFFFFFF)).astype(np.int64)[r] - REACH + w
-            gone, spans = covered(len(text), np.unique(starts))
+            own = slice(bound[i], bound[i + 1])
+            gone, spans = covered(len(text), first[own], last[own])
         kept = text[~gone] if spans else text
         out[0].append(len(text) - len(kept))
         out[1].append(spans)
@@ -410,44 +448,54 @@ def _cut(key, docs: pa.Table, side: pa.Table, as_text: bool) -> pa.Table:
     return pa.table([*columns, *carried.columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carried.column_names])
 
 
-def remove_repeats(docs: DataFrame, group_bytes: int = GROUP, hot: int = HOT, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of ``docs``, then the columns named in ``carry``.
+def _removed(docs: DataFrame, carry: list[str], group_bytes: int, hot: int, as_text: bool) -> DataFrame:
+    """The result of remove_repeats(), with a stand-in for null ids, then the columns of ``carry`` as carried_0, carried_1, ..."""
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))).first()[0]
+    groups = max(groups_for(total, group_bytes), parts)
+    carried = {c: f"{_CARRY}{k}" for k, c in enumerate(carry)}
+    text = F.coalesce(docs["text"], F.lit(""))
+    whole = docs.select(
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+        text.cast("binary").alias("text"),
+        F.unhex(F.sha2(text, 256)).alias("sha"),
+        *(docs[c].alias(name) for c, name in carried.items()),
+    )
+    # by id, text and input partition: rows that share an id, or are equal, don't meet in one group
+    group = F.pmod(F.xxhash64("doc_id", "sha", F.spark_partition_id()), F.lit(groups)).cast("int").alias("grp")
+    sha8 = F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long").alias("sha8")
+    held = bucketed(whole.select("*", group, sha8), "texts", min(groups, BUCKETS), "grp")
+    least = held.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    least = written(least, "firsts")  # a table of its own: Spark then splits a digest that many texts share
+    copies = held.select("sha", "doc_id", "grp", "sha8").join(least, "sha").where("doc_id > first")
+    copies = copies.select("grp", F.lit(_COPIES).alias("kind"), F.col("doc_id").alias("x"), F.col("sha8").alias("y"), F.lit(None).cast("binary").alias("places")).distinct()
+    copies = written(copies, "copies")
+    drop_written(spark, least)
+
+    texts = held.drop("sha").groupBy("grp")
+    plain = held.select("grp", "doc_id", "text", "sha8").groupBy("grp")
+    hashes = plain.cogroup(copies.groupBy("grp")).applyInArrow(_gather_hashes, "h long, held long")
+    hashes = hashes.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_hashes(hot), _SIDE)
+    shared = written(hashes, "shared")
+    contexts = plain.cogroup(shared.unionByName(copies).groupBy("grp")).applyInArrow(_contexts, _CONTEXT)
+    contexts = contexts.repartition("h").sortWithinPartitions("h", "inside", "text", "doc")
+    marks = written(contexts.mapInArrow(_marks, _SIDE), "marks")
+    drop_written(spark, shared)
+    out = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
+    out = T.StructType([*out.fields, *(T.StructField(name, docs.schema[c].dataType) for c, name in carried.items())])
+    return texts.cogroup(marks.unionByName(copies).groupBy("grp")).applyInArrow(lambda key, left, right: _cut(key, left, right, as_text), out)
+
+
+def remove_repeats(docs: DataFrame, group_bytes: int = GROUP, hot: int = HOT) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of ``docs``.
 
     kept: the bytes that no ``SPAN``-byte string starting in a document of smaller doc_id covers; cuts may fall inside
-    a code point; with ``as_text`` it is a string, less the bytes of code points that a cut went through. n_spans: maximal removed runs. Null text: empty. Strings are judged on the input. A null doc_id
+    a code point. n_spans: maximal removed runs. Null text: empty. Strings are judged on the input. A null doc_id
     counts as the smallest; rows that share an id never remove from each other. Texts under ``SPAN`` bytes are kept.
     Other columns are ignored; an empty table gives an empty result.
     """
-    rows = keyed(docs)
-    size = written(rows.select("doc_id", F.octet_length("text").cast("long").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha")), "sizes")
-    total = size.agg(F.sum("size")).first()[0]
-    groups = groups_for(total, group_bytes)
-    group = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp")
-    least = size.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    least = written(least, "firsts")  # a table of its own: Spark then splits a digest that many texts share
-    copies = size.join(least, "sha").where("doc_id > first").select(group, "doc_id", F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long").alias("sha8")).distinct()
-
-    def listed(table: pa.Table) -> pa.Table:
-        both = np.column_stack([table.column(c).to_numpy().view(np.uint64) for c in ("doc_id", "sha8")])
-        return _rows([(table.column("grp")[0].as_py(), _COPIES, _pack(both))], ["grp", "kind", "blob"], [pa.int32(), pa.int32(), pa.binary()])
-
-    side = "grp int, kind int, blob binary"
-    copied = written(copies.groupBy("grp").applyInArrow(listed, side), "copies")
-    carried = [docs[c].alias(_CARRY + c) for c in carry]
-    whole = docs.select(
-        F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("doc_id"),
-        F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"),
-        *carried,
-    )
-    texts = whole.select(group, "*").repartition(groups, "grp").groupBy("grp")
-    hashes = texts.cogroup(copied.groupBy("grp")).applyInArrow(_gather_hashes(groups), _OUT)
-    shared = written(hashes.groupBy("part").applyInArrow(_shared_hashes(hot), side), "shared").unionByName(copied)
-    contexts = texts.cogroup(shared.groupBy("grp")).applyInArrow(_contexts(groups), _OUT)
-    marks = written(contexts.groupBy("part").applyInArrow(_marks, side), "marks").unionByName(copied)
-    out = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
-    out = T.StructType([*out.fields, *(T.StructField(_CARRY + c, docs.schema[c].dataType) for c in carry)])
-    cut = texts.cogroup(marks.groupBy("grp")).applyInArrow(lambda key, left, right: _cut(key, left, right, as_text), out)
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(F.col(_CARRY + c).alias(c) for c in carry if c not in ("doc_id", "text")))
+    return _removed(docs, [], group_bytes, hot, False)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -456,15 +504,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Bytes of a code point that a cut went through are dropped too, so that the text stays valid UTF-8. n_chars, where
     the table has it, follows the text. A null doc_id stays null; null text becomes empty.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    spare = tuple(c for c in others if c in ("n_bytes", "n_removed", "n_spans", "kept"))
-    named = docs.select(*(docs[c].alias("own_" + c if c in spare else c) for c in docs.columns))
-    removed = remove_repeats(named, carry=tuple("own_" + c if c in spare else c for c in others), as_text=True)
-    of = {c: F.col("own_" + c if c in spare else c).alias(c) for c in others}
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    of = {c: F.col(f"{_CARRY}{k}").alias(c) for k, c in enumerate(others)}
     of |= {"doc_id": given_back().cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text": F.col("kept").alias("text")}
     if "n_chars" in of:
         of["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return removed.select(*(of[c] for c in docs.columns))
+    return _removed(docs, others, GROUP, HOT, True).select(*(of[c] for c in docs.columns))
 
 
 def digests(removed: DataFrame) -> DataFrame:
