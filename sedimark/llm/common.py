@@ -42,15 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, n: int, by: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, n: int, by: str, deal: bool = True) -> DataFrame:
     """The rows as a table in the shared folder, one file for each of ``n`` hash buckets of ``by``, sorted by it.
 
     Joins and groupings on ``by`` then need no exchange of this side. drop_written() forgets the table too.
+    deal: False where the rows already lie in ``n`` hash partitions of ``by``, as a grouping or join by it leaves them.
     """
     spark = df.sparkSession
     table = f"sedimark_{name}_{uuid.uuid4().hex}"
-    sorted_ = df.repartition(n, by).sortWithinPartitions(by)
-    sorted_.write.format("parquet").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
+    dealt = df.repartition(n, by).sortWithinPartitions(by) if deal else df
+    dealt.write.format("parquet").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
     held = spark.table(table)
     held._sedimark_table = table
     return held

@@ -12,7 +12,7 @@ def slow(rows, min_chars=20, min_docs=3):
     for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= min_chars:
-                held.setdefault(k, []).append(low(i))
+                held.setdefault(k, set()).add(low(i))
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -33,6 +33,39 @@ def test_matches_brute_force(spark):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_document_as_in_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    line, other = "a line of more than twenty letters", "another line of many letters, too"
+    rows = [(1, line), (1, line), (2, line + "\n" + other), (None, other), (None, other), (3, other), (4, "x\n" + other), (4, other + "\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in linededup.digests(linededup.dedup_lines(df)).collect()), key=str)
+    assert got == slow(rows) and sum(r[2] for r in got) == 4
+    base = duckdb.connect()
+    base.register("documents", pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "text": [r[1] for r in rows]}))
+    assert got == sorted(base.execute(linededup.ORACLE).fetchall(), key=str)
+
+
+def test_a_very_long_text_and_columns_named_like_the_results(spark):
+    line = "one of a great many lines that stand in one text"
+    rows = [(k, "\n".join([line, str(k)] * (200_000 if k == 1 else 1)), k, -k) for k in (1, 2, 3)]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string, n_lines int, n_dropped int")).collect()
+    assert [(r.n_lines, r.n_dropped) for r in sorted(got)] == [(400_000, 200_000), (2, 1), (2, 0)]
+
+
+def test_runs_are_read_as_they_lie(spark):
+    runs = linededup.LineRuns(spark, 3)
+    for i in (2, 1):
+        runs.add(spark.range(50).selectExpr(f"{i} AS doc_id", "encode(cast(id AS string), 'utf-8') AS key"))
+    plan = runs.runs()[0].join(runs.runs()[1].withColumnRenamed("n", "m").hint("merge"), "key", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    merged = runs._merged(runs.runs())
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.where("n = 2 AND top = 2").count() == 50
+    runs.drop()
+
+
 def test_runs_are_compacted_by_level(spark):
     runs = linededup.LineRuns(spark, 2)
     for i in range(5):
