@@ -7,7 +7,7 @@ from sedimark.llm import mtree
 
 
 def slow(rows, k=5, every=50):
-    rows = {(i, tuple(e)) for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    rows = [(i, e) for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     whole = [(i, [math.floor(256 * x) for x in e]) for i, e in rows]
     out = []
     for q in sorted({i for i, _ in whole if i % every == 0}):
@@ -25,10 +25,10 @@ def _rows(seed, n, wide=8):
 
 
 def test_equals_brute_force(spark):
-    rows = _rows(1, 700) + [(-50, [0.1] * 8), (9000, None), (9050, [1.0, None]), (9100, [float("nan")] * 8), (9150, []), (9200, [0.5]), (7, [0.9] * 8), (7, [0.9] * 8), (None, [1.0] * 8)]
+    rows = _rows(1, 700) + [(-50, [0.1] * 8), (9000, None), (9050, [1.0, None]), (9100, [float("nan")] * 8), (9150, []), (9200, [0.5]), (7, [0.9] * 8), (7, [0.9] * 8), (100, [0.7] * 8), (100, [0.7] * 8), (None, [1.0] * 8)]
     df = spark.createDataFrame([(*r, 3) for r in rows], "vec_id long, embedding array<double>, score int")
-    for chunk, block in ((8192, 1024), (100, 4)):
-        got = sorted(tuple(r) for r in mtree.search(df, chunk=chunk, block=block).collect())
+    for least, most in ((8192, 1 << 16), (100, 1 << 16), (10, 40)):
+        got = sorted(tuple(r) for r in mtree.search(df, least=least, most=most).collect())
         assert got == sorted(slow(rows))
     assert mtree.search(df.limit(0)).count() == 0
 
@@ -59,3 +59,30 @@ def test_bounds_save_products():
     for node, kids in enumerate(tree.children):
         for c in kids:
             assert abs(tree.parent_distance[c] - np.sqrt(((tree.routing[c] - tree.routing[node]) ** 2).sum())) < 1e-9
+
+
+def test_a_tree_comes_back_from_its_bytes_and_a_floor_cuts_nothing_it_needs():
+    pick = np.random.default_rng(4)
+    vectors = np.floor(pick.normal(0, 100, (1500, 8)))
+    vectors[::3] = vectors[1]
+    tree = mtree.Tree(np.arange(1500), vectors)
+    again = mtree.Tree.load(tree.dump())
+    for i in range(0, 1500, 70):
+        want = tree.top(vectors[i], i, 5)
+        assert again.top(vectors[i], i, 5) == want
+        cut, taken = again.top(vectors[i], i, 5, want[0][-1][0])
+        assert cut == want[0] and taken <= want[1]
+    large = mtree.Tree(np.arange(2), np.array([[10**40, 1], [-(10**40), 2]], object))
+    assert (mtree.Tree.load(large.dump()).vectors == large.vectors).all()
+
+
+def test_equals_the_sql_with_repeated_rows(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, [float(x) for x in e]) for i, e in _rows(6, 150, 4)]
+    rows += rows[:4] + [(0, rows[5][1]), (50, rows[7][1]), (1, [9.0, 0.0, 0.0, 0.0])]
+    base = duckdb.connect()
+    base.register("embeddings", pd.DataFrame({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows]}))
+    got = mtree.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), least=20).collect()
+    assert sorted(tuple(r) for r in got) == sorted(base.execute(mtree.ORACLE).fetchall())
