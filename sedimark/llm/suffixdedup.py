@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from sedimark.llm.common import NULL_ID, bucketed, drop_written, given_back, groups_for, raw, written
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM = 50, 24
 REACH = SPAN - GRAM  # bytes before a minimizer that its windows can take in
 CONTEXT = REACH + SPAN
 WINDOWS = REACH + 1
@@ -86,9 +86,11 @@ def _minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
         h, m, done = text.astype(np.uint64) + np.uint64(1), _MIX, 1
-        while done < GRAM:
+        while done * 2 <= GRAM:
             h = h[:-done] * m + h[done:]
             m, done = m * m, done * 2
+        if done < GRAM:  # of two that overlap
+            h = h[: done - GRAM] * m + h[GRAM - done :]
         h = _stir(h)
     short = (h >> np.uint64(32)).astype(np.uint32)
     least = _slide(short, np.minimum, WINDOWS)

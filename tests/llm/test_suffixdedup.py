@@ -100,7 +100,7 @@ def test_a_minimizer_with_very_many_occurrences_in_one_group():
     hashes = sd._gather_hashes(key, docs, none)
     assert max(hashes.column("held").to_numpy() >> 1) >= 40_000
     contexts = sd._contexts(key, docs, _shared(hashes, 5000).drop_columns("grp"))
-    assert contexts.num_rows < 250_000 and max(len(p) for p in contexts.column("places").to_pylist()) >= 12 * 20_000
+    assert contexts.num_rows < 20 * 20_000 and max(len(p) for p in contexts.column("places").to_pylist()) >= 12 * 20_000
 
 
 def test_very_long_texts_of_one_letter_take_bounded_memory():
