@@ -1,7 +1,8 @@
 """Vector bin packing of documents into token sequences by the dot-product heuristic.
 
 A piece of a document needs (tokens, segments, loss-bearing tokens); a sequence offers (length, ``SEGMENTS``,
-``LOSS``). Of the open sequences that can take a whole piece, the one whose remaining room has the largest dot product
+``LOSS``). Loss-bearing are the tokens that hold a letter, a digit or a character beyond ASCII; bare punctuation and the
+closing token bear none. Of the open sequences that can take a whole piece, the one whose remaining room has the largest dot product
 with the piece's needs takes it. Pieces may be cut: a piece that fits nowhere whole fills the fullest open sequence
 and the rest goes on. The last segment of a sequence is only given to a piece that fills it, so no sequence ends short
 for want of segments. When a task's documents end, what is still open is merged by cutting and closed at powers of
@@ -31,7 +32,7 @@ from sedimark.llm.common import portions, texts
 
 LENGTH, END = 2048, 1
 #: Pieces in one sequence, loss-bearing tokens in one sequence, and open sequences of a task.
-SEGMENTS, LOSS, OPEN = 64, 2048, 48
+SEGMENTS, LOSS, OPEN = 64, 2000, 48
 _REMEMBERED = 400_000
 
 
@@ -41,6 +42,12 @@ _PLAIN = re.compile("[\\x09-\\x0d\\x20-\\x7e\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]*+
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\xdf-\\xf6\\xf8-\\xff]+|[0-9]|[^\\x09-\\x0d\\x20a-z0-9\\xdf-\\xf6\\xf8-\\xff]+")
 
 
+#: The normaliser and the splitter that these two patterns stand for; with others every text goes to the library.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_SPLITTER = {"type": "Sequence", "pretokenizers": [_SPLIT, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 #: Bytes of one text that are encoded at once.
 LONG = 8 << 20
 
@@ -65,7 +72,8 @@ class WordCodec:
     A text of plain letters is cut into words here, and new words go to the tokenizer's model together, without its
     normaliser, which has nothing to do for them. In other texts only the chunks between ASCII white space that are
     not plain go to the tokenizer as they are: white space is never inside a token. Of known words and chunks two
-    generations are held; those in use move to the younger.
+    generations are held; those in use move to the younger. All this holds for one way to normalise and split; a file
+    that states another has its texts encoded by the library as they are.
     """
 
     def __init__(self, path: str):
@@ -73,14 +81,19 @@ class WordCodec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         bare = json.loads(self.tokenizer.to_str())
-        suffix = bare["model"]["end_of_word_suffix"]
+        suffix = bare["model"].get("end_of_word_suffix") or ""
+        self.known = bool(suffix) and bare["normalizer"] == _NORMALIZER and bare["pre_tokenizer"] == _SPLITTER
         self.special = [t["content"] for t in bare["added_tokens"]]
         bare |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(bare))
         vocabulary = bare["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.alphabet = {b: c for c, b in byte_alphabet().items()} | {32: " "}
+        of = byte_alphabet()
+        self.alphabet = {b: c for c, b in of.items()} | {32: " "}
+        #: Whether a token bears loss, by its id.
+        self.bearing = np.ones(1 + max([*vocabulary.values(), *(t["id"] for t in json.loads(self.tokenizer.to_str())["added_tokens"])]), bool)
+        self.bearing[[i for t, i in vocabulary.items() if all(of.get(c, 128) < 128 and not chr(of[c]).isalnum() for c in t.removesuffix(suffix))]] = False
         self.chunks: list[dict[str, bytes]] = [{}, {}]
         self.words: list[dict[str, bytes]] = [{}, {}]
 
@@ -129,7 +142,9 @@ class WordCodec:
 
     def encode(self, texts_: list[bytes]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers; a very long one is cut at white space."""
-        if len(texts_) == 1 and len(texts_[0]) > LONG:
+        if not self.known:
+            yield from (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch([t.decode() for t in texts_], add_special_tokens=False))
+        elif len(texts_) == 1 and len(texts_[0]) > LONG:
             yield b"".join(x for part in _cut_at_space(texts_[0]) for x in self._encode([part]))
         else:
             yield from self._encode(texts_)
@@ -212,7 +227,11 @@ class Packer:
                     if not len(fills):  # all wait for a last, longer piece: one gives its rest back and is free again
                         self._break_up(int(self.room[:, 0].argmin()))
                         continue
-                k = int(fills[self.room[fills, 0].argmin()]) if len(fills) else self._open()
+                if len(fills):  # rather one whose tokens run out first than one whose loss does
+                    short = self.room[fills, 2] * left < np.minimum(self.room[fills, 0], left) * whole
+                    k = int(fills[(self.room[fills, 0] + self.length * short).argmin()])
+                else:
+                    k = self._open()
             else:
                 k = self._open()
             n = self._within(bearing, start, int(min(left, self.room[k, 0])), self.room[k, 2])
@@ -262,11 +281,12 @@ class Packer:
 def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGMENTS, loss: int = LOSS, most_open: int = OPEN, bears: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row for each piece.
 
-    A document's tokens are its ids by the tokenizer at ``path`` without added specials, then ``END``. All bear loss, or
-    those that ``bears`` marks: given a document's ids, a boolean for each; a sequence holds at most ``loss`` of them.
-    Every token lies in exactly one piece, offsets in a sequence are gapless from 0, and a sequence has ``length``
-    tokens or a power of two. Null text: empty, one token. Repeated rows are packed each. Other columns are ignored;
-    an empty table gives an empty result. ``length`` is a power of two.
+    A document's tokens are its ids by the tokenizer at ``path`` without added specials, then ``END``. Loss bear those
+    with a letter, a digit or a character beyond ASCII, or those that ``bears`` marks: given a document's ids, a boolean
+    for each; a sequence holds at most ``loss`` of them. Every token lies in exactly one piece, offsets in a sequence are
+    gapless from 0, and a sequence has ``length`` tokens or a power of two, or fewer where its loss-bearing tokens or
+    segments run out. Null text: empty, one token. Repeated rows are packed each. Other columns are ignored; an empty
+    table gives an empty result. ``length`` is a power of two.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -285,11 +305,14 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, segments: int = SEGME
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
         packer, end = Packer(emit, length, segments, loss, most_open), np.array([END], "<u4").tobytes()
+        marks = bears or own.bearing.__getitem__
         for part in portions(batches, "text", 4 << 20):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), own.encode(texts(part.column("text")))):
-                ids += end
-                marked = None if bears is None else np.r_[0, np.cumsum(bears(np.frombuffer(ids, "<u4")), dtype=np.int64)]
-                packer.add((doc_id, ids), len(ids) // 4, marked)
+                n = len(ids) // 4
+                running = np.zeros(n + 2, np.int64)
+                np.cumsum(marks(np.frombuffer(ids, "<u4")), out=running[1:-1])
+                running[-1] = running[-2]  # the closing token bears none
+                packer.add((doc_id, ids + end), n + 1, running)
             yield rows()
         packer.finish()
         yield rows()

@@ -87,3 +87,77 @@ def test_a_long_text_is_encoded_in_pieces(monkeypatch):
     whole = list(packing.WordCodec(PATH).encode([text]))
     monkeypatch.setattr(packing, "LONG", 64)
     assert list(packing.WordCodec(PATH).encode([text])) == whole
+
+
+def _slow(items, length, segments, loss, most_open):
+    """The rule in plain loops: whole pieces by the largest dot product, others into the fullest sequence that they fill."""
+    bins, done, count = [], {}, 0
+
+    def put(b, i, start, n, mask):
+        b["pieces"].append((i, start, n))
+        b["room"] = [b["room"][0] - n, b["room"][1] - 1, b["room"][2] - sum(mask[start : start + n])]
+        if b["room"][0] <= 0 or b["room"][2] <= 0:
+            bins.remove(b)
+            done[b["number"]] = b["pieces"]
+
+    for i, mask in enumerate(items):
+        start = 0
+        while start < len(mask):
+            left, bears = len(mask) - start, sum(mask[start:])
+            whole = [b for b in bins if left < length and b["room"][0] >= left and b["room"][2] >= bears and (b["room"][1] > 1 or b["room"][0] == left)]
+            if whole:
+                dot = lambda b: b["room"][0] / length * (left / length) + b["room"][1] / segments * (1 / segments) + b["room"][2] / loss * (bears / loss)
+                put(max(whole, key=dot), i, start, left, mask)
+                break
+            fills = [b for b in bins if b["room"][0] <= left or b["room"][2] <= bears] if left < length and len(bins) >= most_open else []
+            if fills:
+                b = min(fills, key=lambda b: b["room"][0] + length * (b["room"][2] * left < min(b["room"][0], left) * bears))
+            else:
+                b = {"number": count, "pieces": [], "room": [length, segments, loss]}
+                bins.append(b)
+                count += 1
+            n = 0
+            while n < min(left, b["room"][0]) and sum(mask[start : start + n + 1]) <= b["room"][2]:
+                n += 1
+            put(b, i, start, n, mask)
+            start += n
+    return done
+
+
+def test_the_choice_equals_a_slow_one():
+    pick = random.Random(6)
+    for loss in (64, 50):
+        items = [[pick.random() < pick.choice([0.5, 0.9, 1.0]) for _ in range(pick.choice([1, 3, 9, 20, 40, 63, 64, 150]))] for _ in range(250)]
+        done = {}
+        packer = packing.Packer(lambda k, p: done.__setitem__(k, p), 64, 40, loss, 6)
+        for i, mask in enumerate(items):
+            packer.add(i, len(mask), np.r_[0, np.cumsum(mask)])
+        want = _slow(items, 64, 40, loss, 6)
+        assert done == want and len(want) > 50
+        if loss < 64:
+            assert any(sum(n for _, _, n in p) < 64 for p in done.values())  # the loss limit binds
+
+
+def test_loss_bearing_tokens_limit_what_pack_gives(spark):
+    rows = [(i, "word " * 3000 if i % 2 else "well, yes. " * 1200) for i in range(6)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect()
+    lib, codec, held = Tokenizer.from_file(PATH), packing.word_codec(PATH), {}
+    for r in got:
+        ids = np.array(lib.encode(rows[r.doc_id][1], add_special_tokens=False).ids + [1])
+        bears = np.r_[codec.bearing[ids[:-1]], False]
+        n, loss = held.get(r.sequence_id, (0, 0))
+        held[r.sequence_id] = (n + r.length, loss + int(bears[r.start : r.start + r.length].sum()))
+    assert max(loss for _, loss in held.values()) == packing.LOSS and max(n for n, _ in held.values()) == 2048
+    assert {",", ".", "!"} <= {lib.id_to_token(i).removesuffix("</w>") for i in np.flatnonzero(~codec.bearing)}
+
+
+def test_another_file_is_left_to_the_library(tmp_path):
+    import json
+
+    bare = json.loads(open(PATH).read())
+    bare["normalizer"] = {"type": "NFC"}
+    (tmp_path / "t.json").write_text(json.dumps(bare))
+    lib, own = Tokenizer.from_file(str(tmp_path / "t.json")), packing.WordCodec(str(tmp_path / "t.json"))
+    assert not own.known and packing.WordCodec(PATH).known
+    for s in ("Some Words here", "", "x, y"):
+        assert np.frombuffer(next(own.encode([s.encode()])), "<u4").tolist() == lib.encode(s, add_special_tokens=False).ids
