@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,7 +92,7 @@ class Model:
         bins = BUCKETS + np.arange(len(STATS)) * BINS + bins
         size = np.array([len(r[0]) for r in rows]) + len(STATS)
         start = np.r_[0, np.cumsum(size)]
-        where, value = np.empty(start[-1], np.int64), np.empty(start[-1])
+        where, value = np.empty(start[-1], np.int32), np.empty(start[-1], rows[0][1].dtype)
         for k, (w, x, _) in enumerate(rows):
             cut = start[k + 1] - len(STATS)
             where[start[k] : cut], value[start[k] : cut] = w, x
@@ -131,7 +132,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
             n = start[own + 1] - start[own]
             begin = np.r_[0, np.cumsum(n)]
             at = np.repeat(start[own] - begin[:-1], n) + np.arange(begin[-1])
-            w, x = where[at], value[at]
+            w, x = where[at], value[at].astype(np.float64)
             logit, sums = model.margin(w, x, begin)
             off = np.repeat((1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels[own]) / len(own), n)
             each = (off * x)[:, None] * (np.repeat(sums, n, axis=0) - model.factors[w] * x[:, None])
@@ -170,9 +171,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "at", "weight", "stats"])
 
     got = rows.mapInArrow(run, "doc_id long, quality int, at array<int>, weight array<float>, stats array<double>").toArrow()
-    found = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "quality", "at", "weight", "stats"))))
-    rows = [(np.array(a, np.int64), np.array(w, np.float64), np.array(s)) for _, _, a, w, s in found]
-    return fit(rows, np.array([q for _, q, *_ in found], np.float64))
+    got = got.take(pa.compute.sort_indices(got.column("doc_id"))).combine_chunks()
+    lists = []
+    for name in ("at", "weight", "stats"):  # slices of the Arrow buffers, 8 bytes a feature
+        column = got.column(name).combine_chunks()
+        cut, flat = column.offsets.to_numpy(), column.values.to_numpy()
+        lists.append([flat[i:j] for i, j in zip(cut[:-1], cut[1:])])
+    return fit(list(zip(*lists)), got.column("quality").to_numpy().astype(np.float64))
 
 
 def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:

@@ -3,14 +3,17 @@
 Documents of equal text are one atomic group; groups are ordered by their smallest doc_id. The partition cuts that
 order into contiguous shards so that the largest shard is as small as can be: the smallest feasible capacity is found
 by binary search, several capacities a round, each checked greedily. A greedy check needs only, for each shard, the
-last group boundary within reach, which is one aggregate over the table of running sums; nothing but these few
-boundaries reaches the driver. Within that capacity the cuts are then set nearest to equal sizes.
+last group boundary within reach, which is one aggregate over the rows of the sorted table of running sums that lie near
+it; nothing but these boundaries, and at last no more than ``KNOWN`` others, reaches the driver. Within that capacity the
+cuts are then set nearest to equal sizes, so that no shard stays empty behind greedily filled ones.
 
 Running sums come from range partitions: a sum for each partition, added to a window within each.
 """
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from sedimark.llm.common import NULL_ID, given_back, written
 SHARDS = 8
 #: Capacities that one round of the search checks together.
 PROBES = 24
+#: Most boundaries that the driver reads to end the search.
+KNOWN = 100_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -52,38 +57,89 @@ def running(df: DataFrame, weight: Column, order: list[str], within: list[str])
 
 
 class Boundaries:
-    """Looks up group boundaries (running sums, and 0) in the table of groups."""
-
-    def __init__(self, sums: DataFrame, total: int):
-        self.sums, self.total = sums.select("upto"), total
-
-    def last_upto(self, limits: list[int]) -> list[int]:
-        """For each limit the largest boundary not above it."""
-        reach = self.sums.where(F.col("upto") <= max(limits))
-        got = reach.agg(*[F.max(F.when(F.col("upto") <= x, F.col("upto"))).alias(f"b{i}") for i, x in enumerate(limits)]).first()
-        return [x or 0 for x in got]
-
-    def first_from(self, limit: int) -> int:
-        """The smallest boundary not below the limit."""
-        return 0 if limit <= 0 else self.sums.where(F.col("upto") >= limit).agg(F.min("upto")).first()[0]
+    """Looks up group boundaries (running sums, and 0) in the table of groups.
 
+    Every look-up reads only rows near its limits: the table is sorted by ``upto``, so Parquet's statistics prune the rest.
+    """
 
-def smallest_capacity(at: Boundaries, shards: int, largest: int) -> int:
-    """The least capacity with which filling shards greedily needs no more than ``shards``."""
-    low, high = max(-(-at.total // shards), largest), at.total // shards + largest  # the upper one always suffices
+    def __init__(self, sums: DataFrame, total: int, largest: int):
+        self.sums, self.total, self.largest = sums.select("upto"), total, largest
+
+    def _near(self, limits: list[int]) -> DataFrame:
+        """A boundary lies at most ``largest`` from any limit within the total; overlapping stretches are joined."""
+        stretches: list[list[int]] = []
+        for x in sorted(limits):
+            low, high = x - self.largest, x + self.largest
+            if stretches and low <= stretches[-1][1]:
+                stretches[-1][1] = high
+            else:
+                stretches.append([low, high])
+        within = F.lit(False)
+        for low, high in stretches:
+            within = within | F.col("upto").between(low, high)
+        return self.sums.where(within)
+
+    def around(self, limits: list[int]) -> list[tuple[int, int]]:
+        """For each limit the largest boundary not above it and the smallest not below it (the total at most)."""
+        limits = [min(max(x, 0), self.total) for x in limits]
+        each = []
+        for i, x in enumerate(limits):
+            each += [F.max(F.when(F.col("upto") <= x, F.col("upto"))).alias(f"a{i}"), F.min(F.when(F.col("upto") >= x, F.col("upto"))).alias(f"b{i}")]
+        got = self._near(limits).agg(*each).first()
+        return [(got[2 * i] or 0, 0 if x == 0 else got[2 * i + 1]) for i, x in enumerate(limits)]
+
+    def count_between(self, stretches: list[tuple[int, int]]) -> int:
+        return self._within(stretches).count()
+
+    def between(self, stretches: list[tuple[int, int]]) -> list[int]:
+        """The boundaries from low to high of each stretch, in order; the caller has counted them."""
+        return sorted({0, *(r[0] for r in self._within(stretches).collect())})
+
+    def _within(self, stretches: list[tuple[int, int]]) -> DataFrame:
+        within = F.lit(False)
+        for low, high in stretches:
+            within = within | F.col("upto").between(low, high)
+        return self.sums.where(within)
+
+
+def _fill(at: Boundaries, shards: int, capacities: list[int]) -> list[list[int]]:
+    """Where greedily filled shards of each capacity end: one job a shard for all capacities."""
+    ends = [[0] for _ in capacities]
+    for _ in range(shards):
+        for own, (end, _) in zip(ends, at.around([e[-1] + c for e, c in zip(ends, capacities)])):
+            own.append(end)
+        if all(e[-1] == at.total for e in ends):
+            break
+    return [e + [at.total] * (shards + 1 - len(e)) for e in ends]
+
+
+def smallest_capacity(at: Boundaries, shards: int, known: int = KNOWN) -> int:
+    """The least capacity with which filling shards greedily needs no more than ``shards``.
+
+    Each round fills shards by several capacities at once and narrows the search between the largest that fails and the
+    smallest that does. Ends only grow with the capacity, so those still open lie between the ends of these two; once
+    no more than ``known`` boundaries lie there, they are read and the rest of the search needs no jobs.
+    """
+    low, high = max(-(-at.total // shards), at.largest), at.total // shards + at.largest  # the upper one always suffices
     high = max(low, high)
+    below, above = low - 1, high
     while low < high:
         step = max(1, (high - low) // (PROBES + 1))
-        tried = sorted({min(high - 1, low + step * i) for i in range(PROBES)})
-        ends = [0] * len(tried)
-        for _ in range(shards):
-            ends = at.last_upto([e + c for e, c in zip(ends, tried)])
-            if min(ends) == at.total:
-                break
-        good = [c for c, e in zip(tried, ends) if e == at.total]
-        bad = [c for c, e in zip(tried, ends) if e < at.total]
-        high = min(good, default=high)
-        low = max(bad, default=low - 1) + 1
+        tried = sorted({min(high - 1, low + step * i) for i in range(PROBES)} | {low, high})
+        ends = dict(zip(tried, _fill(at, shards, tried)))
+        good = [c for c in tried if ends[c][-1] == at.total]
+        bad = [c for c in tried if ends[c][-1] < at.total]
+        high, below = min(good), max(bad, default=below)
+        low, above = below + 1, high
+        if low < high:
+            stretches = list(zip(ends[below][1:], ends[above][1:])) if below in ends else []
+            if stretches and at.count_between(stretches) <= known:
+                held = at.between(stretches)
+                while low < high:
+                    middle, end = (low + high) // 2, 0
+                    for _ in range(shards):
+                        end = held[bisect.bisect_right(held, end + middle) - 1]
+                    low, high = (low, middle) if end == at.total else (middle + 1, high)
     return high
 
 
@@ -91,13 +147,13 @@ def cuts(at: Boundaries, shards: int, capacity: int) -> list[int]:
     """The last boundary of each shard but the final one: nearest to equal sizes, with no shard over ``capacity``."""
     least = [at.total]  # least[k]: the earliest boundary from which k shards still hold the rest
     for _ in range(shards - 1):
-        least.append(at.first_from(least[-1] - capacity))
+        least.append(at.around([least[-1] - capacity])[0][1])
     out, end = [], 0
     for left in range(shards, 1, -1):
         low, high = max(end, least[left - 1]), end + capacity
         aim = min(max(end + round((at.total - end) / left), low), high)
-        down = max(low, at.last_upto([aim])[0])
-        up = at.first_from(min(aim, at.total))
+        down, up = at.around([aim])[0]
+        down = max(low, down)
         end = up if up <= high and up - aim < aim - down else down
         out.append(end)
     return out
@@ -113,12 +169,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     rows = written(sized(docs), "sized")
     groups = ranged(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.min("doc_id").alias("first")), "first", "key", name="groups")
-    sums = written(running(groups, F.col("bytes"), ["first", "key"], []), "sums")
+    sums = running(groups, F.col("bytes"), ["first", "key"], [])
+    sums = written(sums.repartitionByRange("upto").sortWithinPartitions("upto"), "sums")
     total, largest = sums.agg(F.sum("bytes"), F.max("bytes")).first()
     placed = []
     if total:
-        at = Boundaries(sums, total)
-        placed = cuts(at, shards, smallest_capacity(at, shards, largest))
+        at = Boundaries(sums, total, largest)
+        placed = cuts(at, shards, smallest_capacity(at, shards))
     of = sum(((F.col("upto") > c).cast("int") for c in placed), F.lit(0))
     held = rows.join(sums.select("key", of.alias("shard")), "key").drop("key")
     order = ["doc_id", "text_crc32", "size"]

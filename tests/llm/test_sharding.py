@@ -52,3 +52,59 @@ def test_few_rows_and_none(spark):
     assert sorted(r.size for r in sharding.shard(df).collect()) == [2, 4]
     assert sharding.shard(df.limit(0)).count() == 0
     assert "Python" not in sharding.shard(df)._jdf.queryExecution().toString()
+
+
+class _Listed(sharding.Boundaries):
+    """Boundaries over a list; counts the look-ups."""
+
+    def __init__(self, sizes):
+        self.sums = [sum(sizes[: i + 1]) for i in range(len(sizes))]
+        self.total, self.largest, self.jobs = sum(sizes), max(sizes), 0
+
+    def around(self, limits):
+        self.jobs += 1
+        limits = [min(max(x, 0), self.total) for x in limits]
+        return [(max([0, *(b for b in self.sums if b <= x)]), 0 if x == 0 else min(b for b in self.sums if b >= x)) for x in limits]
+
+    def count_between(self, stretches):
+        return len(self.between(stretches))
+
+    def between(self, stretches):
+        return sorted({0, *(b for b in self.sums if any(low <= b <= high for low, high in stretches))})
+
+
+def test_capacity_with_and_without_reading_the_rest():
+    pick = random.Random(9)
+    for n in (1, 5, 8, 40, 300):
+        for top in (3, 1000, 10**6):
+            sizes = [pick.randrange(1, top) for _ in range(n)]
+            if n == 40:
+                sizes[7] = sum(sizes)
+            for known in (0, 10, 10**6):
+                at = _Listed(sizes)
+                got = sharding.smallest_capacity(at, 8, known)
+                ends = sharding._fill(at, 8, [got, got - 1])
+                assert ends[0][-1] == at.total and (ends[1][-1] < at.total or got == max(-(-at.total // 8), at.largest))
+                placed = [0, *sharding.cuts(at, 8, got), at.total]
+                assert max(b - a for a, b in zip(placed, placed[1:])) <= got and placed == sorted(placed)
+
+
+def test_very_long_texts(spark):
+    rows = [(k, "x" * (3 << 20) + str(k)) for k in range(9)] + [(100 + k, "y") for k in range(30)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    load = [sum(r.size for r in got if r.shard == k) for k in range(8)]
+    assert len(got) == 39 and max(load) < 2.1 * (3 << 20) and min(load) > 3 << 20
+
+
+def test_equals_the_law_in_sql(spark):
+    """size, groups and gapless slots, by DuckDB over the result."""
+    import duckdb
+
+    pick = random.Random(5)
+    rows = [(i, "".join(pick.choice("abc ") for _ in range(pick.randrange(40)))) for i in range(300)] + [(1000 + i, "copies of one text") for i in range(150)]
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()  # noqa: F841
+    base = duckdb.connect()
+    assert base.execute("SELECT count(*) FROM (SELECT text_crc32, size FROM found GROUP BY ALL HAVING count(DISTINCT shard) > 1)").fetchone() == (0,)
+    assert base.execute("SELECT count(*) FROM (SELECT shard FROM found GROUP BY shard HAVING min(slot) <> 0 OR max(slot) <> count(*) - 1 OR count(DISTINCT slot) <> count(*))").fetchone() == (0,)
+    total = sum(len(t) + 1 for _, t in rows)
+    assert base.execute("SELECT max(s) FROM (SELECT sum(size) AS s FROM found GROUP BY shard)").fetchone()[0] == 150 * 19 and total > 150 * 19
