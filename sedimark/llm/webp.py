@@ -4,8 +4,9 @@ decode() reads prefix codes, back-references, colour caches and meta prefix code
 cross-colour, subtract-green and palette transforms. It runs all images in lock step: one step decodes one pixel of
 every image with array operations, so the cost of a step is shared by all.
 
-encode() writes RGB images with prefix codes of their own and copies of runs, which is what text stored as samples
-gains from.
+encode() writes RGB images. Each gets prefix codes of its own, back-references found by equal stretches of four pixels,
+and, where an estimate of its bits says that it pays, a colour cache, a predictor, cross-colour factors or a palette.
+No choice for one image depends on others written with it.
 
 ARGB pixels are unsigned 32-bit numbers, alpha highest.
 """
@@ -300,32 +301,33 @@ def _predict(mode: np.ndarray, left: np.ndarray, top: np.ndarray, right: np.ndar
 
 
 def invert_predictor(pixels: np.ndarray, modes: np.ndarray, tile: int) -> np.ndarray:
-    """Adds to each residual (h x w) the prediction of its tile's mode (green channel of ``modes``).
+    """Adds to each residual (images x h x w) the prediction of its tile's mode (green channel of ``modes``).
 
-    Pixels with equal x + 2 y depend only on smaller ones, so they are decoded together.
+    Pixels with equal x + 2 y depend only on smaller ones, so those of all images are decoded together.
     """
-    h, w = pixels.shape
+    n, h, w = pixels.shape
     parts, mode = _bytes_of(pixels), ((modes >> _U32(8)) & _U32(15)).astype(np.int32)
-    parts[0, 0] = (parts[0, 0] + (255, 0, 0, 0)) & 255
-    parts[0] = np.cumsum(parts[0], 0) & 255  # the first row adds its left neighbour
+    parts[:, 0, 0] = (parts[:, 0, 0] + (255, 0, 0, 0)) & 255
+    parts[:, 0] = np.cumsum(parts[:, 0], 1) & 255  # the first row adds its left neighbour
     for front in range(2, w + 2 * (h - 1)):
         y = np.arange(max(1, (front - w + 2) // 2), min(h - 1, front // 2) + 1)
         x = front - 2 * y
         if not len(y):
             continue
-        beyond = np.where((x + 1 < w)[:, None], parts[y - 1, np.minimum(x + 1, w - 1)], parts[y, 0])
-        guess = _predict(mode[y >> tile, x >> tile], parts[y, x - 1], parts[y - 1, x], beyond, parts[y - 1, x - 1])
-        guess[x == 0] = parts[y - 1, 0][x == 0]
-        parts[y, x] = (parts[y, x] + guess) & 255
+        beyond = np.where((x + 1 < w)[:, None], parts[:, y - 1, np.minimum(x + 1, w - 1)], parts[:, y, 0])
+        around = (parts[:, y, x - 1], parts[:, y - 1, x], beyond, parts[:, y - 1, x - 1])
+        guess = _predict(mode[:, y >> tile, x >> tile].ravel(), *(a.reshape(-1, 4) for a in around)).reshape(n, len(y), 4)
+        guess[:, x == 0] = parts[:, y - 1, 0][:, x == 0]
+        parts[:, y, x] = (parts[:, y, x] + guess) & 255
     return _number_of(parts)
 
 
 def invert_cross_colour(pixels: np.ndarray, factors: np.ndarray, tile: int) -> np.ndarray:
-    """Adds what green gave to red, and green and red to blue, by the factors of each tile."""
+    """Adds what green gave to red, and green and red to blue, by the factors of each tile, for images x h x w."""
     signed = lambda x: x.astype(np.int8).astype(np.int32)
-    h, w = pixels.shape
+    _, h, w = pixels.shape
     parts = _bytes_of(pixels)
-    f = _bytes_of(factors)[np.arange(h)[:, None] >> tile, np.arange(w)[None] >> tile]
+    f = _bytes_of(factors)[:, np.arange(h)[:, None] >> tile, np.arange(w)[None] >> tile]
     red_blue, green_blue, green_red = signed(f[..., 1]), signed(f[..., 2]), signed(f[..., 3])
     green = signed(parts[..., 2])
     parts[..., 1] = (parts[..., 1] + ((green_red * green) >> 5)) & 255
@@ -393,12 +395,23 @@ def decode(files: list[bytes]) -> list[np.ndarray]:
     pixels, s = _image(bits, lanes, coded, height, True)
     if (bits.at > 8 * np.cumsum([len(f) for f in files])).any():
         raise WebPError("the data ends early")
-    out = []
-    for k in range(len(files)):
-        image = pixels[s[k] : s[k + 1]].reshape(height[k], coded[k])
-        for step, args in reversed(undo[k]):
-            image = step(image, *args)
-        out.append(image)
+    out = [pixels[s[k] : s[k + 1]].reshape(height[k], coded[k]) for k in range(len(files))]
+    while any(undo):
+        # the last transform of each image; equal steps over images of one shape are inverted together
+        alike: dict[tuple, list[int]] = {}
+        for k, steps in enumerate(undo):
+            if steps:
+                step, args = steps[-1]
+                together = step in (invert_predictor, invert_cross_colour)
+                alike.setdefault((step, out[k].shape, args[1]) if together else (step, k), []).append(k)
+        for (step, *_), ks in alike.items():
+            last = [undo[k].pop()[1] for k in ks]
+            if step in (invert_predictor, invert_cross_colour):
+                done = step(np.stack([out[k] for k in ks]), np.stack([x[0] for x in last]), last[0][1])
+            else:
+                done = [step(out[ks[0]], *last[0])]
+            for k, image in zip(ks, done):
+                out[k] = image
     return out
 
 
@@ -407,7 +420,10 @@ def decode(files: list[bytes]) -> list[np.ndarray]:
 _MOST = 11  # longest code that encode() gives
 #: Lengths of the code-length code that encode() uses for all images: 3 bits for 10 and 11, 4 for the others in use.
 _INNER = np.array([4, 4, 4, 4, 4, 4, 4, 4, 4, 4, 3, 3, 0, 0, 0, 0, 0, 4, 4])
-_RUN = 4  # pixels equal to the one before them, from which on they are a copy
+#: Pixels of a back-reference at least and at most; bits of the colour cache; bits of a tile's side.
+_COPY, _LONGEST, _CACHE, _TILE = 4, 4096, 8, 3
+#: Predictor modes that encode() tries for each tile: black, left, top, top-right, top-left.
+_MODES = (0, 1, 2, 3, 4)
 
 
 def code_lengths(counts: np.ndarray) -> np.ndarray:
@@ -443,6 +459,8 @@ def code_lengths(counts: np.ndarray) -> np.ndarray:
 def code_bits(lengths: np.ndarray) -> np.ndarray:
     """The codes of rows of lengths, first bit lowest; 0 for the only symbol of a row."""
     row, symbol = np.nonzero(lengths)
+    if not len(row):
+        return np.zeros(lengths.shape, _I64)
     length = lengths[row, symbol].astype(_I64)
     order = np.lexsort((symbol, length, row))
     row, symbol, length = row[order], symbol[order], length[order]
@@ -484,36 +502,102 @@ def _length_prefix(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(v < 4, v, 2 * high + ((v >> (high - 1)) & 1)), extra, v & ((1 << extra) - 1)
 
 
-def encode(samples: np.ndarray, rows: np.ndarray, width: int) -> list[bytes]:
-    """Lossless WebP files of RGB images of one width that lie one after another.
+def _entropy(values: np.ndarray, image: np.ndarray, n: int, wide: int) -> np.ndarray:
+    """The information content in bits of each image's values."""
+    counts = np.bincount(image * wide + values, minlength=n * wide).reshape(n, wide).astype(np.float64)
+    total = counts.sum(1)
+    return total * np.log2(np.maximum(total, 1)) - (counts * np.log2(np.maximum(counts, 1))).sum(1)
+
+
+def _before(key: np.ndarray, bits: int) -> np.ndarray:
+    """The last earlier position of an equal key (below 2**bits), or -1."""
+    n, out = len(key), np.full(len(key), -1, _I64)
+    if n >= 1 << (64 - bits):
+        order = np.argsort(key, kind="stable")
+        same = key[order[1:]] == key[order[:-1]]
+    else:  # sorting key and position as one number is faster than a stable sort of keys
+        both = np.sort(key.astype(np.uint64) << np.uint64(64 - bits) | np.arange(n, dtype=np.uint64))
+        order = (both & np.uint64((1 << (64 - bits)) - 1)).astype(_I64)
+        same = (both[1:] ^ both[:-1]) < 1 << (64 - bits)
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def _copies(pixels: np.ndarray, image: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first pixel, length, distance) of back-references, not overlapping. stop: the end of each pixel's image.
 
-    samples: pixels x 3 bytes. rows: each image's height. Pixels that repeat the one before them at least 4 times are
-    a copy at distance 1; all others are literal, by three prefix codes that fit the image.
+    Stretches of ``_COPY`` pixels that occurred before, at one distance for neighbouring pixels, are one copy; where two
+    overlap the later one is cut short.
     """
-    n, total = len(rows), rows * width
+    n = len(pixels)
+    none = np.zeros(0, _I64)
+    if n < _COPY:
+        return none, none, none
+    m = n - _COPY + 1
+    with np.errstate(over="ignore"):
+        key = image[:m].astype(np.uint64)
+        for j in range(_COPY):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + pixels[j : j + m]
+    past = _before((key ^ key >> np.uint64(29)) >> np.uint64(24), 40)
+    whole = (past >= 0) & (np.arange(m) + _COPY <= stop[:m])
+    for j in range(_COPY):
+        whole &= pixels[j : j + m] == pixels[np.maximum(past, 0) + j]
+    at = np.flatnonzero(whole & (image[np.maximum(past, 0)] == image[:m]))
+    if not len(at):
+        return none, none, none
+    far = at - past[at]
+    new = np.r_[True, (at[1:] != at[:-1] + 1) | (far[1:] != far[:-1])]
+    first, last = at[new], at[np.r_[new[1:], True]] + _COPY
+    far = far[new]
+    first = np.maximum(first, np.r_[0, last[:-1]])  # ends rise, so only the one before can overlap
+    keep = last - first >= _COPY
+    first, last, far = first[keep], last[keep], far[keep]
+    return first, np.minimum(last - first, _LONGEST), far
+
+
+def _distance_codes(width: int) -> np.ndarray:
+    """The code of each distance up to 8 rows: the first near one that gives it, else the distance and 120."""
+    out = np.arange(9 * width + 16) + 120
+    given = np.maximum(1, NEAR[:, 0] + NEAR[:, 1] * width)
+    for code in range(len(given), 0, -1):
+        out[given[code - 1]] = code
+    return out
+
+
+def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cached: bool = False, lead: int = 0) -> list[tuple[bytes, int]]:
+    """Entropy-coded images, one after another in ``pixels``: the bytes of each and their number of bits, after ``lead`` zero bits."""
+    n = len(total)
     start = np.r_[0, np.cumsum(total)]
     image = np.repeat(np.arange(n), total)
-    key = samples[:, 0].astype(_U32) << _U32(16) | samples[:, 1].astype(_U32) << _U32(8) | samples[:, 2]
-    same = np.zeros(len(key), bool)
-    same[1:] = key[1:] == key[:-1]
-    same[start[:-1]] = False
-    edge = np.flatnonzero(np.diff(np.r_[False, same, False].astype(np.int8)))
-    begin, end = edge[::2], edge[1::2]
-    long = end - begin >= _RUN
-    begin, run = begin[long], (end - begin)[long]
-    drop = np.zeros(len(key) + 1, np.int64)  # pixels inside a copy
+    parts = pixels.astype("<u4").view(_U8).reshape(-1, 4)  # blue, green, red, alpha
+    none = np.zeros(0, _I64)
+    begin, run, far = _copies(pixels, image, np.repeat(start[1:], total)) if main else (none, none, none)
+    drop = np.zeros(len(pixels) + 1, _I64)
     np.add.at(drop, begin, 1)
     np.add.at(drop, begin + run, -1)
     literal = np.cumsum(drop[:-1]) == 0
+    hit = np.zeros(0, _I64)
+    if cached:
+        slot = ((pixels.astype(np.uint64) * np.uint64(CACHE_HASH)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - _CACHE)
+        past = _before(image << _CACHE | slot.astype(_I64), 40)
+        known = literal & (past >= 0)
+        known[known] = pixels[past[known]] == pixels[known]
+        hit, literal = np.flatnonzero(known), literal & ~known
+        slot = slot[hit].astype(_I64)
     prefix, extra, rest = _length_prefix(run)
-    if len(run) and run.max() > 4096:  # a copy is at most 4096 long; heights keep images below that
-        raise ValueError("a run longer than one copy")
+    near = _distance_codes(width)
+    d_prefix, d_extra, d_rest = _length_prefix(np.where(far < len(near), near[np.minimum(far, len(near) - 1)], far + 120))
 
-    counts = [np.bincount(image[literal] * GREEN + samples[literal, 1], minlength=n * GREEN).reshape(n, GREEN)]
+    own = image[literal]
+    wide = GREEN + (1 << _CACHE if cached else 0)
+    counts = [np.bincount(own * wide + parts[literal, 1], minlength=n * wide).reshape(n, wide)]
     np.add.at(counts[0], (image[begin], LITERALS + prefix), 1)
-    counts += [np.bincount(image[literal] * 256 + samples[literal, c], minlength=n * 256).reshape(n, 256) for c in (0, 2)]
+    if cached:
+        np.add.at(counts[0], (image[hit], GREEN + slot), 1)
+    counts += [np.bincount(own * 256 + parts[literal, c], minlength=n * 256).reshape(n, 256) for c in (2, 0, 3)]
+    counts.append(np.bincount(image[begin] * DISTANCES + d_prefix, minlength=n * DISTANCES).reshape(n, DISTANCES))
     lengths = [code_lengths(c) for c in counts]
-    single = [(x > 0).sum(1) == 1 for x in lengths]
+    single = [(x > 0).sum(1) <= 1 for x in lengths]
     codes = [code_bits(x) for x in lengths]
     lengths = [np.where(one[:, None], 0, x) for x, one in zip(lengths, single)]
 
@@ -540,50 +624,227 @@ def encode(samples: np.ndarray, rows: np.ndarray, width: int) -> list[bytes]:
         row, token, more, more_bits = row[keep], token[keep], more[keep], more_bits[keep]
         heads.append((one, c.argmax(1), row, inner[token] | more << _INNER[token], _INNER[token] + more_bits))
 
-    order = [int(_INNER[s]) for s in LENGTH_ORDER]
-    plain_head = [(0, 1), (15, 4), *((v, 3) for v in order), (0, 1)]
     head_value, head_size = 0, 0
-    for v, b in plain_head:
+    for v, b in [(0, 1), (15, 4), *((int(_INNER[s]), 3) for s in LENGTH_ORDER), (0, 1)]:
         head_value |= v << head_size
         head_size += b
-    size = np.full(n, 3, _I64)  # no transform, no cache, no meta codes
+    # whether there is a cache, of how many bits, and, in a main image, no meta codes
+    size = np.full(n, lead + 1 + 4 * cached + main, _I64)
     spots = []
     for one, _, row, _, bits in heads:
         spots.append(size.copy())
         size += np.where(one, 11, head_size) + np.bincount(row, bits, n).astype(_I64)
-    tail = size.copy()
-    size += 15  # alpha (one symbol, 255) and distance (one symbol, 1)
-    g, r, b = (samples[:, c].astype(_I64) for c in (1, 0, 2))
-    lg, lr, lb = (lengths[k][image, v] for k, v in enumerate((g, r, b)))
-    value = codes[0][image, g] * (lg > 0) | codes[1][image, r] * (lr > 0) << lg | codes[2][image, b] * (lb > 0) << (lg + lr)
-    bits = np.where(literal, lg + lr + lb, 0)
-    ls = lengths[0][image[begin], LITERALS + prefix]
-    value[begin] = codes[0][image[begin], LITERALS + prefix] | rest << ls
-    bits[begin] = ls + extra
+    value, bits = np.zeros(len(pixels), _I64), np.zeros(len(pixels), _I64)
+    for k, c in ((0, 1), (1, 2), (2, 0), (3, 3)):
+        v = parts[literal, c].astype(_I64)
+        length = lengths[k][own, v]
+        value[literal] |= codes[k][own, v] * (length > 0) << bits[literal]
+        bits[literal] += length
+    symbol = LITERALS + prefix
+    length, d_length = lengths[0][image[begin], symbol], lengths[4][image[begin], d_prefix]
+    value[begin] = codes[0][image[begin], symbol] | rest << length | codes[4][image[begin], d_prefix] * (d_length > 0) << (length + extra) | d_rest << (length + extra + d_length)
+    bits[begin] = length + extra + d_length + d_extra
+    if cached:
+        value[hit], bits[hit] = codes[0][image[hit], GREEN + slot], lengths[0][image[hit], GREEN + slot]
     upto = np.cumsum(bits) - bits
     body = upto - np.repeat(upto[np.minimum(start[:-1], max(0, len(upto) - 1))], total)
     data_at = size.copy()
     size += np.bincount(image, bits, n).astype(_I64)
-    bytes_ = -(-size >> 3)
     base = np.r_[0, np.cumsum(-(-size >> 6))][:-1] * 64
     out = _Writer(int((-(-size >> 6)).sum()) + 1)
+    if cached:
+        out.put(base + lead, np.full(n, 1 | _CACHE << 1), np.full(n, 5))
     for (one, symbol, row, token, token_bits), spot in zip(heads, spots):
         k = np.flatnonzero(one)
         out.put(base[k] + spot[k], 0b101 | symbol[k] << 3, np.full(len(k), 11))
         k = np.flatnonzero(~one)
-        low = np.full(len(k), head_value & (2**32 - 1))
-        out.put(base[k] + spot[k], low, np.full(len(k), 32))
+        out.put(base[k] + spot[k], np.full(len(k), head_value & (2**32 - 1)), np.full(len(k), 32))
         out.put(base[k] + spot[k] + 32, np.full(len(k), head_value >> 32), np.full(len(k), head_size - 32))
         each = np.cumsum(token_bits) - token_bits
-        firsts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, _I64)
+        firsts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else none
         each = each - np.repeat(each[firsts], np.diff(np.r_[firsts, len(row)]))
         out.put(base[row] + spot[row] + head_size + each, token, token_bits)
-    out.put(base + tail, np.full(n, 0b101 | 255 << 3 | 0b1001 << 11), np.full(n, 15))
     out.put(base[image] + data_at[image] + body, value, bits)
     stream = out.words.astype("<u8").tobytes()
+    return [(stream[b // 8 : b // 8 + (z + 7) // 8], z) for b, z in zip(base.tolist(), size.tolist())]
+
+
+def _cache_pays(pixels: np.ndarray, image: np.ndarray, n: int) -> np.ndarray:
+    """Images that a colour cache is estimated to make smaller."""
+    parts = pixels.astype("<u4").view(_U8).reshape(-1, 4)
+    slot = (((pixels.astype(np.uint64) * np.uint64(CACHE_HASH)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - _CACHE)).astype(_I64)
+    past = _before(image << _CACHE | slot, 40)
+    known = past >= 0
+    known[known] = pixels[past[known]] == pixels[known]
+    plain = sum(_entropy(parts[:, c], image, n, 256) for c in range(3))
+    rest = ~known
+    wide = 256 + (1 << _CACHE)
+    mixed = _entropy(np.where(known, 256 + slot, parts[:, 1]), image, n, wide)
+    mixed += sum(_entropy(parts[rest, c], image[rest], n, 256) for c in (0, 2))
+    used = np.unique(image[known] << _CACHE | slot[known]) >> _CACHE
+    return mixed + 5 * np.bincount(used, minlength=n) + 40 < plain
+
+
+def _predicted(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(residuals, modes, tiles of each image): for each tile the mode that leaves fewest channels that are not zero."""
+    n, total = len(rows), rows * width
+    image = np.repeat(np.arange(n), total)
+    place = np.arange(len(pixels)) - np.repeat(np.r_[0, np.cumsum(total)][:-1], total)
+    y, x = place // width, place % width
+    across, down = -(-width >> _TILE), -(-rows >> _TILE)
+    tiles = np.r_[0, np.cumsum(across * down)]
+    tile = tiles[image] + (y >> _TILE) * across + (x >> _TILE)
+    inner = np.flatnonzero((x > 0) & (y > 0))
+    sub = lambda a, b: (a.view(_U8) - b.view(_U8)).view(_U32)
+    best, modes = np.full(tiles[-1], 1 << 30), np.zeros(tiles[-1], _I64)
+    here, where, held = pixels[inner], tile[inner], []
+    black = _U32(0xFF000000)
+    for m, back in zip(_MODES, (0, 1, width, width - 1, width + 1)):
+        left = sub(here, pixels[inner - back]) if back else here - black
+        held.append(left)
+        off = (((left & _U32(0x7F7F7F7F)) + _U32(0x7F7F7F7F)) | left) & _U32(0x80808080)  # a bit for each channel
+        cost = np.bincount(where, np.bitwise_count(off), tiles[-1]).astype(_I64)
+        modes, best = np.where(cost < best, m, modes), np.minimum(cost, best)
+    out = np.empty_like(pixels)
+    out[inner] = np.choose(modes[where], held)
+    edge = np.flatnonzero((x == 0) | (y == 0))
+    from_ = np.where(place[edge] == 0, np.uint32(0xFF000000), pixels[np.where(y[edge] == 0, edge - 1, edge - width)])
+    out[edge] = sub(pixels[edge], from_.astype(_U32))
+    return out, modes, np.diff(tiles)
+
+
+def _factors(pixels: np.ndarray, image: np.ndarray, n: int) -> np.ndarray:
+    """(green to red, green to blue, red to blue) of each image: what fits the channels best, as signed 32nds."""
+    signed = pixels.astype("<u4").view(np.int8).reshape(-1, 4).astype(np.float64)
+    blue, green, red = signed[:, 0], signed[:, 1], signed[:, 2]
+    mean = lambda v: np.bincount(image, v, n)
+    size = np.maximum(mean(np.ones(len(image))), 1)
+
+    def fit(of: np.ndarray, by: np.ndarray) -> np.ndarray:
+        spread = mean(by * by) - mean(by) ** 2 / size
+        shared = mean(of * by) - mean(of) * mean(by) / size
+        return np.clip(np.round(32 * shared / np.maximum(spread, 1e-9)), -127, 127).astype(_I64)
+
+    green_red, green_blue = fit(red, green), fit(blue, green)
+    left = blue - np.floor(green_blue[image] * green / 32)
+    return np.stack([green_red, green_blue, fit(left, red)], 1)
+
+
+def _crossed(pixels: np.ndarray, image: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Red less what green gives, and blue less what green and red give: what invert_cross_colour() undoes."""
+    parts = pixels.astype("<u4").view(_U8).reshape(-1, 4)
+    signed = parts.view(np.int8).astype(np.int32)
+    out, f = parts.copy(), factors[image].astype(np.int32)
+    out[:, 2] = (signed[:, 2] - ((f[:, 0] * signed[:, 1]) >> 5)) & 255
+    out[:, 0] = (signed[:, 0] - ((f[:, 1] * signed[:, 1]) >> 5) - ((f[:, 2] * signed[:, 2]) >> 5)) & 255
+    return out.view("<u4").ravel().astype(_U32)
+
+
+def _choose(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, tuple, np.ndarray, tuple]:
+    """For each image whether it is best as it is (0), with a predictor (1), with cross-colour factors (2) or by palette (3)."""
+    n, total = len(rows), rows * width
+    image = np.repeat(np.arange(n), total)
+    channels = lambda p: sum(_entropy(p.astype("<u4").view(_U8).reshape(-1, 4)[:, c], image, n, 256) for c in range(3))
+    plain = channels(pixels)
+    guessed = _predicted(pixels, rows, width)
+    tiles = guessed[2]
+    factors = _factors(pixels, image, n)
+    every = np.sort(image.astype(np.uint64) << np.uint64(32) | pixels)
+    new = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    colours, times = every[new], np.diff(np.r_[new, len(every)])
+    own = (colours >> np.uint64(32)).astype(_I64)
+    count = np.bincount(own, minlength=n)
+    palette = total * np.log2(np.maximum(total, 1)) - np.bincount(own, times * np.log2(times), n) + 24.0 * count + 60
+    palette[count > 256] = np.inf
+    costs = [plain, channels(guessed[0]) + 3.0 * tiles + 80, channels(_crossed(pixels, image, factors)) + 100, palette]
+    return np.argmin(np.stack(costs), 0), guessed, factors, (colours, own, count)
+
+
+def _taken(values: np.ndarray, size: np.ndarray, ks: np.ndarray) -> np.ndarray:
+    """The values of images ``ks`` alone, of ``values`` that hold ``size`` for each."""
+    pick = np.zeros(len(size), bool)
+    pick[ks] = True
+    return values[np.repeat(pick, size)]
+
+
+def _joined(*pieces: tuple[int, int]) -> int:
+    """Values of given bits, one after another, as one number; ends in its own highest bit."""
+    value, at = 0, 0
+    for v, n in pieces:
+        value |= v << at
+        at += n
+    return value | 1 << at
+
+
+def encode(samples: np.ndarray, rows: np.ndarray, width: int) -> list[bytes]:
+    """Lossless WebP files of RGB images of one width that lie one after another.
+
+    samples: pixels x 3 bytes. rows: each image's height.
+    """
+    n, total = len(rows), rows * width
+    pixels = _U32(0xFF000000) | samples[:, 0].astype(_U32) << _U32(16) | samples[:, 1].astype(_U32) << _U32(8) | samples[:, 2]
+    if not n:
+        return []
+    kind, (residuals, modes, tiles), factors, (colours, colour_of, count) = _choose(pixels, rows, width)
+    argb = lambda r, g, b: (_U32(0xFF000000) | (r & 255).astype(_U32) << _U32(16) | (g & 255).astype(_U32) << _U32(8) | (b & 255).astype(_U32))
+    # what is written before the image itself, for each image: transforms, each after a bit and its kind
+    before: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    as_number = lambda stream: (int.from_bytes(stream[0], "little"), stream[1])
+
+    jobs: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []  # images, pixels, sizes, width
+    if len(ks := np.flatnonzero(kind == 0)):
+        jobs.append((ks, _taken(pixels, total, ks), total[ks], width))
+    if len(ks := np.flatnonzero(kind == 1)):
+        own, m = _taken(residuals, total, ks), _taken(modes, tiles, ks)
+        zero = np.zeros(len(m), _I64)
+        for k, stream in zip(ks.tolist(), _streams(argb(zero, m, zero), tiles[ks], 1, False)):
+            before[k] += [(1 | 0 << 1 | (_TILE - 2) << 3, 6), as_number(stream)]
+        jobs.append((ks, own, total[ks], width))
+    if len(ks := np.flatnonzero(kind == 2)):
+        f = np.repeat(factors[ks], tiles[ks], axis=0)
+        for k, stream in zip(ks.tolist(), _streams(argb(f[:, 2], f[:, 1], f[:, 0]), tiles[ks], 1, False)):
+            before[k] += [(1 | 1 << 1 | (_TILE - 2) << 3, 6), as_number(stream)]
+        own = _taken(pixels, total, ks)
+        jobs.append((ks, _crossed(own, np.repeat(np.arange(len(ks)), total[ks]), factors[ks]), total[ks], width))
+    if len(ks := np.flatnonzero(kind == 3)):
+        held = np.isin(colour_of, ks)
+        table, size = colours[held].astype(_U32), count[ks]
+        first = np.r_[0, np.cumsum(size)][:-1]
+        steps = table.copy().view(_U8).reshape(-1, 4)
+        steps[1:] -= table.view(_U8).reshape(-1, 4)[:-1]
+        steps[first] = table[first].view(_U8).reshape(-1, 4)
+        for k, c, stream in zip(ks.tolist(), size.tolist(), _streams(steps.view(_U32).ravel(), size, 1, False)):
+            before[k] += [(1 | 3 << 1 | (c - 1) << 3, 11), as_number(stream)]
+        upto = np.r_[0, np.cumsum(count)]
+        pack = np.select([size <= 2, size <= 4, size <= 16], [3, 2, 1], 0)
+        for p in np.unique(pack).tolist():
+            some = ks[pack == p]
+            image = np.repeat(some, total[some])
+            own = np.searchsorted(colours, image.astype(np.uint64) << np.uint64(32) | _taken(pixels, total, some)) - upto[image]
+            own = own.reshape(-1, width)
+            narrow = -(-width >> p)
+            wide = np.zeros((len(own), narrow << p), _I64)
+            wide[:, :width] = own
+            packed = (wide.reshape(len(own), narrow, 1 << p) << (np.arange(1 << p) * (8 >> p))).sum(2).ravel()
+            zero = np.zeros(len(packed), _I64)
+            jobs.append((some, argb(zero, packed, zero), rows[some] * narrow, narrow))
+
+    main: list[tuple[bytes, int]] = [(b"", 0)] * n
+    for ks, own, size, wide in jobs:
+        cache = _cache_pays(own, np.repeat(np.arange(len(ks)), size), len(ks))
+        lead = int(kind[ks[0]] == 0)  # a zero bit ends the list of transforms: the first bit where there are none
+        for c in (False, True):
+            some = np.flatnonzero(cache == c)
+            if len(some):
+                for k, stream in zip(ks[some].tolist(), _streams(_taken(own, size, some), size[some], wide, True, c, lead)):
+                    main[k] = stream
     files = []
     for k in range(n):
-        payload = b"\x2f" + struct.pack("<I", (width - 1) | int(rows[k] - 1) << 14) + stream[base[k] // 8 : base[k] // 8 + int(bytes_[k])]
+        stream = main[k][0]
+        if before[k]:
+            value = _joined(*before[k], (0, 1), as_number(main[k]))
+            stream = (value ^ 1 << (value.bit_length() - 1)).to_bytes((value.bit_length() + 6) // 8, "little")
+        payload = b"\x2f" + struct.pack("<I", (width - 1) | int(rows[k] - 1) << 14) + stream
         padded = payload + b"\0" * (len(payload) & 1)
         files.append(b"RIFF" + struct.pack("<I", 12 + len(padded)) + b"WEBPVP8L" + struct.pack("<I", len(payload)) + padded)
     return files

@@ -37,3 +37,40 @@ def test_long_texts_are_stored_in_pieces(monkeypatch):
     whole = next(media.summaries(data, at)).row()
     monkeypatch.setattr(media, "PORTION", 20_000)
     assert next(media.summaries(data, at)).row() == whole
+
+
+def test_stored_files_use_every_feature(monkeypatch):
+    pick = random.Random(3)
+    word = lambda letters, n: "".join(pick.choice(letters) for _ in range(n))
+    line = word("etaoin shrdlu", 64 * 3)
+    texts = {
+        "cache, far copies": " ".join(pick.choice(["one", "two", "four", "five and"]) for _ in range(1200)) + line + word("xyz", 700) + line,
+        "palette": "".join(pick.choice(["abc", "xyz", "opq"]) for _ in range(600)),
+        "cross": "".join(c + c + pick.choice("0123456789") for c in word("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 2000)),
+        "predictor": "".join("".join(chr(65 + (ord(c) - 65 + (pick.random() < 0.02)) % 58) for c in line) if k else line for k, line in enumerate([word("".join(map(chr, range(65, 123))), 192)] * 30)),
+    }
+    used: dict[str, set] = {name: set() for name in texts}
+    now = [""]
+    for name in ("invert_predictor", "invert_cross_colour", "invert_palette"):
+        real = getattr(media.webp, name)
+        monkeypatch.setattr(media.webp, name, lambda *a, real=real, name=name: (used[now[0]].add(name), real(*a))[1])
+    copies, cache = media.webp._copies, media.webp._cache_pays
+    monkeypatch.setattr(media.webp, "_copies", lambda *a: (found := copies(*a), used[now[0]].add("far" if (found[2] > 1).any() else "near"))[0])
+    monkeypatch.setattr(media.webp, "_cache_pays", lambda *a: (found := cache(*a), used[now[0]].add(f"cache {found.any()}"))[0])
+    for name, text in texts.items():
+        now[0] = name
+        data = np.frombuffer(text.encode(), np.uint8)
+        stored, rows = media.store(data, np.array([0, len(data)]))
+        assert media.load(stored)[0].tobytes().rstrip(b" ") == text.encode().rstrip(b" ")
+    assert {"far", "cache True"} <= used["cache, far copies"] and "invert_palette" in used["palette"]
+    assert "invert_cross_colour" in used["cross"] and "invert_predictor" in used["predictor"], used
+
+
+def test_every_choice_is_an_images_own():
+    pick = np.random.default_rng(8)
+    parts = [pick.integers(97, 123, 192 * k).astype(np.uint8) for k in (1, 3, 8)] + [np.tile(np.frombuffer(b"abcabd", np.uint8), 32 * 5), np.repeat(pick.integers(97, 123, 64 * 9), 3).astype(np.uint8)]
+    at = np.r_[0, np.cumsum([len(p) for p in parts])]
+    together = media.store(np.concatenate(parts), at)[0]
+    assert together == [media.store(p, np.array([0, len(p)]))[0][0] for p in parts]
+    for p, x in zip(parts, media.load(together)):
+        assert x.tobytes() == p.tobytes()
