@@ -6,7 +6,7 @@ No suffix array over the corpus is ever built in one place. Every window of ``SP
 position of the least hash among its ``GRAM``-byte substrings. Equal windows have equal minimizers at equal places, so
 windows can be compared apart for each minimizer value:
 
-1. Documents lie in groups of about 10 MB, dealt once and kept as a table bucketed by group. Each group gives the
+1. Documents lie in groups of about 4 MB, dealt once and kept as a table bucketed by group. Each group gives the
    distinct hashes of its minimizers, a row each; sorted by hash, those that occur in two or more documents go back to
    the groups that hold them. Whole copies of a text are settled before, by digest.
 2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it: one row
@@ -40,7 +40,7 @@ WINDOWS = REACH + 1
 #: Occurrences of one minimizer value beyond which its windows are dealt out one by one.
 HOT = 5_000
 #: UTF-8 bytes of text in one group of documents.
-GROUP = 10 << 20
+GROUP = 4 << 20
 #: Most buckets of the table of groups, which may hold several groups each.
 BUCKETS = 100_000
 #: Minimizers whose contexts are cut out at once, and contexts that are held before equal ones are combined.
@@ -66,7 +66,7 @@ def _stir(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def minimizers(text: np.ndarray, step: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def minimizers(text: np.ndarray, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8), in pieces.
 
     A position is one or not by the ``SPAN`` bytes on its two sides alone, so a long text is taken ``step`` bytes at a time.
