@@ -5,10 +5,10 @@ vectors nearest to them, and what one owns is cut into chunks of bounded size. E
 routing vectors with covering radii and their distances to the parent's routing vector, down to leaf pages of vectors
 with theirs. For a query q and a routing vector c, every vector x below has  q.x <= q.c + |q| r  (r: covering radius),
 and by the stored distance d to the parent p alone  q.x <= q.p + |q| (d + r), which often saves computing q.c. Pages are
-taken best bound first until no bound reaches the k-th score found.
+taken best bound first, several at once after the first ones, until no bound reaches the k-th score found.
 
-A query first goes to the chunk of the best bound; then, with the k-th score found there, to the chunks whose bound
-reaches it. A chunk's tree and the queries that come for it are rows of one partition, the tree first, so queries stream
+A query first goes to the chunk of the best bound and searches it best first; then, with the k-th score found there, it
+goes to the chunks whose bound reaches it, where queries with such a floor take each page together. A chunk's tree and the queries that come for it are rows of one partition, the tree first, so queries stream
 past it one batch at a time, and each gives at most k rows a chunk, which are then ranked over all chunks.
 """
 
@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from sedimark.llm.common import written
 
-K, EVERY, PAGE, FANOUT = 5, 50, 64, 8
+K, EVERY, PAGE, FANOUT = 5, 50, 64, 16
+#: Pages taken together at most: each query begins with one, and doubles.
+BATCH = 64
 #: Vectors of a chunk at least, where there are partitions enough, and at most; chunks at most; vectors that route to chunks.
-LEAST, MOST, CHUNKS, PIVOTS = 1024, 1 << 16, 20_000, 1024
+LEAST, MOST, CHUNKS, PIVOTS = 4096, 1 << 16, 20_000, 1024
 _LONG = 2**63 - 1
 _EXACT = 2.0**52
 
@@ -152,33 +154,39 @@ class Tree:
         norm = float(np.sqrt(query @ query)) * (1 + 1e-9) + 1e-9  # so that rounding never cuts a bound short
         dot = float(self.routing[0] @ query)
         best: list[tuple[int, int]] = []  # heap of (score, -id)
-        queue, taken = [(-(dot + norm * self.radius[0]), 0, dot)], 1
-        while queue:
-            bound, node, dot = heapq.heappop(queue)
-            if -bound < floor:
-                break
-            kids = self.children[node]
-            if len(kids):
+        queue, taken, most = [(-(dot + norm * self.radius[0]), 0, dot)], 1, 1
+        while queue and -queue[0][0] >= floor:
+            pages: list[tuple[int, int]] = []
+            for _ in range(min(most, len(queue))):
+                if -queue[0][0] < floor:
+                    break
+                _, node, dot = heapq.heappop(queue)
+                kids = self.children[node]
+                if not len(kids):
+                    first, last = self.leaf[node].tolist()
+                    if floor > -np.inf:
+                        last = first + int(np.searchsorted(self.distance[first:last], (dot - floor) / norm, "right"))
+                    if first < last:
+                        pages.append((first, last))
+                    continue
                 kids = kids[dot + norm * (self.parent_distance[kids] + self.radius[kids]) >= floor]
                 below = self.routing[kids] @ query
                 taken += len(kids)
                 reach = below + norm * self.radius[kids]
                 for child in np.flatnonzero(reach >= floor).tolist():
                     heapq.heappush(queue, (-float(reach[child]), int(kids[child]), float(below[child])))
+            most = min(2 * most, BATCH)
+            if not pages:
                 continue
-            first, last = self.leaf[node].tolist()
-            if floor > -np.inf:
-                last = first + int(np.searchsorted(self.distance[first:last], (dot - floor) / norm, "right"))
-            scores = self.vectors[first:last] @ query
-            taken += last - first
-            if not len(scores) or scores.max() < floor:
-                continue
+            at = np.concatenate([np.arange(*p) for p in pages])
+            scores = self.vectors[at] @ query
+            taken += len(at)
             good = np.flatnonzero(scores >= floor)
-            good = good[self.ids[first + good] != own]  # an id may hold several vectors
+            good = good[self.ids[at[good]] != own]  # an id may hold several vectors
             if len(good) > 2 * k:  # only what can be among the k best, ties included
                 least = np.partition(scores[good], len(good) - k)[len(good) - k]
                 good = good[scores[good] >= least]
-            for s, i in zip(scores[good].tolist(), self.ids[first + good].tolist()):
+            for s, i in zip(scores[good].tolist(), self.ids[at[good]].tolist()):
                 item = (int(s), -i)
                 if len(best) < k:
                     heapq.heappush(best, item)
@@ -188,6 +196,39 @@ class Tree:
                 floor = max(floor, best[0][0])
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1])), taken
 
+    def sweep(self, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray) -> list[list[tuple[int, int]]]:
+        """top() for queries that have floors already, page by page: a page is read once for all queries whose bound reaches it."""
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]
+        if not len(self.ids):
+            return best
+        floors = floors.copy()
+        norm = np.sqrt((queries**2).sum(1)) * (1 + 1e-9) + 1e-9
+        stack = [(0, np.arange(len(queries)), queries @ self.routing[0])]
+        while stack:
+            node, some, dots = stack.pop()
+            kids = self.children[node]
+            keep = dots + norm[some] * self.radius[node] >= floors[some]  # floors have risen since
+            some, dots = some[keep], dots[keep]
+            if not len(some):
+                continue
+            for child in kids.tolist():
+                near = dots + norm[some] * (self.parent_distance[child] + self.radius[child]) >= floors[some]
+                if near.any():
+                    stack.append((child, some[near], queries[some[near]] @ self.routing[child]))
+            if not len(kids):
+                first, last = self.leaf[node].tolist()
+                scores = self.vectors[first:last] @ queries[some].T
+                row, col = np.nonzero((scores >= floors[some]) & (self.ids[first:last, None] != own[some]))
+                for s, i, q in zip(scores[row, col].tolist(), self.ids[first + row].tolist(), some[col].tolist()):
+                    held = best[q]
+                    if len(held) < k:
+                        heapq.heappush(held, (int(s), -i))
+                    elif (int(s), -i) > held[0]:
+                        heapq.heapreplace(held, (int(s), -i))
+                    if len(held) == k:
+                        floors[q] = max(floors[q], held[0][0])
+        return [sorted(((s, -i) for s, i in held), key=lambda x: (-x[0], x[1])) for held in best]
+
 
 class Root:
     """The root page: (chunk, centre, radius) of every chunk, at most ``CHUNKS`` and the pieces of ``PIVOTS`` cells."""
@@ -215,19 +256,32 @@ def _meet(trees: DataFrame, asked: DataFrame, splits: int, width: int, k: int) -
     right = asked.select("chunk", deal, F.lit(1).alias("kind"), "vec_id", "vec", "floor", F.lit(None).cast("binary").alias("blob"))
     rows = left.unionByName(right).repartition("chunk", "split").sortWithinPartitions("chunk", "split", "kind")
 
+    def answers(tree: Tree, ids: np.ndarray, vecs: list[bytes], floors: np.ndarray) -> list[list[tuple[int, int]]]:
+        queries = _from_bytes(vecs, width)
+        plain = queries.dtype != object and tree.vectors.dtype != object
+        out: list = [None] * len(ids)
+        ready = np.flatnonzero(np.isfinite(floors)) if plain else np.zeros(0, np.int64)
+        for at, found in zip(ready.tolist(), tree.sweep(queries[ready], ids[ready], k, floors[ready]) if len(ready) else ()):
+            out[at] = found
+        for at in np.setdiff1d(np.arange(len(ids)), ready).tolist():
+            out[at] = tree.top(_from_bytes(vecs[at : at + 1], width)[0], int(ids[at]), k, floors[at])[0]
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree: Tree | None = None
         for batch in batches:
+            kind, chunk = batch.column("kind").to_numpy(), batch.column("chunk").to_numpy()
             out: list[tuple] = []
-            kind, chunk = batch.column("kind").to_pylist(), batch.column("chunk").to_pylist()
-            for r in range(batch.num_rows):
-                if kind[r] == 0:
-                    tree = Tree.load(batch.column("blob")[r].as_py())
+            cut = np.r_[0, np.flatnonzero((kind[1:] != kind[:-1]) | (chunk[1:] != chunk[:-1])) + 1, len(kind)]
+            for first, last in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                own = batch.slice(first, last - first)
+                if not kind[first]:
+                    tree = Tree.load(own.column("blob")[0].as_py())
                     continue
-                i, vec, floor = (batch.column(c)[r].as_py() for c in ("vec_id", "vec", "floor"))
-                found = tree.top(_from_bytes([vec], width)[0], i, k, floor)[0]
-                kth = found[-1][0] if len(found) == k and abs(found[-1][0]) < _EXACT else -np.inf
-                out.append((i, vec, chunk[r], max(floor, float(kth)), [{"vec_id": v, "exact": str(s)} for s, v in found]))
+                ids, vecs, floors = own.column("vec_id").to_numpy(), own.column("vec").to_pylist(), own.column("floor").to_numpy()
+                for i, vec, floor, found in zip(ids.tolist(), vecs, floors.tolist(), answers(tree, ids, vecs, floors)):
+                    kth = float(found[-1][0]) if len(found) == k and abs(found[-1][0]) < _EXACT else -np.inf
+                    out.append((i, vec, int(chunk[first]), max(floor, kth), [{"vec_id": v, "exact": str(s)} for s, v in found]))
             pair = pa.struct([("vec_id", pa.int64()), ("exact", pa.string())])
             kinds = (pa.int64(), pa.binary(), pa.int32(), pa.float64(), pa.list_(pair))
             columns = [pa.array([o[c] for o in out], t) for c, t in enumerate(kinds)]

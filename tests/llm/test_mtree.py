@@ -72,6 +72,11 @@ def test_a_tree_comes_back_from_its_bytes_and_a_floor_cuts_nothing_it_needs():
         assert again.top(vectors[i], i, 5) == want
         cut, taken = again.top(vectors[i], i, 5, want[0][-1][0])
         assert cut == want[0] and taken <= want[1]
+    some = np.arange(0, 1500, 70)
+    wants = [tree.top(vectors[i], i, 5)[0] for i in some]
+    for low in (0, 500):  # with the k-th score itself as the floor, and with a lower one
+        assert tree.sweep(vectors[some], some, 5, np.array([w[-1][0] - low for w in wants], float)) == wants
+    assert tree.sweep(vectors[some], some, 5, np.array([w[0][0] + 1 for w in wants], float)) == [[]] * len(some)
     large = mtree.Tree(np.arange(2), np.array([[10**40, 1], [-(10**40), 2]], object))
     assert (mtree.Tree.load(large.dump()).vectors == large.vectors).all()
 
