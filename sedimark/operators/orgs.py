@@ -88,7 +88,7 @@ def url_evidence(leaves: DataFrame, key: str) -> DataFrame:
 
 def mention_evidence(mentions: DataFrame) -> DataFrame:
     """Every mention is weak evidence of its organisation, as a fact of the source."""
-    return mentions.withColumns({"evidence_type": F.lit("SOURCE_MENTION"), "direction": F.lit("SUPPORTS"), "strength": F.lit("WEAK"), "epistemic_class": F.lit("FACT"), "value": norm_text(F.col("mention_text"))})
+    return mentions.withColumns({"evidence_type": F.lit("SOURCE_ORGANIZATION_MENTION"), "direction": F.lit("SUPPORTS_IDENTITY"), "strength": F.lit("WEAK"), "epistemic_class": F.lit("FACT"), "value": norm_text(F.col("mention_text"))})
 
 
 def domain_candidates(evidence: DataFrame, organization: str) -> DataFrame:

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows as a checkpoint in the folder that the cluster names, or a temporary one where none is set."""
+    """The rows as a checkpoint in the folder that the cluster names, or, in local mode only, a temporary one."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="sedimark-"))
     return df.checkpoint()
 

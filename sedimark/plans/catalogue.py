@@ -364,7 +364,7 @@ def failure_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT i::BIGINT AS attempt, 0.25 * 2.0 ** (i - 1) AS delay FROM range(1, 11) t(i)")
 def retry_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1, 11).select(F.col("id").alias("attempt"), runs.RetryPolicy(10, 0.25).delay(F.col("id")).alias("delay"))
+    return spark.range(1, 11).select(F.col("id").alias("attempt"), runs.Backoff(10, 0.25).wait(F.col("id")).alias("delay"))
 
 
 @query(f"SELECT {_RUN} AS run_id, CASE WHEN bool_or(value > 1e9) THEN 'FAILED' WHEN count(*) FILTER (event_type = 'error' AND value > 200) > 0 THEN 'PARTIAL' ELSE 'COMPLETED' END AS status FROM events GROUP BY 1")
@@ -397,7 +397,7 @@ def org_participation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orgs.participations(b.postings(spark, sf_dir).withColumn("revision", F.col("id") % 10), "revision")
 
 
-@query(f"WITH {_POSTINGS} SELECT id, 'SOURCE_MENTION' AS evidence_type, 'WEAK' AS strength, 'FACT' AS epistemic_class, {_norm('mention_text')} AS value FROM postings WHERE mention_text IS NOT NULL")
+@query(f"WITH {_POSTINGS} SELECT id, 'SOURCE_ORGANIZATION_MENTION' AS evidence_type, 'WEAK' AS strength, 'FACT' AS epistemic_class, {_norm('mention_text')} AS value FROM postings WHERE mention_text IS NOT NULL")
 def mention_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orgs.mention_evidence(b.postings(spark, sf_dir).where("mention_text IS NOT NULL")).select("id", "evidence_type", "strength", "epistemic_class", "value")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,19 @@ TABLES = {
 }
 
 
+#: The tables in the order in which they came to be.
+MIGRATIONS = {
+    "0001_ingestion": ["schema_migration", "raw_observation", "job_posting", "job_posting_revision", "posting_lifecycle_observation", "organization_mention", "organization", "organization_candidate", "organization_participation", "match_candidate"],
+    "0002_runs": ["ingestion_run", "ingestion_item", "ingestion_attempt"],
+    "0003_evidence_and_pairs": ["organization_evidence", "organization_domain_candidate", "er_eval_pair"],
+}
+
+
+def migration_checksum(version: str) -> str:
+    """Of the declarations of a migration's tables: a later change of one shows."""
+    return hashlib.sha256("\n".join(f"{name}: {TABLES[name].columns}" for name in MIGRATIONS[version]).encode()).hexdigest()
+
+
 def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name].columns)
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sedimark.functions.urls import SITEMAP_ID
+
 # What marks a company's name, headings that are no company, headings of content sections, the parts of
 # structured data that a revision depends on, and the mark of machine-written summaries.
 COMPANY_MARKS = (("data-test", "text-offerEmployer"), ("data-testid", "company-name"), ("class", "company-name"))
@@ -28,6 +30,61 @@ def norm(text: str | None) -> str:
     return " ".join((text or "").split())
 
 
+def _objects(text: str) -> list[dict]:
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return []
+    top = [x for x in (value if isinstance(value, list) else [value]) if isinstance(x, dict)]
+    inner = [x["@graph"] if isinstance(x.get("@graph"), list) else [] for x in top]
+    return [y for x, graph in zip(top, inner) for y in (x, *(g for g in graph if isinstance(g, dict)))]
+
+
+def _sorted(skills: list[dict[str, str]]) -> list[dict[str, str]]:
+    return sorted(skills, key=lambda s: (norm(s["skill"]).casefold(), norm(s["level"]).casefold()))
+
+
+def _json(value) -> str:  # noqa: ANN001
+    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+
+def _plain_url(url: str) -> str:
+    return re.sub("[?#].*", "", url, flags=re.S)
+
+
+def _sitemap_id(url: str) -> str | None:
+    found = re.search(SITEMAP_ID, url)
+    return found and found[1]
+
+
+def _last_segment(url: str) -> str | None:
+    return _plain_url(url).rstrip("/").rpartition("/")[2]
+
+
+@dataclass(frozen=True)
+class Profile:
+    """What differs between sources: marks of the company, the posting's id in its URL, errors, what a revision hashes, and extras."""
+
+    marks: tuple[tuple[str, str], ...] = COMPANY_MARKS
+    id_of: Callable[[str], str | None] | None = None
+    drift: str = "PARSER_DRIFT: h1 missing"
+    no_id: str = "PARSER_DRIFT: source id missing"
+    #: Whether a revision is recognised by its semantic content; if not, by the whole body.
+    semantic: bool = True
+    extras: Callable[[Page, str], dict] = lambda page, body: {"skill_expectations": page.skills(), "platform_ai_summary_present": bool(MACHINE_WRITTEN.search(body))}
+
+
+#: The sources known by name. Any other source is read by the general profile.
+GENERAL = Profile()
+PROFILES = {
+    "theprotocol": Profile(
+        id_of=_sitemap_id, drift="PARSER_DRIFT: TheProtocol h1 missing", no_id="TheProtocol source ID missing", semantic=False,
+        extras=lambda page, body: {"platform_ai_summary_present": bool(MACHINE_WRITTEN.search(body))},
+    ),
+    "justjoinit": Profile(marks=COMPANY_MARKS[1:], id_of=_last_segment, drift="PARSER_DRIFT: JJIT h1 missing", extras=lambda page, body: {"skill_expectations": page.skills()}),
+}
+
+
 @dataclass
 class Node:
     """An element: its tag, attributes and text pieces, in document order."""
@@ -70,8 +127,8 @@ class Page(HTMLParser):
         if data.strip() and not (self._open and self._open[-1].tag in ("script", "style")):
             self.texts.append(data.strip())
 
-    def company(self, after: int) -> str | None:
-        for name, value in COMPANY_MARKS:
+    def company(self, after: int, marks: tuple[tuple[str, str], ...] = COMPANY_MARKS) -> str | None:
+        for name, value in marks:
             for n in self.nodes:
                 held = n.attributes.get(name, "")
                 if (value in held.split() if name == "class" else held == value) and n.text:
@@ -94,63 +151,75 @@ class Page(HTMLParser):
                 now.append(n.text)
         return out
 
-    def posting_data(self) -> dict:
-        """The first JobPosting of the page's structured data, its stable parts only."""
+    def structured(self) -> list[dict]:
+        """Every object of the page's structured data: those of each script, and those of their graphs right after them."""
+        found: list[dict] = []
         for n in self.nodes:
-            if n.tag != "script" or n.attributes.get("type") != "application/ld+json":
-                continue
-            try:
-                value = json.loads("".join(n.pieces))
-            except ValueError:
-                continue
-            for item in value if isinstance(value, list) else [value]:
-                if not isinstance(item, dict):
-                    continue
-                inner = item.get("@graph")
-                for x in [item, *(inner if isinstance(inner, list) else [])]:
-                    if isinstance(x, dict) and x.get("@type") == "JobPosting":
-                        return {k: x[k] for k in STABLE_KEYS if k in x}
-        return {}
+            if n.tag == "script" and n.attributes.get("type") == "application/ld+json":
+                found += _objects("".join(n.pieces))
+        return found
+
+    def posting_data(self) -> dict:
+        """The first JobPosting of the structured data, its stable parts only."""
+        own = next((x for x in self.structured() if x.get("@type") == "JobPosting"), {})
+        return {k: own[k] for k in STABLE_KEYS if k in own}
 
     def skills(self) -> list[dict[str, str]]:
         found = [{"skill": n.attributes["data-skill"], "level": n.attributes["data-level"]} for n in self.nodes if "data-skill" in n.attributes and "data-level" in n.attributes]
-        return sorted(found, key=lambda s: (norm(s["skill"]).casefold(), norm(s["level"]).casefold()))
+        return found
+
+
+_FIELDS = ("posting_id", "title", "company", "body", "projection", "specific", "machine_written", "error")
+
 
+def parse_posting(html: str | None, url: str | None = None, source: str | None = None) -> dict:
+    """The fields of a posting's page by its source's profile; a page without <h1>, or a URL without an id, is an error.
 
-def parse_posting(html: str) -> dict:
-    """title, company, body text, revision projection (JSON) and error; a page without <h1> is parser drift."""
-    page = Page(html or "")
+    projection: the semantic content as JSON, null for sources whose revisions hash the body. specific: JSON of what
+    only this source has, which never takes part in a hash.
+    """
+    page, profile = Page(html or ""), PROFILES.get(source, GENERAL)
     title = next((k for k, n in enumerate(page.nodes) if n.tag == "h1"), None)
-    if title is None:
-        return {"title": None, "company": None, "body": None, "projection": None, "machine_written": None, "error": "PARSER_DRIFT: h1 missing"}
+    id_ = profile.id_of(url or "") if profile.id_of else None
+    error = profile.drift if title is None else profile.no_id if profile.id_of and not id_ else None
+    if error:
+        return dict.fromkeys(_FIELDS) | {"error": error}
     body = "\n".join(page.texts)
-    projection = {"jobposting_json_ld": page.posting_data(), "stable_sections": page.sections(), "skill_expectations": page.skills()}
+    projection = {"jobposting_json_ld": page.posting_data(), "stable_sections": page.sections(), "skill_expectations": _sorted(page.skills())} if profile.semantic else None
     return {
-        "title": page.nodes[title].text, "company": page.company(title), "body": body,
-        "projection": json.dumps(projection, ensure_ascii=False, sort_keys=True, separators=(",", ":")), "machine_written": bool(MACHINE_WRITTEN.search(body)), "error": None,
+        "posting_id": id_, "title": page.nodes[title].text, "company": page.company(title, profile.marks), "body": body, "projection": projection and _json(projection),
+        "specific": _json(profile.extras(page, body)), "machine_written": bool(MACHINE_WRITTEN.search(body)), "error": None,
     }
 
 
-PARSED = "title string, company string, body string, projection string, machine_written boolean, error string"
+PARSED = "posting_id string, title string, company string, body string, projection string, specific string, machine_written boolean, error string"
 
 
-def parse_postings(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, title, company, body, projection, machine_written, error): pages that don't parse are rows with an error."""
+def parse_postings(pages: DataFrame, key: str, html: str = "html", url: str | None = None, source: str | None = None) -> DataFrame:
+    """(key, posting_id, title, company, body, projection, specific, machine_written, error): pages that don't parse are rows with an error."""
     kind = pages.schema[key].dataType.simpleString()
+    names = [key, html, *(c for c in (url, source) if c)]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame([{key: k, **parse_posting(h)} for k, h in zip(frame[key], frame[html])], columns=[key, "title", "company", "body", "projection", "machine_written", "error"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nothing = [None] * batch.num_rows
+            of = lambda c: batch.column(c).to_pylist() if c else nothing  # noqa: B023, E731
+            rows = [parse_posting(*row) for row in zip(of(html), of(url), of(source))]
+            columns = [pa.array([r[f] for r in rows], pa.bool_() if f == "machine_written" else pa.string()) for f in _FIELDS]
+            yield pa.RecordBatch.from_arrays([batch.column(key), *columns], [key, *_FIELDS])
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {PARSED}")
+    return pages.select(*names).mapInArrow(run, f"{key} {kind}, {PARSED}")
 
 
 def parsed_anchors(pages: DataFrame, base: str = "url", html: str = "html") -> DataFrame:
     """(base, pos, href) of every anchor, by the tolerant reader instead of a pattern."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(u, k, n.attributes["href"]) for u, h in zip(frame[base], frame[html]) for k, n in enumerate(x for x in Page(h or "").nodes if x.tag == "a" and "href" in x.attributes)]
-            yield pd.DataFrame(rows, columns=[base, "pos", "href"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for u, h in zip(batch.column(base).to_pylist(), batch.column(html).to_pylist()):
+                rows += [(u, k, n.attributes["href"]) for k, n in enumerate(x for x in Page(h or "").nodes if x.tag == "a" and "href" in x.attributes)]
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()))], [base, "pos", "href"])
 
-    return pages.select(base, html).mapInPandas(run, f"{base} string, pos int, href string")
+    return pages.select(base, html).mapInArrow(run, f"{base} string, pos int, href string")

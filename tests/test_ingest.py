@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from sedimark import schemas
-from sedimark.operators import er, ingest, quality
+from sedimark.operators import er, ingest, quality, store
 
 
 def _pages(spark, change=()):
@@ -16,7 +16,7 @@ def _pages(spark, change=()):
 
 def test_two_passes_meet_the_production_gate(spark):
     now = F.lit("2026-01-01").cast("timestamp")
-    one = ingest.ingest(ingest.empty_state(spark), _pages(spark), "r1", now)
+    one = ingest.ingest(store.empty(spark), _pages(spark), "r1", now)
     two = ingest.ingest(one, _pages(spark), "r2", now)
     two["match_candidate"] = schemas.empty(spark, "match_candidate")
     gate = quality.production_gate(two, ["a", "b"], 6)
@@ -24,7 +24,7 @@ def test_two_passes_meet_the_production_gate(spark):
     assert quality.verdict(quality.crawl_gate(two["job_posting"], two["posting_lifecycle_observation"], two["job_posting_revision"], ["a", "b"], 6)).first()["pass"]
     assert all(r.ok for r in schemas.constraint_gate(two).collect())
     schemas.assert_tables(two, list(schemas.TABLES))
-    n = {r.table: r.n for r in ingest.counts(two).collect()}
+    n = {r.table: r.n for r in store.counts(two).collect()}
     assert (n["raw_observation"], n["organization_mention"], n["organization"], n["organization_candidate"]) == (24, 12, 6, 12)
     again = ingest.ingest(two, _pages(spark), "r2", now)  # replay: all succeeded items are skipped
     assert again["raw_observation"].count() == 24 and again["ingestion_attempt"].count() == 24
@@ -32,7 +32,7 @@ def test_two_passes_meet_the_production_gate(spark):
 
 
 def test_change_revert_and_drift(spark):
-    now, state = F.lit("2026-01-01").cast("timestamp"), ingest.empty_state(spark)
+    now, state = F.lit("2026-01-01").cast("timestamp"), store.empty(spark)
     for k, change in enumerate([{}, {("a", 0): "new", ("b", 1): None}, {("a", 1): "other"}]):
         state = ingest.ingest(state, _pages(spark, change), f"r{k}", now)
     report = ingest.run_report(state, "r1")

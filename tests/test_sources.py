@@ -109,20 +109,27 @@ def test_adapter_source(spark):
     assert sorted(r.source_posting_id for r in spark.read.format("listing_pages").option("limit", 2).load().collect()) == ["a", "b"]
 
 
-def test_retry():
-    calls, failures = [], []
+def test_attempts_are_rows():
+    left, waits = [503, 429, None], []
 
     def flaky():
-        calls.append(1)
-        if len(calls) < 3:
-            raise runs.Retryable("x", 503)
-        return "ok"
-
-    assert runs.with_retry(flaky, runs.RetryPolicy(3), lambda n, e, again, kind, status: failures.append((n, again, kind)), lambda s: None) == ("ok", 3)
-    assert failures == [(1, True, "HTTP_503"), (2, True, "HTTP_503")]
-    with pytest.raises(runs.Retryable):
-        runs.with_retry(lambda: (_ for _ in ()).throw(runs.Retryable("x", 404)), runs.RetryPolicy(3), lambda *a: failures.append(a[:1]), lambda s: None)
-    assert len(failures) == 3 and runs.classify(TimeoutError())[0] and not runs.classify(ValueError())[0]
+        if status := left.pop(0):
+            raise runs.StatusError("busy", status)
+        return "body"
+
+    got = list(runs.attempts(flaky, runs.Backoff(3, 0.25), waits.append))
+    assert [(a.attempt_no, a.outcome, a.failure_type) for a in got] == [(1, runs.AGAIN, "HTTP_503"), (2, runs.AGAIN, "HTTP_429"), (3, runs.SUCCESS, None)]
+    assert got[-1].value == "body" and waits == [0.25, 0.5]
+
+    def failing(error):
+        def call():
+            raise error
+
+        return [(a.outcome, a.failure_type) for a in runs.attempts(call, runs.Backoff(2), waits.append)]
+
+    assert failing(runs.StatusError("gone", 404)) == [(runs.FINAL, "HTTP_404")]
+    assert failing(ValueError("drift")) == [(runs.FINAL, "ValueError")]
+    assert failing(TimeoutError()) == [(runs.AGAIN, "TimeoutError"), (runs.FINAL, "TimeoutError")]
 
 
 def test_items(spark):
