@@ -21,6 +21,8 @@ from sedimark.llm.common import portions, raw
 WIDTH, ROW = 64, 192
 STRIP = 32
 PORTION = 5 << 20
+#: Bytes of texts that are written together: arrays of this size stay in the caches.
+WRITTEN = 1 << 20
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
@@ -36,6 +38,17 @@ def split_files(media: bytes) -> list[bytes]:
 
 def store(data: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """The stored form of each text (bytes at[i]..at[i+1] of ``data``), and its number of rows."""
+    media, rows, first = [], [], 0
+    while first < len(at) - 1:
+        last = max(first + 1, int(np.searchsorted(at, at[first] + WRITTEN, "right")) - 1)
+        found, high = _store(data[at[first] : at[last]], at[first : last + 1] - at[first])
+        media += found
+        rows.append(high)
+        first = last
+    return media, np.concatenate(rows) if rows else np.zeros(0, np.int64)
+
+
+def _store(data: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     size = np.diff(at)
     rows = np.maximum(1, -(-size // ROW))
     start = np.r_[0, np.cumsum(rows * ROW)]
@@ -74,27 +87,32 @@ class Summary:
         self.counts = np.zeros(256, np.int64)
         self.columns = np.zeros(WIDTH, np.int64)
 
-    def add(self, media: bytes, samples: np.ndarray) -> None:
+    def add(self, media: bytes, samples: np.ndarray, counts: np.ndarray | None = None, columns: np.ndarray | None = None) -> None:
+        """A piece; counts of its sample values and sums of its columns of pixels are given where they are known."""
         data = samples.tobytes()
         self.payload.update(data)
         self.media.update(media)
         self.rows += len(samples)
         self.media_bytes += len(media)
         self.tail = data[-16:]
-        self.counts += np.bincount(samples.ravel(), minlength=256)
-        self.columns += samples.sum((0, 2), dtype=np.int64)
-
-    def feature(self) -> str:
-        """Height, mean and deviation of the samples, entropy in bits, and a 64-bit difference hash of the column sums."""
-        n, levels = self.counts.sum(), np.arange(256)
-        mean = float(self.counts @ levels) / n
-        spread = float(self.counts @ (levels - mean) ** 2 / n) ** 0.5
-        share = self.counts[self.counts > 0] / n
-        dhash = int((_BITS * (self.columns > np.roll(self.columns, 1))).sum(dtype=np.uint64))
-        return f"rows={self.rows};mean={mean:.4f};std={spread:.4f};entropy={float(-(share * np.log2(share)).sum()) + 0.0:.4f};dhash={dhash:016x}"
+        self.counts += np.bincount(samples.ravel(), minlength=256) if counts is None else counts
+        self.columns += samples.sum((0, 2), dtype=np.int64) if columns is None else columns
 
     def row(self) -> tuple:
-        return (self.rows * ROW, self.payload.hexdigest(), zlib.crc32(self.tail), self.media_bytes, self.media.hexdigest(), self.feature())
+        return (self.rows * ROW, self.payload.hexdigest(), zlib.crc32(self.tail), self.media_bytes, self.media.hexdigest())
+
+
+def features(counts: np.ndarray, columns: np.ndarray) -> list[str]:
+    """Of each row: height, mean and deviation of the samples, entropy in bits, and a 64-bit difference hash of the column sums."""
+    n, levels = counts.sum(1), np.arange(256)
+    total, squares = counts @ levels, counts @ (levels * levels)  # whole numbers: no order of adding shows
+    mean = total / n
+    spread = np.sqrt(np.maximum(squares * n - total * total, 0)) / n
+    logs = (counts * np.log2(np.maximum(counts, 1))).sum(1)
+    entropy = np.maximum(np.log2(n) - logs / n, 0) + 0.0
+    dhash = np.where(columns > np.roll(columns, 1, 1), _BITS, np.uint64(0)).sum(1, dtype=np.uint64)
+    values = zip((n // ROW).tolist(), mean.tolist(), spread.tolist(), entropy.tolist(), dhash.tolist())
+    return [f"rows={r};mean={m:.4f};std={s:.4f};entropy={e:.4f};dhash={h:016x}" for r, m, s, e, h in values]
 
 
 def summaries(data: np.ndarray, at: np.ndarray) -> Iterator[Summary]:
@@ -107,10 +125,16 @@ def summaries(data: np.ndarray, at: np.ndarray) -> Iterator[Summary]:
             out.add(stored[0], load(stored)[0])
         yield out
         return
-    media, _ = store(data, at)
-    for stored, samples in zip(media, load(media)):
+    media, rows = store(data, at)
+    images = load(media)
+    every = np.concatenate(images) if images else np.zeros((0, WIDTH, 3), np.uint8)
+    of = np.repeat(np.arange(len(rows)), rows)
+    counts = np.bincount((of[:, None] << 8 | every.reshape(-1, ROW)).ravel(), minlength=len(rows) << 8).reshape(-1, 256)
+    sums = every.sum(2, dtype=np.int64)
+    columns = np.add.reduceat(sums, np.r_[0, np.cumsum(rows)][:-1]) if len(rows) else sums
+    for stored, samples, c, x in zip(media, images, counts, columns):
         out = Summary()
-        out.add(stored, samples)
+        out.add(stored, samples, c, x)
         yield out
 
 
@@ -126,10 +150,8 @@ def round_trip(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(batches, "text", PORTION):
             data, at = raw(part.column("text"))
-            out: list[list] = [[] for _ in range(6)]
-            for found in summaries(data, at):
-                for column, v in zip(out, found.row()):
-                    column.append(v)
+            found = list(summaries(data, at))
+            out = [*zip(*(x.row() for x in found)), features(np.array([x.counts for x in found]), np.array([x.columns for x in found]))]
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at)), *(pa.array(c, t) for c, t in zip(out, kinds))], names)
 

@@ -596,20 +596,27 @@ def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cach
         np.add.at(counts[0], (image[hit], GREEN + slot), 1)
     counts += [np.bincount(own * 256 + parts[literal, c], minlength=n * 256).reshape(n, 256) for c in (2, 0, 3)]
     counts.append(np.bincount(image[begin] * DISTANCES + d_prefix, minlength=n * DISTANCES).reshape(n, DISTANCES))
-    lengths = [code_lengths(c) for c in counts]
-    single = [(x > 0).sum(1) <= 1 for x in lengths]
-    codes = [code_bits(x) for x in lengths]
-    lengths = [np.where(one[:, None], 0, x) for x, one in zip(lengths, single)]
-
-    # headers of the codes: (image, order, value, bits) pieces
+    # codes of one symbol take no bits; the others get lengths, codes, and headers: (order, value, bits) pieces of each image
     inner = code_bits(_INNER[None])[0]
-    heads = []
-    for one, x, c in zip(single, lengths, counts):
-        wide = x.shape[1]
-        flat = np.where(one[:, None], 1, x).ravel()  # rows of one symbol are written otherwise
+    lengths, codes, heads = [], [], []
+    for c in counts:
+        one = (c > 0).sum(1) <= 1
+        many = np.flatnonzero(~one)
+        x, bits = np.zeros(c.shape, _I64), np.zeros(c.shape, _I64)
+        lengths.append(x)
+        codes.append(bits)
+        if not len(many):
+            heads.append((one, c.argmax(1), none, none, none))
+            continue
+        own_lengths = code_lengths(c[many])
+        x[many], bits[many] = own_lengths, code_bits(own_lengths)
+        wide = c.shape[1]
+        flat = own_lengths.ravel()
         zero = flat == 0
-        at = np.flatnonzero(zero & ~np.r_[False, zero[:-1]] | zero & (np.arange(len(flat)) % wide == 0))
-        stop = np.flatnonzero(zero & (~np.r_[zero[1:], False] | (np.arange(len(flat)) % wide == wide - 1))) + 1
+        edge = np.zeros(len(flat) + 1, bool)
+        edge[::wide] = True
+        at = np.flatnonzero(zero & (edge[:-1] | ~np.r_[False, zero[:-1]]))
+        stop = np.flatnonzero(zero & (edge[1:] | ~np.r_[zero[1:], False])) + 1
         token = np.where(zero, -1, flat)
         more, more_bits = np.zeros(len(flat), _I64), np.zeros(len(flat), _I64)
         while len(at):
@@ -619,10 +626,9 @@ def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cach
             more[at] = np.where(left >= 11, part - 11, np.where(left >= 3, part - 3, 0))
             more_bits[at] = np.where(left >= 11, 7, np.where(left >= 3, 3, 0))
             at, stop = (at + part)[part < left], stop[part < left]
-        row = np.arange(len(flat)) // wide
-        keep = (token >= 0) & ~one[row]
-        row, token, more, more_bits = row[keep], token[keep], more[keep], more_bits[keep]
-        heads.append((one, c.argmax(1), row, inner[token] | more << _INNER[token], _INNER[token] + more_bits))
+        keep = np.flatnonzero(token >= 0)
+        token, more, more_bits = token[keep], more[keep], more_bits[keep]
+        heads.append((one, c.argmax(1), many[keep // wide], inner[token] | more << _INNER[token], _INNER[token] + more_bits))
 
     head_value, head_size = 0, 0
     for v, b in [(0, 1), (15, 4), *((int(_INNER[s]), 3) for s in LENGTH_ORDER), (0, 1)]:
