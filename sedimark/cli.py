@@ -5,13 +5,24 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimark.operators import er, graph, ledger, orgs, quality, sinks
-from sedimark.sources import files
+from sedimark import batch, schemas
+from sedimark.operators import enrichment, er, graph, ledger, orgs, quality, sinks, store
+from sedimark.sources import api, boards, files
+
+
+def _write(path: str | None, value: dict) -> None:
+    """A report: printed, and written where a path is given."""
+    text = json.dumps(value, ensure_ascii=False, indent=2, default=str)
+    print(text)
+    if path:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        Path(path).write_text(text + "\n", encoding="utf-8")
 
 
 def build_graph(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -38,11 +49,40 @@ def run_ledger(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def migrate(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Creates what a folder of tables lacks, and prints the versions applied."""
+    for version in store.migrate(store.Store(spark, args.tables)):
+        print(version)
+    return 0
+
+
+def run_batch(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Discovers, fetches and ingests postings of the named sources into a folder of tables."""
+    calls = {code: api.http_call for code in filter(None, args.api.split(","))}
+    run_id = args.run_id or str(uuid.uuid4())
+    report, pinned = batch.run(store.Store(spark, args.tables), run_id, args.sources.split(","), args.limit_per_source, args.trigger_kind, args.delay, args.manifest_in, calls)
+    if args.manifest_out:
+        Path(args.manifest_out).parent.mkdir(parents=True, exist_ok=True)
+        Path(args.manifest_out).write_text(json.dumps(pinned, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    _write(args.report, report)
+    return 0
+
+
+def _enrich_tables(spark: SparkSession, args: argparse.Namespace) -> int:
+    held = store.Store(spark, args.tables)
+    held.save(enrichment.enrich_changes(held.state(), F.current_timestamp()))
+    _write(args.report, enrichment.enrichment_report(held.state()))
+    return 0
+
+
 def enrich(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Payloads (id, organization_id, payload, normalized_projection_json where there is one) to URL evidence and domain candidates.
+    """A folder of tables: evidence and domain candidates of its current revisions, added to it.
 
-    The payload may also be named source_projection_json, as in the revisions.
+    Or payloads (id, organization_id, payload, normalized_projection_json where there is one) to URL evidence and domain
+    candidates. The payload may also be named source_projection_json, as in the revisions.
     """
+    if args.tables:
+        return _enrich_tables(spark, args)
     rows = spark.read.parquet(args.payloads)
     leaves = orgs.json_leaves(rows, "id", "payload" if "payload" in rows.columns else "source_projection_json")
     if "normalized_projection_json" in rows.columns:
@@ -53,8 +93,20 @@ def enrich(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _pairs_of_tables(spark: SparkSession, args: argparse.Namespace) -> int:
+    held = store.Store(spark, args.tables)
+    changes, counts = enrichment.pair_changes(held.state(), F.current_timestamp(), args.limit_pairs)
+    held.save(changes)
+    corpus = enrichment.pair_corpus(held.state())
+    corpus.orderBy("pair_id").write.mode("overwrite").json(args.out)
+    _write(args.summary, counts | enrichment.pair_report(corpus))
+    return 0
+
+
 def er_eval(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Postings to the review corpus and its summary."""
+    """A folder of tables: new review pairs, added to it, the whole corpus and its summary. Or a table of postings to both."""
+    if args.tables:
+        return _pairs_of_tables(spark, args)
     postings = spark.read.parquet(args.postings)
     pairs = er.candidate_pairs(postings)
     chosen = er.review_selection(pairs, args.limit_pairs)
@@ -63,26 +115,29 @@ def er_eval(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
-def _report(result: DataFrame, report: str | None) -> int:
+def _report(result: DataFrame, report: str | None, summary: dict) -> int:
     rows = [r.asDict() for r in result.collect()]
-    out = {"pass": all(r["ok"] for r in rows), "checks": rows}
-    text = json.dumps(out, indent=2)
-    print(text)
-    if report:
-        Path(report).write_text(text + "\n")
-    return 0 if out["pass"] else 1
+    failures = [f"{r['check_name']}: expected {r['op']} {r['expected']}, got {r['actual']}" for r in rows if not r["ok"]]
+    _write(report, {"pass": not failures, "failures": failures, "summary": summary, "checks": rows})
+    return 1 if failures else 0
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> int:
     """The crawl, production or organisation gate over a folder of tables; exit code 1 on failure."""
-    t = lambda name: spark.read.parquet(f"{args.tables}/{name}")
-    sources = args.sources.split(",")
+    held = store.Store(spark, args.tables)
+    t, sources = held.table, args.sources.split(",")
+    whole = store.summary(held.state()) if not held.missing() else {}
     if args.gate == "crawl":
-        return _report(quality.crawl_gate(t("job_posting"), t("posting_lifecycle_observation"), t("job_posting_revision"), sources, args.expected), args.report)
+        return _report(quality.crawl_gate(t("job_posting"), t("posting_lifecycle_observation"), t("job_posting_revision"), sources, args.expected), args.report, whole)
     if args.gate == "production":
         names = ("job_posting", "job_posting_revision", "raw_observation", "ingestion_run", "ingestion_item", "posting_lifecycle_observation", "organization_candidate", "match_candidate")
-        return _report(quality.production_gate({n: t(n) for n in names}, sources, args.expected), args.report)
-    return _report(quality.org_er_gate(t("job_posting"), t("organization_mention"), t("organization_evidence"), t("er_eval_pair"), args.expected), args.report)
+        return _report(quality.production_gate({n: t(n) for n in names}, sources, args.expected), args.report, whole | {"migrations": len(schemas.MIGRATIONS) if whole else 0})
+    pairs = t("er_eval_pair")
+    pairs = pairs.withColumnsRenamed({"posting_a_id": "a_id", "posting_b_id": "b_id"})
+    evidence = t("organization_evidence")
+    label = lambda name, basis: pairs.where((F.col("proposed_label") == name) & (F.col("label_basis") == basis)).count()
+    extra = {"organization_evidence": evidence.count(), "er_eval_pairs": pairs.count(), "auto_same": label("SAME_OPPORTUNITY", "AUTO_DECISIVE"), "auto_distinct": label("DISTINCT_OPPORTUNITY", "AUTO_COUNTER"), "unresolved": pairs.where("proposed_label = 'UNRESOLVED'").count()}
+    return _report(quality.org_er_gate(t("job_posting"), t("organization_mention"), evidence, pairs, args.expected), args.report, whole | extra)
 
 
 def query(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -106,8 +161,13 @@ def parser() -> argparse.ArgumentParser:
     need = {"required": True}
     command("build-graph", build_graph, jobs=need, out=need)
     command("ledger", run_ledger, observations=need, out=need, run_id=need, keys={"default": "source_code,source_posting_id"}, revert_policy={"default": "reject", "choices": ["reject", "new_revision"]})
-    command("enrich", enrich, payloads=need, out=need)
-    command("er-eval", er_eval, postings=need, out=need, limit_pairs={"type": int, "default": 200})
+    command("migrate", migrate, tables=need)
+    command(
+        "batch", run_batch, tables=need, sources={"default": ",".join(sorted(boards.ADAPTERS, reverse=True))}, api={"default": "", "help": "sources that are read by API"}, run_id={"default": None}, trigger_kind={"default": "manual"},
+        limit_per_source={"type": int, "default": 50}, delay={"type": float, "default": 0.2}, manifest_in={"default": None}, manifest_out={"default": None}, report={"default": None},
+    )
+    command("enrich", enrich, tables={"default": None}, payloads={"default": None}, out={"default": None}, report={"default": None})
+    command("er-eval", er_eval, tables={"default": None}, postings={"default": None}, out=need, limit_pairs={"type": int, "default": 200}, summary={"default": None})
     command("verify", verify, gate={"required": True, "choices": ["crawl", "production", "org-er"]}, tables=need, sources=need, expected={"type": int, "required": True}, report={"default": None})
     command("query", query, name=need, tables=need, out=need)
     return top

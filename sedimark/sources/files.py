@@ -24,8 +24,8 @@ def job_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, path: str | None) -> DataFrame:
-    """(source, source_posting_id, url) pinned by an earlier run; no path means none pinned."""
-    row = "source string, source_posting_id string, url string, groupId string"
+    """(source, source_posting_id, url, groupId, search) pinned by an earlier run; no path means none pinned. search: JSON text."""
+    row = "source string, source_posting_id string, url string, groupId string, search string"
     if path is None:
         return spark.createDataFrame([], row)
     read = spark.read.schema(f"sources map<string, array<struct<{row.replace(' string', ': string')}>>>").option("multiLine", True).json(path)
