@@ -185,7 +185,7 @@ def _image(bits: _Bits, lanes: np.ndarray, width: np.ndarray, height: np.ndarray
     total = width * height
     start = np.r_[0, np.cumsum(total)].astype(_I64)
     out = np.zeros(start[-1], _U32)
-    any_cache = cache.any()
+    any_cache, with_cache, shift = cache.any(), cache > 0, (32 - cache).astype(_U32)
     slot = np.r_[0, np.cumsum(np.where(cache > 0, 1 << cache, 0))]
     colours = np.zeros(slot[-1], _U32)
     left, back = np.zeros(n, _I64), np.zeros(n, _I64)  # of a running copy
@@ -255,10 +255,9 @@ def _image(bits: _Bits, lanes: np.ndarray, width: np.ndarray, height: np.ndarray
             out[place[c]] = out[place[c] - back[c]]
             left[c] -= 1
         if any_cache:
-            c = live[cache[live] > 0]
+            c = live[with_cache[live]]
             pixel = out[place[c]]
-            spot = (pixel.astype(np.uint64) * np.uint64(CACHE_HASH) & np.uint64(0xFFFFFFFF)) >> (32 - cache[c]).astype(np.uint64)
-            colours[slot[c] + spot.astype(_I64)] = pixel
+            colours[slot[c] + ((pixel * _U32(CACHE_HASH)) >> shift[c])] = pixel
         place[live] += 1
         step += 1
         if not step % 16 or len(live) < 64 or not main:
@@ -588,13 +587,15 @@ def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cach
     near = _distance_codes(width)
     d_prefix, d_extra, d_rest = _length_prefix(np.where(far < len(near), near[np.minimum(far, len(near) - 1)], far + 120))
 
-    own = image[literal]
+    at = np.flatnonzero(literal)
+    own = image[at]
     wide = GREEN + (1 << _CACHE if cached else 0)
-    counts = [np.bincount(own * wide + parts[literal, 1], minlength=n * wide).reshape(n, wide)]
+    spots_of = [own * (wide if c == 1 else 256) + parts[at, c] for c in (1, 2, 0, 3)]  # of each literal, in each table
+    counts = [np.bincount(spots_of[0], minlength=n * wide).reshape(n, wide)]
     np.add.at(counts[0], (image[begin], LITERALS + prefix), 1)
     if cached:
         np.add.at(counts[0], (image[hit], GREEN + slot), 1)
-    counts += [np.bincount(own * 256 + parts[literal, c], minlength=n * 256).reshape(n, 256) for c in (2, 0, 3)]
+    counts += [np.bincount(x, minlength=n * 256).reshape(n, 256) for x in spots_of[1:]]
     counts.append(np.bincount(image[begin] * DISTANCES + d_prefix, minlength=n * DISTANCES).reshape(n, DISTANCES))
     # codes of one symbol take no bits; the others get lengths, codes, and headers: (order, value, bits) pieces of each image
     inner = code_bits(_INNER[None])[0]
@@ -615,17 +616,17 @@ def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cach
         zero = flat == 0
         edge = np.zeros(len(flat) + 1, bool)
         edge[::wide] = True
-        at = np.flatnonzero(zero & (edge[:-1] | ~np.r_[False, zero[:-1]]))
+        go = np.flatnonzero(zero & (edge[:-1] | ~np.r_[False, zero[:-1]]))
         stop = np.flatnonzero(zero & (edge[1:] | ~np.r_[zero[1:], False])) + 1
         token = np.where(zero, -1, flat)
         more, more_bits = np.zeros(len(flat), _I64), np.zeros(len(flat), _I64)
-        while len(at):
-            left = stop - at
+        while len(go):
+            left = stop - go
             part = np.where(left >= 11, np.minimum(left, 138), np.where(left >= 3, left, 1))
-            token[at] = np.where(left >= 11, 18, np.where(left >= 3, 17, 0))
-            more[at] = np.where(left >= 11, part - 11, np.where(left >= 3, part - 3, 0))
-            more_bits[at] = np.where(left >= 11, 7, np.where(left >= 3, 3, 0))
-            at, stop = (at + part)[part < left], stop[part < left]
+            token[go] = np.where(left >= 11, 18, np.where(left >= 3, 17, 0))
+            more[go] = np.where(left >= 11, part - 11, np.where(left >= 3, part - 3, 0))
+            more_bits[go] = np.where(left >= 11, 7, np.where(left >= 3, 3, 0))
+            go, stop = (go + part)[part < left], stop[part < left]
         keep = np.flatnonzero(token >= 0)
         token, more, more_bits = token[keep], more[keep], more_bits[keep]
         heads.append((one, c.argmax(1), many[keep // wide], inner[token] | more << _INNER[token], _INNER[token] + more_bits))
@@ -641,11 +642,14 @@ def _streams(pixels: np.ndarray, total: np.ndarray, width: int, main: bool, cach
         spots.append(size.copy())
         size += np.where(one, 11, head_size) + np.bincount(row, bits, n).astype(_I64)
     value, bits = np.zeros(len(pixels), _I64), np.zeros(len(pixels), _I64)
-    for k, c in ((0, 1), (1, 2), (2, 0), (3, 3)):
-        v = parts[literal, c].astype(_I64)
-        length = lengths[k][own, v]
-        value[literal] |= codes[k][own, v] * (length > 0) << bits[literal]
-        bits[literal] += length
+    v, z = np.zeros(len(at), _I64), np.zeros(len(at), _I64)
+    for k, spot in enumerate(spots_of):
+        if heads[k][0].all():  # one symbol everywhere
+            continue
+        both = (codes[k] << 4 | lengths[k]).ravel()[spot]
+        v |= (both >> 4) << z
+        z += both & 15
+    value[at], bits[at] = v, z
     symbol = LITERALS + prefix
     length, d_length = lengths[0][image[begin], symbol], lengths[4][image[begin], d_prefix]
     value[begin] = codes[0][image[begin], symbol] | rest << length | codes[4][image[begin], d_prefix] * (d_length > 0) << (length + extra) | d_rest << (length + extra + d_length)
@@ -691,49 +695,54 @@ def _cache_pays(pixels: np.ndarray, image: np.ndarray, n: int) -> np.ndarray:
     return mixed + 5 * np.bincount(used, minlength=n) + 40 < plain
 
 
-def _predicted(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(residuals, modes, tiles of each image): for each tile the mode that leaves fewest channels that are not zero."""
+def _predicted(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(residuals, modes, tiles of each image, images): for each tile the mode that leaves fewest channels that are not
+    zero; residuals and modes only of the images that keep at most half of them."""
     n, total = len(rows), rows * width
     image = np.repeat(np.arange(n), total)
     place = np.arange(len(pixels)) - np.repeat(np.r_[0, np.cumsum(total)][:-1], total)
     y, x = place // width, place % width
     across, down = -(-width >> _TILE), -(-rows >> _TILE)
-    tiles = np.r_[0, np.cumsum(across * down)]
+    size = across * down
+    tiles = np.r_[0, np.cumsum(size)]
     tile = tiles[image] + (y >> _TILE) * across + (x >> _TILE)
     inner = np.flatnonzero((x > 0) & (y > 0))
     sub = lambda a, b: (a.view(_U8) - b.view(_U8)).view(_U32)
+    back = (0, 1, width, width - 1, width + 1)
+    here, where = pixels[inner], tile[inner]
     best, modes = np.full(tiles[-1], 1 << 30), np.zeros(tiles[-1], _I64)
-    here, where, held = pixels[inner], tile[inner], []
-    black = _U32(0xFF000000)
-    for m, back in zip(_MODES, (0, 1, width, width - 1, width + 1)):
-        left = sub(here, pixels[inner - back]) if back else here - black
-        held.append(left)
+    for m in _MODES:
+        left = here ^ (pixels[inner - back[m]] if m else _U32(0xFF000000))
         off = (((left & _U32(0x7F7F7F7F)) + _U32(0x7F7F7F7F)) | left) & _U32(0x80808080)  # a bit for each channel
         cost = np.bincount(where, np.bitwise_count(off), tiles[-1]).astype(_I64)
         modes, best = np.where(cost < best, m, modes), np.minimum(cost, best)
-    out = np.empty_like(pixels)
-    out[inner] = np.choose(modes[where], held)
-    edge = np.flatnonzero((x == 0) | (y == 0))
-    from_ = np.where(place[edge] == 0, np.uint32(0xFF000000), pixels[np.where(y[edge] == 0, edge - 1, edge - width)])
-    out[edge] = sub(pixels[edge], from_.astype(_U32))
-    return out, modes, np.diff(tiles)
-
-
-def _factors(pixels: np.ndarray, image: np.ndarray, n: int) -> np.ndarray:
-    """(green to red, green to blue, red to blue) of each image: what fits the channels best, as signed 32nds."""
-    signed = pixels.astype("<u4").view(np.int8).reshape(-1, 4).astype(np.float64)
-    blue, green, red = signed[:, 0], signed[:, 1], signed[:, 2]
-    mean = lambda v: np.bincount(image, v, n)
-    size = np.maximum(mean(np.ones(len(image))), 1)
-
-    def fit(of: np.ndarray, by: np.ndarray) -> np.ndarray:
-        spread = mean(by * by) - mean(by) ** 2 / size
-        shared = mean(of * by) - mean(of) * mean(by) / size
-        return np.clip(np.round(32 * shared / np.maximum(spread, 1e-9)), -127, 127).astype(_I64)
-
-    green_red, green_blue = fit(red, green), fit(blue, green)
-    left = blue - np.floor(green_blue[image] * green / 32)
-    return np.stack([green_red, green_blue, fit(left, red)], 1)
+    kept = np.add.reduceat(np.where(best < 1 << 30, best, 0), tiles[:-1])
+    ks = np.flatnonzero((2 * kept <= 3 * total) & (rows > 1))
+    some = np.isin(image, ks)
+    at = np.flatnonzero(some)
+    steps = np.array(back)[modes[tile[at]]]
+    steps = np.where(x[at] == 0, width, np.where(y[at] == 0, 1, steps))
+    first = (place[at] == 0) | (steps == 0)
+    guess = np.where(first, _U32(0xFF000000), pixels[at - np.where(first, 0, steps)])
+    return sub(pixels[at], guess.astype(_U32)), _taken(modes, size, ks), size, ks
+
+
+def _factors(pixels: np.ndarray, image: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(green to red, green to blue, red to blue) of each image: what fits the channels best, as signed 32nds; and where
+    green tells at least half of what red or blue vary by."""
+    signed = pixels.astype("<u4").view(np.int8).reshape(-1, 4)
+    blue, green, red = (signed[:, c].astype(np.int32) for c in range(3))
+    start = np.searchsorted(image, np.arange(n))
+    mean = lambda v: np.add.reduceat(v, start, dtype=_I64).astype(np.float64)
+    size = np.bincount(image, minlength=n).astype(np.float64)
+    vary = lambda a, b: mean(a * b) - mean(a) * mean(b) / size
+    slope = lambda shared, spread: np.clip(np.round(32 * shared / np.maximum(spread, 1e-9)), -127, 127).astype(_I64)
+    spread, in_red, in_blue = vary(green, green), vary(green, red), vary(green, blue)
+    red_own, blue_own = vary(red, red), vary(blue, blue)
+    fits = (2 * in_red**2 >= spread * red_own) & (red_own > 0) | (2 * in_blue**2 >= spread * blue_own) & (blue_own > 0)
+    green_red, green_blue = slope(in_red, spread), slope(in_blue, spread)
+    left = vary(blue, red) - green_blue / 32 * in_red  # of blue less what green gives, with red
+    return np.stack([green_red, green_blue, slope(left, red_own)], 1), fits
 
 
 def _crossed(pixels: np.ndarray, image: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -750,11 +759,21 @@ def _choose(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarra
     """For each image whether it is best as it is (0), with a predictor (1), with cross-colour factors (2) or by palette (3)."""
     n, total = len(rows), rows * width
     image = np.repeat(np.arange(n), total)
-    channels = lambda p: sum(_entropy(p.astype("<u4").view(_U8).reshape(-1, 4)[:, c], image, n, 256) for c in range(3))
-    plain = channels(pixels)
+    channels = lambda p, of, k: sum(_entropy(p.astype("<u4").view(_U8).reshape(-1, 4)[:, c], of, k, 256) for c in range(3))
+
+    def among(ks: np.ndarray, own: np.ndarray, more: np.ndarray) -> np.ndarray:
+        out = np.full(n, np.inf)
+        if len(ks):
+            out[ks] = channels(own, np.repeat(np.arange(len(ks)), total[ks]), len(ks)) + more
+        return out
+
+    plain = channels(pixels, image, n)
     guessed = _predicted(pixels, rows, width)
-    tiles = guessed[2]
-    factors = _factors(pixels, image, n)
+    tiles, ks = guessed[2:]
+    predicted = among(ks, guessed[0], 3.0 * tiles[ks] + 80)
+    factors, fits = _factors(pixels, image, n)
+    ks = np.flatnonzero(fits)
+    crossed = among(ks, _crossed(_taken(pixels, total, ks), np.repeat(np.arange(len(ks)), total[ks]), factors[ks]), np.full(len(ks), 100.0)) if len(ks) else np.full(n, np.inf)
     every = np.sort(image.astype(np.uint64) << np.uint64(32) | pixels)
     new = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
     colours, times = every[new], np.diff(np.r_[new, len(every)])
@@ -762,7 +781,7 @@ def _choose(pixels: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarra
     count = np.bincount(own, minlength=n)
     palette = total * np.log2(np.maximum(total, 1)) - np.bincount(own, times * np.log2(times), n) + 24.0 * count + 60
     palette[count > 256] = np.inf
-    costs = [plain, channels(guessed[0]) + 3.0 * tiles + 80, channels(_crossed(pixels, image, factors)) + 100, palette]
+    costs = [plain, predicted, crossed, palette]
     return np.argmin(np.stack(costs), 0), guessed, factors, (colours, own, count)
 
 
@@ -791,7 +810,7 @@ def encode(samples: np.ndarray, rows: np.ndarray, width: int) -> list[bytes]:
     pixels = _U32(0xFF000000) | samples[:, 0].astype(_U32) << _U32(16) | samples[:, 1].astype(_U32) << _U32(8) | samples[:, 2]
     if not n:
         return []
-    kind, (residuals, modes, tiles), factors, (colours, colour_of, count) = _choose(pixels, rows, width)
+    kind, (residuals, modes, tiles, guessed), factors, (colours, colour_of, count) = _choose(pixels, rows, width)
     argb = lambda r, g, b: (_U32(0xFF000000) | (r & 255).astype(_U32) << _U32(16) | (g & 255).astype(_U32) << _U32(8) | (b & 255).astype(_U32))
     # what is written before the image itself, for each image: transforms, each after a bit and its kind
     before: list[list[tuple[int, int]]] = [[] for _ in range(n)]
@@ -801,7 +820,8 @@ def encode(samples: np.ndarray, rows: np.ndarray, width: int) -> list[bytes]:
     if len(ks := np.flatnonzero(kind == 0)):
         jobs.append((ks, _taken(pixels, total, ks), total[ks], width))
     if len(ks := np.flatnonzero(kind == 1)):
-        own, m = _taken(residuals, total, ks), _taken(modes, tiles, ks)
+        among = np.flatnonzero(np.isin(guessed, ks))
+        own, m = _taken(residuals, total[guessed], among), _taken(modes, tiles[guessed], among)
         zero = np.zeros(len(m), _I64)
         for k, stream in zip(ks.tolist(), _streams(argb(zero, m, zero), tiles[ks], 1, False)):
             before[k] += [(1 | 0 << 1 | (_TILE - 2) << 3, 6), as_number(stream)]
