@@ -1,6 +1,7 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf blocks of the DOM.
 
-Each block has features of its ancestors (tags, words of class, id and role) and of its text (length, share of links,
+Each block has features of its ancestors (tags, words of class, id and role, and whether it stands beside the page's
+<article> or <main>) and of its text (length, share of links,
 end mark). The field is trained by maximum likelihood on labelled pages (labelled_pages.py), once on the driver;
 pages are decoded by Viterbi, each on its own, so pages never meet and nothing is shuffled.
 """
@@ -24,10 +25,13 @@ PAGES, EPOCHS, RATE, PRIOR = 240, 25, 0.2, 1e-3
 def block_features(all_blocks: list[Block]) -> list[list[str]]:
     """The feature names of each block of a page."""
     out = []
+    holders = [t for t in ("in=main", "in=article") if any(t in b.path for b in all_blocks)]
     for b in all_blocks:
         n = len(b.text)
+        # a page that has an <article> or <main> says by it what stands beside its text
+        beside = [f"beside-{t}" for t in holders if t not in b.path]
         out.append([
-            "any", *b.path, f"own={b.own}", f"size={min(8, n.bit_length())}", f"link={min(4, int(b.link * 5))}",
+            "any", *b.path, *beside, f"own={b.own}", f"size={min(8, n.bit_length())}", f"link={min(4, int(b.link * 5))}",
             f"end={b.text[-1] if b.text[-1] in '.?!:;,' else 'x'}", *(["copyright"] if "©" in b.text else []),
             *(["short+link"] if n < 30 and b.link > 0.8 else []), *([f"own={b.own}&end"] if b.text[-1] in ".?!" else []),
         ])

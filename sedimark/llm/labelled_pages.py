@@ -9,6 +9,9 @@ from __future__ import annotations
 import random
 
 _SYLLABLES = "ba co den er fi gra ha il jo ka lu men no or pe qui ra so ta un ve wi xa yo zu".split()
+#: Names of what holds readers' comments, and of one comment.
+_COMMENTS = "comments comment-list responses discussion replies reactions discuss thread feedback respond disqus user-comments reader-comments conversation opinions talkback".split()
+_COMMENT = "comment reply response reaction post-reply message remark".split()
 _MENU = "Home News Sport About Contact Archive Shop Login Register Help Blog Media Careers Topics Search".split()
 
 
@@ -74,9 +77,16 @@ def _aside(w: _Words) -> str:
 def _after(w: _Words) -> list[str]:
     p = w.pick
     out = []
-    if p.random() < 0.3:
-        each = "".join(p.choice([f"<li>{w.paragraph()}</li>", f'<div class="comment"><b>{w.word()}</b><p>{w.paragraph()}</p></div>']) for _ in range(p.randrange(1, 4)))
-        out.append(f'<{(t := p.choice(["div", "section", "ol"]))} {p.choice(["id", "class"])}="{p.choice(["comments", "comment-list", "responses", "discussion"])}">{_comments_title(w)}{each}</{t}>')
+    if p.random() < 0.4:
+        one = lambda: p.choice([
+            f"<li>{w.paragraph()}</li>", f"<p>{w.paragraph()}</p>", f'<div class="{p.choice(_COMMENT)}"><b>{w.word()}</b><p>{w.paragraph()}</p></div>',
+            f'<div class="{p.choice(_COMMENT)}"><p>{w.paragraph()}</p></div>', f'<article class="{p.choice(_COMMENT)}"><h4>{w.word()}</h4><p>{w.paragraph()}</p></article>',
+        ])
+        each = "".join(one() for _ in range(p.randrange(1, 4)))
+        title = p.choice([_comments_title(w), _comments_title(w), ""])
+        out.append(f'<{(t := p.choice(["div", "div", "section", "ol", "ul"]))} {p.choice(["id", "class"])}="{p.choice(_COMMENTS)}">{title}{each}</{t}>')
+    if p.random() < 0.1:  # under a name that says nothing
+        out.append(f'<div {p.choice(["id", "class"])}="{w.word()}"><p>{w.paragraph()}</p></div>')
     if p.random() < 0.35:
         out.append(f'<{(t := p.choice(["aside", "div"]))} class="{p.choice(["sidebar", "related", "widget"])}"><h4>{w.some(1, 4)}</h4>{p.choice([_menu(w), "<p>" + w.paragraph() + "</p>"])}</{t}>')
     if p.random() < 0.3:

@@ -61,3 +61,26 @@ def test_extract(spark):
     want = "A title& Lead <here> it is. First particle été. Second one goes on."
     assert sorted((r.page_id or 0, r.text[:70], r.n_chars) for r in got) == [(0, "", 0), (1, want, len(want)), (1, want, len(want)), (2, "", 0), (3, ("word " * 14), 149999)]
     assert htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string").limit(0)).count() == 0
+
+
+def test_readers_comments_under_many_names():
+    field, kept, pages = htmltext.trained(), 0, []
+    for start, end in (("<article>", "</article>"), ('<div class="content">', "</div>"), ("<main>", "</main>")):
+        for name in ("replies", "reactions", "discuss", "thread", "comments", "feedback", "responses"):
+            for one in ('<div class="reply"><p>Great post, thank you very much.</p></div>', "<p>Great post! I like it.</p>", "<li>Great post.</li>", '<article class="comment"><p>Great post, I would say.</p></article>'):
+                pages.append(f'<html><body><nav><a href="/">Home</a> <a href="/n">News</a></nav>{start}<h1>A title here</h1><p>Some text of the page stands here.</p><p>More of it follows now, and ends.</p>{end}<div class="{name}">{one}{one}</div><footer>&copy; x.example</footer></body></html>')
+    for page in pages:
+        got = htmltext.main_text(page, field)
+        assert got.startswith("A title here Some text of the page stands here. More of it follows now, and ends.")
+        kept += "Great post" in got
+    assert kept <= 0.02 * len(pages), kept
+
+
+def test_extraction_on_labelled_pages_equals_the_labels():
+    """Whole results against the labels that pages were made with."""
+    field, same = htmltext.trained(), 0
+    pages = labelled_pages.pages(120, seed=123)
+    for page in pages:
+        found, labels = htmltext.labelled(page)
+        same += htmltext.main_text("".join(x for x, _ in page), field) == " ".join(b.text for b, y in zip(found, labels) if y)
+    assert same >= 0.93 * len(pages), same
