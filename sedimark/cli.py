@@ -108,8 +108,8 @@ def er_eval(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.tables:
         return _pairs_of_tables(spark, args)
     postings = spark.read.parquet(args.postings)
-    pairs = er.candidate_pairs(postings)
-    chosen = er.review_selection(pairs, args.limit_pairs)
+    pairs = er.scored_pairs(postings)
+    chosen = er.with_features(er.review_selection(pairs, args.limit_pairs), postings)
     sinks.write_corpus(chosen, args.out)
     print(json.dumps(er.summary(pairs, chosen, postings).first().asDict()))
     return 0

@@ -88,8 +88,8 @@ _FEATURES = (
 def pair_changes(state: Tables, now: Column, limit: int = 200) -> tuple[Tables, dict]:
     """New review pairs of this generator, and the counts of the pass."""
     postings = cut(state_postings(state))
-    pairs = er.candidate_pairs(postings)
-    chosen = cut(er.review_selection(pairs, limit))
+    pairs = er.scored_pairs(postings)
+    chosen = cut(er.with_features(er.review_selection(pairs, limit), postings))
     own = _Pass(postings.sparkSession, state)
     rows = chosen.select(
         F.col("a_id").alias("posting_a_id"), F.col("b_id").alias("posting_b_id"), "stratum", F.to_json(F.struct(*_FEATURES)).alias("features_json"), F.to_json("evidence").alias("evidence_json"),
