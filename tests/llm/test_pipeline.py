@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from sedimark.llm import quality
 from test_linededup import slow as slow_lines
-from test_simhash import slow_components, slow_print
+from test_simhash import alike, slow_components, slow_sketch
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -32,8 +32,8 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert all(r[4] == len(r[1]) and r[5] == 7 for r in lines)
 
     three = stages["simhash_near_dedup"](spark, two, SF)
-    ids = [(-1 if r[0] is None else r[0], slow_print(r[1])) for r in lines]
-    top = slow_components(ids)
+    ids = [(-1 if r[0] is None else r[0], slow_sketch(r[1])) for r in lines]
+    top = slow_components(ids, alike)
     kept = [tuple(r) for r in three.collect()]
     assert sorted(kept, key=key) == sorted([r for r in lines if top[-1 if r[0] is None else r[0]] == (-1 if r[0] is None else r[0])], key=key)
 
@@ -67,3 +67,20 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_empty_tables_missing_labels_and_a_very_long_text(spark, tmp_path, monkeypatch):
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    none = f"{tmp_path}/none"
+    base.limit(0).write.parquet(f"{none}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{none}/labels.parquet")
+    assert corpus_pipeline.run(spark, none).count() == 0
+    some = f"{tmp_path}/some"
+    long = " ".join(f"word{k}" for k in range(200_000))
+    rows = [(1, "a few words here", "en", "s", 16), (2, None, None, None, None), (None, long, "en", "s", len(long)), (3, long + " end", "en", "s", len(long) + 4)]
+    spark.createDataFrame(rows, base.schema).coalesce(2).write.parquet(f"{some}/documents.parquet")
+    spark.createDataFrame([(1, None, 0), (None, 1, 0), (2, 5, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{some}/labels.parquet")
+    got = corpus_pipeline.run(spark, some).collect()
+    # without usable labels all stay (score 0.5); the long text's near copy goes
+    assert {r.doc_id for r in got} == {None, 1, 2}
+    assert sum(r.length for r in got if r.doc_id == 2) == 1

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import xxhash
 
 from sedimark.llm import simhash
@@ -15,7 +16,22 @@ def slow_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def slow_components(prints):
+def slow_sketch(text):
+    """The word fingerprint and the wide one of five-word shingles, as whole numbers."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0, 0
+    majority = lambda h, bits: sum(1 << b for b in range(bits) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    shingles = [" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))]
+    wide = [int.from_bytes(b"".join(xxhash.xxh3_128_digest(x, seed) for seed in range(4)), "big") for x in shingles]
+    return majority([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], 64), majority(wide, 512)
+
+
+def alike(a, b):
+    return (a[0] ^ b[0]).bit_count() <= 7 and (a[1] ^ b[1]).bit_count() <= 90
+
+
+def slow_components(prints, links=lambda a, b: (a ^ b).bit_count() <= 3):
     top = {i: i for i, _ in prints}
 
     def root(x):
@@ -25,7 +41,7 @@ def slow_components(prints):
 
     for i, a in prints:
         for j, b in prints:
-            if (a ^ b).bit_count() <= 3:
+            if links(a, b):
                 x, y = sorted((root(i), root(j)))
                 top[y] = x
     return {i: root(i) for i, _ in prints}
@@ -60,3 +76,67 @@ def test_nulls_ties_and_empty(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(df).collect())
     assert got == [(False, 5, None), (False, 5, None), (False, 7, 7), (True, 0, None)]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_every_chain_of_seven_bits_is_found(spark):
+    pick = random.Random(11)
+    centre = [pick.getrandbits(64) for _ in range(3)]
+    prints = sorted({c ^ sum(1 << b for b in pick.sample(range(64), pick.choice([0, 3, 6, 7, 8]))) for c in centre for _ in range(50)})
+    nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, k) for k, p in enumerate(prints)], "fp long, node long")
+    want = slow_components(list(enumerate(prints)), lambda a, b: (a ^ b).bit_count() <= 7)
+    for block in (2048, 6):
+        comp = {r.node: r.component for r in simhash.connected_components(simhash.links(nodes, block, 7)).collect()}
+        assert {k: comp.get(k, k) for k in range(len(prints))} == want
+
+
+def test_a_walk_joins_what_all_pairs_join():
+    pick = np.random.default_rng(3)
+    base = pick.integers(0, 2**63, 5).astype(np.uint64)
+    fp = base[pick.integers(0, 5, 300)]
+    for _ in range(4):
+        fp = fp ^ (np.uint64(1) << pick.integers(0, 64, 300).astype(np.uint64))
+    wide = np.where(pick.random((300, 8)) < 0.5, np.uint64(0), np.uint64(2**20 - 1))
+    for table in range(8):
+        a, b = simhash._walk(fp, wide, table, 7)
+        i, j = np.triu_indices(300, 1)
+        ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 7) & simhash._agree(wide, i, j)
+        want = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(i[ok].tolist(), j[ok].tolist())): (min(x, y), max(x, y)) in p)
+        got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
+        assert got == want and len(a) < 300
+
+
+def test_similar_texts_against_brute_force(spark):
+    pick = random.Random(7)
+    words = [f"w{k}" for k in range(400)]
+    base = [[pick.choice(words) for _ in range(pick.choice([3, 60, 120, 300]))] for _ in range(30)]
+    texts = [" ".join(b) for b in base]
+    for b in base:  # copies with a word or a few changed
+        for n in (1, 2, 6):
+            c = list(b)
+            for k in pick.sample(range(len(c)), min(n, len(c))):
+                c[k] = pick.choice(words)
+            texts.append(" ".join(c).upper())
+    rows = [(k * 2, t) for k, t in enumerate(texts)] + [(1001, ""), (1003, None), (1005, texts[3]), (1005, texts[9]), (None, texts[12])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _kept string")
+    low = lambda i: -(2**63) if i is None else i
+    prints = [(low(i), slow_sketch(t)) for i, t in rows]
+    # rows that share an id are one document
+    top = slow_components([(k, (p, i)) for k, (i, p) in enumerate(prints)], lambda a, b: a[1] == b[1] or alike(a[0], b[0]))
+    least = {}
+    for k, (i, _) in enumerate(prints):
+        least[top[k]] = min(least.get(top[k], i), i)
+    want = {i: least[top[k]] for k, (i, _) in enumerate(prints)}
+    for block in (2048, 3):
+        assert {r.doc_id: r.component_id for r in simhash.similar(simhash.keyed(df), block).collect()} == want
+    kept = simhash.without_near_duplicates(df).collect()
+    assert sorted(low(r.doc_id) for r in kept) == sorted(i for i, _ in prints if want[i] == i)
+    changed = [(k, 30 + 3 * k) for k, b in enumerate(base) if len(b) >= 120]  # one word of 120 or more
+    assert all(want[2 * k] == want[2 * j] for k, j in changed)
+    assert simhash.without_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"w{k % 5000} v{k}" for k in range(150_000))
+    df = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar(simhash.keyed(df)).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {r.component_id for r in simhash.near_duplicates(df).collect()} == {1, 3}
