@@ -1,4 +1,11 @@
-"""From raw documents to packed training sequences: five stages, each written as Parquet and read again."""
+"""From raw documents to packed training sequences: five stages, each written as Parquet and read again.
+
+Every stage takes the whole table that its predecessor kept and, but for the last, returns its columns. Null texts count
+as empty and become empty once a stage rewrites texts; a null doc_id stays null and counts as the smallest id. Of equal
+scores and fingerprints all share one fate, so ties never depend on order. Repeated rows stay repeated, unless they are
+near-duplicates of a row with a smaller id. An empty table passes through every stage, and without labels of both kinds
+the classifier gives every document the same score.
+"""
 
 from __future__ import annotations
 
@@ -12,27 +19,27 @@ from sedimark.llm.common import documents, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go: those with a score under its threshold. Empty texts are scored too."""
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the lines that many documents repeat."""
+    """Texts lose the lines that many documents repeat; the largest doc_id that holds a line keeps it. A document that loses all its lines stays, empty."""
     return linededup.dedup_lines(docs).select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that of the smallest doc_id; all empty texts are one group."""
     return simhash.without_near_duplicates(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the long strings that an earlier document has."""
+    """Texts lose the strings of 50 bytes and more that a document of smaller doc_id has, whole copies included."""
     return suffixdedup.without_repeats(docs)
 
 
 def vector_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences."""
+    """The pieces of all documents in their sequences; an empty text is the closing token alone."""
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
