@@ -626,3 +626,6 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     gate = quality.Gate().references(b.table(spark, sf_dir, "lineitem"), "lineitem order", "l_orderkey", b.table(spark, sf_dir, "orders"), "o_orderkey")
     return gate.references(b.table(spark, sf_dir, "events"), "event user", "user_id", b.table(spark, sf_dir, "customer"), "c_custkey").result()
+
+
+from sedimark.plans import source_queries as _source_queries  # noqa: E402, F401  registers its queries
