@@ -64,5 +64,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": linededup.ORACLE,
+    "op4_suffix_array_dedup": suffixdedup.ORACLE,
     "op6_mtree_topk": mtree.ORACLE,
 }

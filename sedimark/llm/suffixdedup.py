@@ -517,3 +517,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def digests(removed: DataFrame) -> DataFrame:
     """The result of remove_repeats() with the kept bytes as their SHA-256."""
     return removed.select(given_back(), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every 50-byte string with the smallest doc_id in which it starts; spans of the strings that a smaller one has.
+ORACLE = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT r, id, h, unnest(range(0, length(h) // 2 - 49)) AS s FROM docs WHERE length(h) >= 100
+), strings AS (
+  SELECT r, id, s, substring(h, 2 * s + 1, 100) AS g FROM starts
+), firsts AS (
+  SELECT g, min(id) AS first FROM strings GROUP BY g HAVING count(*) > 1
+), marked AS (
+  SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS p FROM strings JOIN firsts USING (g) WHERE id > first
+), runs AS (
+  SELECT r, s, sum(CASE WHEN p IS NULL OR s > p + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS k FROM marked
+), spans AS (
+  SELECT r, min(s) AS a, max(s) + 50 AS z FROM runs GROUP BY r, k
+), gaps AS (
+  SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS y FROM spans
+), cut AS (
+  SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last, string_agg(substring(h, 2 * y + 1, 2 * (a - y)), '' ORDER BY a) AS kept FROM gaps JOIN docs USING (r) GROUP BY r
+)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs d LEFT JOIN cut USING (r)
+"""
