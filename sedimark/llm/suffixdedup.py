@@ -2,14 +2,14 @@
 
 A document loses each byte covered by a string of ``SPAN`` bytes that also starts in a document of smaller doc_id.
 
-No suffix array over the corpus is ever built in one place. Every window of ``SPAN`` bytes has a minimizer: the
-position of the least hash among its ``GRAM``-byte substrings. Equal windows have equal minimizers at equal places, so
-windows can be compared apart for each minimizer value:
+No suffix array over the corpus is ever built in one place. Every window of ``SPAN`` bytes has one minimizer: the first
+position of the least hash among its ``GRAM``-byte substrings; neighbouring windows mostly share it. Equal windows have
+equal minimizers at equal places, so windows can be compared apart for each minimizer value:
 
 1. Documents lie in groups of about 4 MB, dealt once and kept as a table bucketed by group. Each group gives the
    distinct hashes of its minimizers, a row each; sorted by hash, those that occur in two or more documents go back to
    the groups that hold them. Whole copies of a text are settled before, by digest.
-2. Each group gives, for its occurrences of those hashes, the text around them that holds every window with it: one row
+2. Each group gives, for its occurrences of those hashes, the text around them that holds the windows of it: one row
    for each distinct context of the group, by its smallest doc_id, with a list of places. Places of a document at most
    ``SPAN`` bytes apart are one entry, so a text of a short period takes no more rows than any other.
 3. Sorted by hash, contexts stream through the tasks. For each hash with different contexts a suffix array over their
@@ -44,20 +44,20 @@ GROUP = 4 << 20
 #: Most buckets of the table of groups, which may hold several groups each.
 BUCKETS = 100_000
 #: Minimizers whose contexts are cut out at once, and contexts that are held before equal ones are combined.
-STEP, HELD = 1 << 14, 1 << 17
+STEP, HELD = 1 << 15, 1 << 17
 #: Suffixes that are sorted at once.
 SORTED = 250_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _slide(x: np.ndarray, pick, width: int) -> np.ndarray:
-    """pick (min or max) over each ``width`` neighbours."""
+def _slide(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours."""
     done = 1
     while done * 2 <= width:
-        x = pick(x[:-done], x[done:])
+        x = np.minimum(x[:-done], x[done:])
         done *= 2
-    return pick(x[: -(width - done)], x[width - done :]) if done < width else x
+    return np.minimum(x[: -(width - done)], x[width - done :]) if done < width else x
 
 
 def _stir(h: np.ndarray) -> np.ndarray:
@@ -66,24 +66,29 @@ def _stir(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def minimizers(text: np.ndarray, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes (56 bits) and positions of the minimizers of every window of a text (uint8), in pieces.
+Minimizers = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-    A position is one or not by the ``SPAN`` bytes on its two sides alone, so a long text is taken ``step`` bytes at a time.
+
+def minimizers(text: np.ndarray, step: int = 1 << 20) -> Iterator[Minimizers]:
+    """Hashes (56 bits) and positions of the minimizers of a text (uint8), and the first and last start of the windows of
+    each, in pieces.
+
+    What a position is depends on the ``SPAN`` bytes on its two sides alone, so a long text is taken ``step`` bytes at a time.
     """
     if len(text) <= step + 2 * SPAN:
         yield _minimizers(text)
         return
     for first in range(0, len(text), step):
         low = max(0, first - SPAN)
-        h, at = _minimizers(text[low : first + step + SPAN])
-        own = (at + low >= first) & (at + low < first + step)
-        yield h[own], at[own] + low
+        h, *places = _minimizers(text[low : first + step + SPAN])
+        own = (places[0] + low >= first) & (places[0] + low < first + step)
+        yield h[own], *(x[own] + low for x in places)
 
 
-def _minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _minimizers(text: np.ndarray) -> Minimizers:
     if len(text) < SPAN:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
     with np.errstate(over="ignore"):
         h, m, done = text.astype(np.uint64) + np.uint64(1), _MIX, 1
         while done * 2 <= GRAM:
@@ -92,11 +97,11 @@ def _minimizers(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if done < GRAM:  # of two that overlap
             h = h[: done - GRAM] * m + h[GRAM - done :]
         h = _stir(h)
-    short = (h >> np.uint64(32)).astype(np.uint32)
-    least = _slide(short, np.minimum, WINDOWS)
-    edge = np.zeros(WINDOWS - 1, np.uint32)
-    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), np.maximum, WINDOWS) == short)
-    return h[at] >> np.uint64(8), at
+    # the least hash with the first position, as one number for each window
+    owner = _slide((h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64), WINDOWS) & np.uint64(0xFFFFFFFF)
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    at = owner[first].astype(np.int64)
+    return h[at] >> np.uint64(8), at, first, np.r_[first[1:], len(owner)] - 1
 
 
 def smaller_neighbours(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,17 +195,17 @@ class _Group:
     def text(self, i: int) -> np.ndarray:
         return self.bytes[self.start[i] : self.start[i] + self.size[i]]
 
-    def minimizers(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def minimizers(self) -> Iterator[tuple[int, Minimizers]]:
         """Pieces of each document's minimizers; a document's own follow each other."""
         for i in np.flatnonzero(~self.copy & (self.size >= SPAN)).tolist():
-            for h, at in minimizers(self.text(i)):
-                yield i, h, at
+            for piece in minimizers(self.text(i)):
+                yield i, piece
 
 
 def _gather_hashes(key, docs: pa.Table, side: pa.Table) -> pa.Table:
     """Step 1: the distinct minimizer hashes of a group, with the group, how often each occurs, and whether in several documents (lowest bit)."""
     of: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for i, h, _ in _Group(docs, side).minimizers():
+    for i, (h, *_) in _Group(docs, side).minimizers():
         if of and of[-1][0] == i:  # a further piece of a long document
             _, v, n = of.pop()
             u, m = np.unique(h, return_counts=True)
@@ -250,15 +255,17 @@ def _shared_hashes(hot: int):
     return run
 
 
-def _context_rows(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes around minimizers (zeros beyond the text) and a bit for each window that lies inside the text."""
+def _context_rows(text: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes around minimizers that their windows cover (other bytes zero), and a bit for each of these windows."""
     low, high = max(0, int(at[0]) - REACH), min(len(text), int(at[-1]) + SPAN)
     padded = np.zeros(int(at[-1]) - int(at[0]) + CONTEXT, np.uint8)
     padded[low - (int(at[0]) - REACH) :][: high - low] = text[low:high]
     rows = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at - at[0]]
-    least, most = np.maximum(0, REACH - at), np.minimum(WINDOWS - 1, len(text) - SPAN - at + REACH)
+    first, last = first - at + REACH, last - at + REACH
+    column, begin, end = np.arange(CONTEXT, dtype=np.uint8), first.astype(np.uint8)[:, None], (last + SPAN).astype(np.uint8)[:, None]
+    rows *= (column >= begin) & (column < end)
     one = _U64(1)
-    return rows, ((one << (most + 1).astype(_U64)) - one) & ~((one << least.astype(_U64)) - one)
+    return rows, ((one << (last + 1).astype(_U64)) - one) & ~((one << first.astype(_U64)) - one)
 
 
 def _row_hash(rows: np.ndarray) -> np.ndarray:
@@ -332,21 +339,20 @@ def _contexts(key, docs: pa.Table, side: pa.Table) -> pa.Table:
     shared, heat = (_longs(group.side[_SHARED].column(c)) for c in "xy")
     order = np.argsort(shared)
     shared, heat = shared[order], heat[order] > 0
-    for i, h, at in group.minimizers() if len(shared) else ():
-        near = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-        keep = shared[near] == h
-        h, at, hot = h[keep], at[keep], heat[near[keep]]
-        text = group.text(i)
-        if not hot.all():
-            for k in range(0, len(at), STEP):
-                own = slice(k, k + STEP)
-                if (cold := ~hot[own]).any():
-                    rows, inside = _context_rows(text, at[own][cold])
-                    found.add(h[own][cold], i, at[own][cold], inside, rows)
-        for k in range(0, np.count_nonzero(hot), STEP):
+    for i, piece in group.minimizers() if len(shared) else ():
+        near = np.minimum(np.searchsorted(shared, piece[0]), len(shared) - 1)
+        keep = shared[near] == piece[0]
+        hot, text = heat[near[keep]], group.text(i)
+        cold = [x[keep][~hot] for x in piece]
+        for k in range(0, len(cold[0]), STEP):
+            h, at, first, last = (x[k : k + STEP] for x in cold)
+            rows, inside = _context_rows(text, at, first, last)
+            found.add(h, i, at, inside, rows)
+        first, last = (x[keep][hot] for x in piece[2:])
+        for k in range(0, len(first), STEP // WINDOWS):
             # one context for each window of a hot minimizer, keyed by the window itself
-            start = (at[hot][k : k + STEP, None] - REACH + np.arange(WINDOWS)).ravel()
-            start = np.unique(start[(start >= 0) & (start + SPAN <= len(text))])
+            size = (last - first + 1)[k : k + STEP // WINDOWS]
+            start = np.repeat(first[k : k + STEP // WINDOWS] - np.cumsum(size) + size, size) + np.arange(size.sum())
             wide = np.zeros((len(start), CONTEXT), np.uint8)
             wide[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(text, SPAN)[start]
             found.add(_row_hash(wide) >> _U64(8), i, start + REACH, np.ones(len(start), _U64), wide)

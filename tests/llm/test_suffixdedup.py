@@ -36,10 +36,16 @@ def test_smaller_neighbours():
             assert after[i] == min((j for j in range(i + 1, n) if x[j] < x[i]), default=n)
 
 
-def test_every_window_has_a_minimizer():
-    text = np.frombuffer(b"ab" * 60 + bytes(range(200)) + b"\0" * 90, np.uint8)
-    _, at = sd._minimizers(text)
-    assert all(any(s <= a <= s + sd.REACH for a in at) for s in range(len(text) - sd.SPAN + 1))
+def test_every_window_has_one_minimizer():
+    pick = random.Random(3)
+    for text in (b"ab" * 60 + bytes(range(200)) + b"\0" * 90, bytes(pick.choice(b"abc") for _ in range(3000))):
+        h, at, first, last = sd._minimizers(np.frombuffer(text, np.uint8))
+        assert first[0] == 0 and last[-1] == len(text) - sd.SPAN and (first[1:] == last[:-1] + 1).all()
+        assert ((first <= at) & (last <= at) & (at <= first + sd.REACH)).all()
+        of = {}
+        for x, a, i, j in zip(h.tolist(), at.tolist(), first.tolist(), last.tolist()):
+            for s in range(i, j + 1):  # equal windows have equal minimizers at equal places
+                assert of.setdefault(text[s : s + sd.SPAN], (x, a - s)) == (x, a - s)
 
 
 def test_a_long_text_is_taken_in_steps():
