@@ -51,17 +51,18 @@ def near_class(letters: dict[str, str]) -> str:
     return "[" + "".join(f"{a}-{b}" for a, b in ranges) + "]"
 
 
+#: Texts of these letters fold as they are lower-cased, but for sharp s: Latin without the letters that fold otherwise.
+_LATIN = "\\A[\\x00-\\xb4\\xb6-\\u012f\\u0131-\\u0148\\u014a-\\u017e]*\\z"
+
+
 def casefold(s: Column) -> Column:
     """Full case folding, by Python's tables and not the JVM's, which may know other letters.
 
-    Most letters become one other; sharp s is replaced in place; the few others that fold to several are looked up
-    letter by letter, and only in texts that have one.
+    Latin texts are lower-cased. In others most letters become one other; sharp s is replaced in place; the few others
+    that fold to several are looked up letter by letter, and only in texts that have one.
     """
     before, after, long = fold_tables()
     sharp = {c: f for c, f in long.items() if f == "ss"}
-    folded = F.translate(s, before, after)
-    for c, f in sharp.items():
-        folded = F.replace(folded, F.lit(c), F.lit(f))
     rest = {c: f for c, f in long.items() if c not in sharp}
     table = F.create_map(*[F.lit(x) for pair in rest.items() for x in pair])
 
@@ -69,7 +70,14 @@ def casefold(s: Column) -> Column:
         each = F.transform(F.split(x, ""), lambda c: F.coalesce(F.element_at(table, c), c))
         return F.when(x.rlike(near_class(rest)), F.array_join(each, "")).otherwise(x)
 
-    return F.transform(F.array(folded), letters)[0]  # so that the folded text is computed once
+    def folded(x: Column) -> Column:
+        out = F.translate(x, before, after)
+        for c, f in sharp.items():
+            out = F.replace(out, F.lit(c), F.lit(f))
+        whole = F.transform(F.array(out), letters)[0]  # so that the folded text is computed once
+        return F.when(x.rlike(_LATIN), F.replace(F.lower(x), F.lit("ß"), F.lit("ss"))).otherwise(whole)
+
+    return F.transform(F.array(s), folded)[0]
 
 
 def norm_key(s: Column) -> Column:

@@ -65,3 +65,9 @@ def test_content_hash_ignores_extras_and_uses_semantic_content(spark):
     got = [r.h for r in rows.select(hashing.content_hash(F.col("t"), F.col("c"), F.col("b"), F.col("s")).alias("h")).collect()]
     assert got[0] == got[1] and got[2] == got[3] and len(set(got)) == 3
     assert sys.version_info >= (3, 11)
+
+
+def test_latin_texts_fold_as_python_folds(spark):
+    rows = [(c, f"A{chr(c)}b{chr(c)}") for c in range(0x250) if not 0xD800 <= c < 0xE000] + [(10_000, "Straße ÀÉÎ ŁÓDŹ"), (10_001, "ΑΣ ß Ǆ"), (10_002, ""), (10_003, None)]
+    got = {r.n: r.f for r in spark.createDataFrame(rows, "n int, s string").select("n", text.casefold(F.col("s")).alias("f")).collect()}
+    assert got == {n: s if s is None else s.casefold() for n, s in rows}
