@@ -42,14 +42,28 @@ _SHAPE = bytes(ord("a") if chr(b).islower() or b >= 128 else ord("A") if chr(b).
 _LETTER, _UPPER, _DIGIT, _SPACE = (np.array([f(b) for b in range(256)]) for f in (lambda b: b >= 128 or chr(b).isalpha(), lambda b: b < 128 and chr(b).isupper(), lambda b: 48 <= b < 58, lambda b: b == 32 or 9 <= b <= 13))
 
 
+#: A word's packed number: its bucket, its shape's bucket, and whether it is a short one of bare symbols.
+_BITS = BUCKETS.bit_length() - 1
+
+
 class _Hashes(dict):
-    """word -> (its bucket, its shape's bucket); cleared when it grows large."""
+    """word -> its packed number; cleared when it grows large, and so are the shapes."""
+
+    def __init__(self):
+        super().__init__()
+        self.shapes: dict[bytes, int] = {}
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        shape = bytes(k for k, _ in itertools.groupby(word.translate(_SHAPE)))[:12]
-        out = self[word] = (zlib.crc32(word.lower()) % BUCKETS, zlib.crc32(b"\0" + shape) % BUCKETS)
+        plain = word.translate(_SHAPE)
+        shape = self.shapes.get(plain)
+        if shape is None:
+            if len(self.shapes) > 200_000:
+                self.shapes.clear()
+            shape = self.shapes[plain] = zlib.crc32(b"\0" + bytes(k for k, _ in itertools.groupby(plain))[:12]) % BUCKETS
+        bare = len(word) <= 3 and not word.isalnum() and word.isascii() and not any(map(str.isalnum, word.decode()))
+        out = self[word] = zlib.crc32(word.lower()) % BUCKETS | shape << _BITS | bare << 2 * _BITS
         return out
 
 
@@ -57,6 +71,8 @@ def features(text: bytes, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.n
     """(buckets, weights, statistics) of UTF-8 bytes; a text without words has no buckets."""
     words = text.split()
     counts = Counter(words)
+    packed = np.fromiter(map(hashes.__getitem__, counts), np.int64, len(counts))
+    each = np.fromiter(counts.values(), np.float64, len(counts))
     kinds = np.bincount(np.frombuffer(text, np.uint8), minlength=256) if text else np.zeros(256, np.int64)
     n, lines = len(words), text.split(b"\n")
     letters, filled = int(kinds[_LETTER].sum()), len(text) - int(kinds[_SPACE].sum())
@@ -66,14 +82,13 @@ def features(text: bytes, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.n
         max(counts.values(), default=0) / max(1, n), int(kinds[_UPPER].sum()) / max(1, letters),
         (filled - letters - int(kinds[_DIGIT].sum())) / max(1, filled), int(kinds[_DIGIT].sum()) / max(1, filled), filled / max(1, n),
         len(set(lines)) / len(lines), np.log1p(len(text) / len(lines)),
-        sum(c for w, c in counts.items() if len(w) <= 3 and not w.isalnum() and w.isascii() and not any(map(str.isalnum, w.decode()))) / max(1, n),
+        float(each[packed >> 2 * _BITS > 0].sum()) / max(1, n),
         int(kinds[128:].sum()) / max(1, len(text)), int(kinds[[46, 33, 63]].sum()) / max(1, n),
     ])
     if not n:
         return np.zeros(0, np.int64), np.zeros(0), stats
-    pairs = np.array([hashes[w] for w in counts], np.int64)
-    each = np.fromiter(counts.values(), np.float64, len(counts))
-    where, back = np.unique(np.concatenate([pairs[:, 0], pairs[:, 1]]), return_inverse=True)
+    both = np.concatenate([packed & (BUCKETS - 1), packed >> _BITS & (BUCKETS - 1)])
+    where, back = np.unique(both, return_inverse=True)
     weight = np.sqrt(np.bincount(back, np.concatenate([each, each])))
     return where, weight / np.sqrt((weight**2).sum()), stats
 
