@@ -3,7 +3,7 @@
 A text's words (A-Z lower-cased, separated by ASCII white space) give shingles; a fingerprint bit is set where over
 half of the shingles' XXH64 values have it. Two fingerprints link when at most ``most`` bits differ.
 
-Candidates follow the pigeonring principle. The 64 bits form a ring of most + 1 segments. If two fingerprints differ in
+Candidates follow the pigeonring principle. The 64 bits form a ring of most + 1 segments of nearly equal size. If two fingerprints differ in
 at most ``most`` bits, then some segment i starts a chain whose first l segments differ in at most most * l / (most + 1)
 bits, for every l: 0 bits in segment i, at most 1 in i..i+1, at most 2 in i..i+2, and so on. Segment i is therefore equal,
 and of segment i+1 one half is equal; (i, half, segment i, that half) is the key of the index. The whole chain is checked
@@ -11,13 +11,13 @@ before the full Hamming distance.
 
 near_duplicates() links by these fingerprints alone. without_near_duplicates() asks for five-word shingles with a
 similarity of 0.8 or more: few bits of a fingerprint of such shingles would miss most pairs near that bound, so the ring
-works on fingerprints of single words, which small edits change less, with 7 bits; each candidate then has to agree in a
+works on fingerprints of single words, which small edits change less, with 5 bits; each candidate then has to agree in a
 wider fingerprint of its five-word shingles, whose differing bits measure their similarity.
 
 Only distinct fingerprints take part, so copies cost one row. A key held by more than ``BLOCK`` fingerprints is cut
 into blocks, and each pair of blocks is a group of its own: no group is unbounded, no pair is lost. A group gives back
-a spanning forest of its links, never all pairs; it is walked breadth first, so that a dense group of n fingerprints
-takes about n comparisons and not n squared.
+a spanning forest of its links, never all pairs; a large one is walked, so that a dense group of n fingerprints takes
+about n comparisons and not n squared.
 """
 
 from __future__ import annotations
@@ -38,9 +38,11 @@ from sedimark.llm.components import connected_components
 SEED, WIDTH, MAX_BITS = 42, 3, 3
 #: For similarity: words of a shingle, bits of word fingerprints that may differ, and bits of the wider fingerprint that
 #: may: shingle sets of Jaccard similarity 0.8 differ in 78 of 512 on average, deviation 8; of 0.7 in 98, of 0.5 in 137.
-SHINGLE, WORD_BITS, WIDE, WIDE_BITS = 5, 7, 64, 90
+SHINGLE, WORD_BITS, WIDE, WIDE_BITS = 5, 5, 64, 90
 #: Fingerprints of one index key that one task compares with each other.
 BLOCK = 2048
+#: Runs of one key of up to so many rows are compared for many keys at once, and of up to so many by all their pairs.
+FEW, SOME = 16, 512
 #: Shingles whose bits are counted at once.
 _CHUNK = 1 << 15
 
@@ -122,15 +124,26 @@ def sketches(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(run, "doc_id long, fp long, wide binary")
 
 
+def borders(most: int) -> list[int]:
+    """Where the segments of the ring begin, and its end."""
+    return [64 * i // (most + 1) for i in range(most + 2)]
+
+
 def linked(a: np.ndarray, b: np.ndarray, start: np.ndarray, most: int = MAX_BITS) -> np.ndarray:
     """Which pairs of fingerprints pass the chain of segment ``start`` and then the Hamming check."""
-    size = np.uint64(64 // (most + 1))
+    edge = np.array(borders(most))
     diff = a ^ b
-    turn = (size * start.astype(np.uint64)) & np.uint64(63)
-    ring = (diff >> turn) | np.where(turn > 0, diff << ((np.uint64(64) - turn) & np.uint64(63)), np.uint64(0))
     alive = np.bitwise_count(diff) <= most
+    at = np.flatnonzero(alive)  # few pass: the chains of the others need no look
+    diff, start = diff[at], start[at]
+    turn = edge[start].astype(np.uint64)
+    ring = (diff >> turn) | np.where(turn > 0, diff << ((np.uint64(64) - turn) & np.uint64(63)), np.uint64(0))
+    passed = np.ones(len(at), bool)
     for chain in range(1, most + 1):
-        alive &= np.bitwise_count(ring & np.uint64((1 << (int(size) * chain)) - 1)) <= most * chain // (most + 1)
+        end = start + chain
+        size = edge[end % (most + 1)] + np.where(end > most, 64, 0) - edge[start]
+        passed &= np.bitwise_count(ring & ((np.uint64(1) << size.astype(np.uint64)) - np.uint64(1))) <= most * chain // (most + 1)
+    alive[at] = passed
     return alive
 
 
@@ -165,6 +178,25 @@ def _walk(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tup
     return np.concatenate(found_a or [none]), np.concatenate(found_b or [none])
 
 
+def _forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The positions of links that join two trees, taken in order."""
+    top: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = top.get(up, up)
+            x = up
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
 def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, wide: np.ndarray | None, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within each run of equal keys; bits 24 to 26 of a key are the segment that starts the chain."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -172,11 +204,11 @@ def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, wide: np.ndarray
     size = np.diff(np.r_[cut, len(key)])
     table = ((key >> 24) & 7).astype(np.int64)
     # runs of a few rows: every shift d compares row r with row r + d of the same run, for all runs at once
-    small = size <= 16
+    small = size <= FEW
     end = np.repeat(cut + size, size)
     few = np.repeat(small, size)
     rows = np.arange(len(key))
-    for d in range(1, 16):
+    for d in range(1, FEW):
         at = rows[few & (rows + d < end)]
         if not len(at):
             break
@@ -185,7 +217,17 @@ def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, wide: np.ndarray
         found.append((node[ok], node[ok + d]))
     for first, n in zip(cut[~small].tolist(), size[~small].tolist()):
         own = slice(first, first + n)
-        a, b = _walk(fp[own], None if wide is None else wide[own], int(table[first]), most)
+        if n <= SOME:
+            a, b = np.triu_indices(n, 1)
+            ok = linked(fp[own][a], fp[own][b], np.full(len(a), table[first]), most)
+            a, b = a[ok], b[ok]
+            ok = _agree(wide, first + a, first + b)
+            a, b = a[ok], b[ok]
+            if len(a) >= n:
+                keep = _forest(a, b)
+                a, b = a[keep], b[keep]
+        else:
+            a, b = _walk(fp[own], None if wide is None else wide[own], int(table[first]), most)
         found.append((node[own][a], node[own][b]))
     if not found:
         return node[:0], node[:0]
@@ -195,16 +237,16 @@ def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, wide: np.ndarray
 def links(nodes: DataFrame, block: int = BLOCK, most: int = MAX_BITS) -> DataFrame:
     """(a, b): links that join all fingerprints that are linked. nodes: (fp, node), and wide where that has to agree too.
 
-    most: 3 or 7, so that the segments' borders are those of the halves of 16 or 8 bits.
+    most: from 3 to 7.
     """
-    size = 64 // (most + 1)
-    segment = [F.shiftrightunsigned("fp", size * i).bitwiseAND((1 << size) - 1) for i in range(most + 1)]
+    edge = borders(most)
+    bits = lambda low, high: F.shiftrightunsigned("fp", low).bitwiseAND((1 << (high - low)) - 1)
     keys = []
     for i in range(most + 1):
-        ahead = segment[(i + 1) % (most + 1)]
-        for half in range(2):
-            part = F.shiftright(ahead, size // 2 * half).bitwiseAND((1 << (size // 2)) - 1)
-            keys.append(F.lit((half << 28) | (i << 24)).cast("long") + F.shiftleft(segment[i], 32) + F.shiftleft(part, 48))
+        low, high = edge[(i + 1) % (most + 1)], edge[(i + 1) % (most + 1) + 1]
+        middle = (low + high) // 2
+        for half, part in enumerate((bits(low, middle), bits(middle, high))):
+            keys.append(F.lit((half << 28) | (i << 24)).cast("long") + F.shiftleft(bits(edge[i], edge[i + 1]), 32) + F.shiftleft(part, 48))
     more = [c for c in ("wide",) if c in nodes.columns]
     index = nodes.select("fp", "node", *more, F.explode(F.array(*keys)).alias("key"))
     held = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")

@@ -28,7 +28,7 @@ def slow_sketch(text):
 
 
 def alike(a, b):
-    return (a[0] ^ b[0]).bit_count() <= 7 and (a[1] ^ b[1]).bit_count() <= 90
+    return (a[0] ^ b[0]).bit_count() <= 5 and (a[1] ^ b[1]).bit_count() <= 90
 
 
 def slow_components(prints, links=lambda a, b: (a ^ b).bit_count() <= 3):
@@ -78,31 +78,34 @@ def test_nulls_ties_and_empty(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_every_chain_of_seven_bits_is_found(spark):
+def test_every_chain_is_found(spark):
     pick = random.Random(11)
     centre = [pick.getrandbits(64) for _ in range(3)]
-    prints = sorted({c ^ sum(1 << b for b in pick.sample(range(64), pick.choice([0, 3, 6, 7, 8]))) for c in centre for _ in range(50)})
-    nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, k) for k, p in enumerate(prints)], "fp long, node long")
-    want = slow_components(list(enumerate(prints)), lambda a, b: (a ^ b).bit_count() <= 7)
-    for block in (2048, 6):
-        comp = {r.node: r.component for r in simhash.connected_components(simhash.links(nodes, block, 7)).collect()}
-        assert {k: comp.get(k, k) for k in range(len(prints))} == want
+    for most in (5, 7):
+        prints = sorted({c ^ sum(1 << b for b in pick.sample(range(64), pick.choice([0, 2, most - 1, most, most + 1]))) for c in centre for _ in range(50)})
+        nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p, k) for k, p in enumerate(prints)], "fp long, node long")
+        want = slow_components(list(enumerate(prints)), lambda a, b: (a ^ b).bit_count() <= most)  # noqa: B023
+        for block in (2048, 6):
+            comp = {r.node: r.component for r in simhash.connected_components(simhash.links(nodes, block, most)).collect()}
+            assert {k: comp.get(k, k) for k in range(len(prints))} == want
 
 
-def test_a_walk_joins_what_all_pairs_join():
+def test_every_way_of_comparing_joins_what_all_pairs_join(monkeypatch):
     pick = np.random.default_rng(3)
     base = pick.integers(0, 2**63, 5).astype(np.uint64)
     fp = base[pick.integers(0, 5, 300)]
     for _ in range(4):
         fp = fp ^ (np.uint64(1) << pick.integers(0, 64, 300).astype(np.uint64))
     wide = np.where(pick.random((300, 8)) < 0.5, np.uint64(0), np.uint64(2**20 - 1))
-    for table in range(8):
-        a, b = simhash._walk(fp, wide, table, 7)
-        i, j = np.triu_indices(300, 1)
-        ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 7) & simhash._agree(wide, i, j)
+    i, j = np.triu_indices(300, 1)
+    for table in range(6):
+        ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 5) & simhash._agree(wide, i, j)
         want = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(i[ok].tolist(), j[ok].tolist())): (min(x, y), max(x, y)) in p)
-        got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
-        assert got == want and len(a) < 300
+        for some in (16, 512):  # by a walk, and by all pairs
+            monkeypatch.setattr(simhash, "SOME", some)
+            a, b = simhash._compare(np.full(300, table << 24), fp, np.arange(300), wide, 5)
+            got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
+            assert got == want and len(a) < 300
 
 
 def test_similar_texts_against_brute_force(spark):
