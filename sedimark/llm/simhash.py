@@ -22,7 +22,6 @@ about n comparisons and not n squared.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,37 +66,51 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
+_MIX, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _STIR
+    return x ^ (x >> np.uint64(31))
+
+
 class Sketcher:
     """Word fingerprints and wide shingle fingerprints of texts; the hashes of words are remembered."""
 
     def __init__(self):
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, int] = {}
 
     def sketch(self, text: bytes) -> tuple[int, bytes]:
-        """(64-bit SimHash of the words, repeats included; ``WIDE`` bytes of SimHash of the five-word shingles); zeros without words."""
+        """(64-bit SimHash of the words, repeats included; ``WIDE`` bytes of SimHash of the five-word shingles); zeros without words.
+
+        A word's hash is its XXH64; a shingle's is a polynomial of its words' hashes, from which each further 64 bits are
+        stirred anew.
+        """
         words = text.lower().split()
         if not words:
             return 0, bytes(WIDE)
-        counts, known = Counter(words), self.known
+        known = self.known
         if len(known) > 200_000:
             known.clear()
-        for w in counts:
-            if w not in known:
-                known[w] = xxhash.xxh64_digest(w, SEED)
-        bits = np.unpackbits(np.frombuffer(b"".join(map(known.__getitem__, counts)), np.uint8).reshape(-1, 8), axis=1)
-        ones = np.fromiter(counts.values(), np.int64, len(counts)) @ bits
-        fp = int.from_bytes(np.packbits(2 * ones > len(words)).tobytes(), "big")
-        line = b" ".join(words)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        first = np.cumsum(sizes + 1) - sizes - 1
-        last = (first + sizes)[min(SHINGLE, len(words)) - 1 :].tolist()
-        first, digest = first[: len(last)].tolist(), xxhash.xxh3_128_digest
-        ones = np.zeros(8 * WIDE, np.int64)
-        for k in range(0, len(last), _CHUNK // 4):
-            part = [line[i:j] for i, j in zip(first[k : k + _CHUNK // 4], last[k : k + _CHUNK // 4])]
-            values = np.frombuffer(b"".join([digest(x, seed) for x in part for seed in range(WIDE // 16)]), np.uint8).reshape(-1, WIDE)
-            ones += np.unpackbits(values, axis=1).sum(0, dtype=np.int64)
-        return fp, np.packbits(2 * ones > len(last)).tobytes()
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh64_intdigest(w, SEED)
+        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        width = min(SHINGLE, len(words))
+        n = len(words) - width + 1
+        narrow, wide = np.zeros(64, np.int64), np.zeros(8 * WIDE, np.int64)
+        salt = (np.arange(WIDE // 8, dtype=np.uint64) + np.uint64(1)) * _MIX
+        ones = lambda x, k: np.unpackbits(x.view(np.uint8).reshape(len(x), k), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        with np.errstate(over="ignore"):
+            shingles = hashes[:n].copy()
+            for j in range(1, width):
+                shingles = shingles * _MIX + hashes[j : j + n]
+            for k in range(0, len(words), _CHUNK // 8):
+                narrow += ones(hashes[k : k + _CHUNK // 8], 8)
+                part = shingles[k : k + _CHUNK // 8]
+                if len(part):
+                    wide += ones(_stirred(part[:, None] ^ salt), WIDE)
+        fp = int.from_bytes(np.packbits(2 * narrow > len(words), bitorder="little").tobytes(), "little")
+        return fp, np.packbits(2 * wide > n, bitorder="little").tobytes()
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -154,28 +167,58 @@ def _agree(wide: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.bitwise_count(wide[i] ^ wide[j]).sum(1) <= WIDE_BITS
 
 
-def _walk(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions) that join all linked fingerprints of a group: each one reached looks only at those not yet reached."""
-    left = np.arange(len(fp))
-    found_a, found_b, queue = [], [], []
-    while len(left):
-        if queue:
-            now = queue.pop()
-        else:
-            now, left = int(left[0]), left[1:]
-        ok = linked(np.full(len(left), fp[now]), fp[left], np.full(len(left), table), most)
-        at = np.flatnonzero(ok)
+def _reach(left: np.ndarray, now: int, fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[list, list, np.ndarray]:
+    """Links that join all that ``now`` reaches among ``left``, and what is left then: each one reached looks only at those not yet reached."""
+    found_a, found_b, queue = [], [], [now]
+    left = left[left != now]
+    while queue and len(left):
+        now = queue.pop()
+        at = np.flatnonzero(linked(fp[now], fp[left], np.full(len(left), table), most))
         at = at[_agree(wide, np.full(len(at), now), left[at])]
         if len(at):
-            reached = left[at]
-            found_a.append(np.full(len(reached), now))
-            found_b.append(reached)
-            queue += reached.tolist()
-            keep = np.ones(len(left), bool)
-            keep[at] = False
-            left = left[keep]
+            found_a.append(np.full(len(at), now))
+            found_b.append(left[at])
+            queue += left[at].tolist()
+            left = np.delete(left, at)
+    return found_a, found_b, left
+
+
+def _walk(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions) that join all linked fingerprints of a large group.
+
+    While fingerprints have many near ones on average, all that the densest one reaches is taken out at once; then the
+    pairs of the rest are few and compared one by one.
+    """
+    left, found_a, found_b = np.arange(len(fp)), [], []
+    while len(left):
+        own, pairs_a, pairs_b, count, best = fp[left], [], [], 0, (-1, 0)
+        for k in range(0, len(left), 128):
+            near = np.bitwise_count(own[k : k + 128, None] ^ own[None]) <= most
+            degree = near.sum(1)
+            best = max(best, (int(degree.max()), int(left[k + int(degree.argmax())])))
+            count += int(degree.sum())
+            if count > 32 * len(left):
+                break
+            i, j = np.nonzero(near)
+            later = j > i + k
+            pairs_a.append(left[i[later] + k])
+            pairs_b.append(left[j[later]])
+        if count > 32 * len(left):
+            more_a, more_b, rest = _reach(left, best[1], fp, wide, table, most)
+            found_a += more_a
+            found_b += more_b
+            left = rest
+            continue
+        a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
+        ok = linked(fp[a], fp[b], np.full(len(a), table), most)
+        a, b = a[ok], b[ok]
+        ok = _agree(wide, a, b)
+        keep = _forest(a[ok], b[ok])
+        found_a.append(a[ok][keep])
+        found_b.append(b[ok][keep])
+        break
     none = np.zeros(0, np.int64)
-    return np.concatenate(found_a or [none]), np.concatenate(found_b or [none])
+    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
 def _forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -22,9 +22,19 @@ def slow_sketch(text):
     if not words:
         return 0, 0
     majority = lambda h, bits: sum(1 << b for b in range(bits) if 2 * sum(x >> b & 1 for x in h) > len(h))
-    shingles = [" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))]
-    wide = [int.from_bytes(b"".join(xxhash.xxh3_128_digest(x, seed) for seed in range(4)), "big") for x in shingles]
-    return majority([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], 64), majority(wide, 512)
+    whole, h = 2**64 - 1, [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    shingles = []
+    for i in range(max(1, len(h) - 4)):
+        x = 0
+        for y in h[i : i + 5]:
+            x = (x * 0x9E3779B97F4A7C15 + y) & whole
+        wide = 0
+        for k in range(8):
+            y = x ^ ((k + 1) * 0x9E3779B97F4A7C15 & whole)
+            y = (y ^ y >> 30) * 0xBF58476D1CE4E5B9 & whole
+            wide |= (y ^ y >> 31) << 64 * k
+        shingles.append(wide)
+    return majority(h, 64), majority(shingles, 512)
 
 
 def alike(a, b):
@@ -93,19 +103,20 @@ def test_every_chain_is_found(spark):
 def test_every_way_of_comparing_joins_what_all_pairs_join(monkeypatch):
     pick = np.random.default_rng(3)
     base = pick.integers(0, 2**63, 5).astype(np.uint64)
-    fp = base[pick.integers(0, 5, 300)]
-    for _ in range(4):
-        fp = fp ^ (np.uint64(1) << pick.integers(0, 64, 300).astype(np.uint64))
-    wide = np.where(pick.random((300, 8)) < 0.5, np.uint64(0), np.uint64(2**20 - 1))
     i, j = np.triu_indices(300, 1)
-    for table in range(6):
-        ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 5) & simhash._agree(wide, i, j)
-        want = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(i[ok].tolist(), j[ok].tolist())): (min(x, y), max(x, y)) in p)
-        for some in (16, 512):  # by a walk, and by all pairs
-            monkeypatch.setattr(simhash, "SOME", some)
-            a, b = simhash._compare(np.full(300, table << 24), fp, np.arange(300), wide, 5)
-            got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
-            assert got == want and len(a) < 300
+    for flips in (1, 4):  # dense groups and sparse ones
+        fp = base[pick.integers(0, 5, 300)]
+        for _ in range(flips):
+            fp = fp ^ (np.uint64(1) << pick.integers(0, 64, 300).astype(np.uint64))
+        wide = np.where(pick.random((300, 8)) < 0.5, np.uint64(0), np.uint64(2**20 - 1))
+        for table in range(6):
+            ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 5) & simhash._agree(wide, i, j)
+            want = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(i[ok].tolist(), j[ok].tolist())): (min(x, y), max(x, y)) in p)
+            for some in (16, 512):  # by a walk, and by all pairs
+                monkeypatch.setattr(simhash, "SOME", some)
+                a, b = simhash._compare(np.full(300, table << 24), fp, np.arange(300), wide, 5)
+                got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
+                assert got == want and len(a) < 300
 
 
 def test_similar_texts_against_brute_force(spark):
