@@ -51,12 +51,17 @@ def bucketed(df: DataFrame, name: str, n: int, by: str, deal: bool = True) -> Da
     spark = df.sparkSession
     table = f"sedimark_{name}_{uuid.uuid4().hex}"
     dealt = df.repartition(n, by).sortWithinPartitions(by) if deal else df
-    dealt.write.format("parquet").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
+    dealt.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
     held = spark.table(table)
     held._sedimark_table = table
     return held
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that are done: it does when the driver's JVM finds their plans unused."""
+    spark._jvm.java.lang.System.gc()
+
+
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
     """Deletes a table of written() or bucketed() that no later plan reads."""
     files = df.inputFiles()[:1]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimark.llm.common import NULL_ID, bucketed, drop_written, given_back, groups_for, raw, written
+from sedimark.llm.common import NULL_ID, bucketed, drop_written, free_shuffles, given_back, groups_for, raw, written
 
 SPAN, GRAM = 50, 24
 REACH = SPAN - GRAM  # bytes before a minimizer that its windows can take in
@@ -480,16 +480,21 @@ def _removed(docs: DataFrame, carry: list[str], group_bytes: int, hot: int, as_t
     copies = copies.select("grp", F.lit(_COPIES).alias("kind"), F.col("doc_id").alias("x"), F.col("sha8").alias("y"), F.lit(None).cast("binary").alias("places")).distinct()
     copies = written(copies, "copies")
     drop_written(spark, least)
+    free_shuffles(spark)
 
     texts = held.drop("sha").groupBy("grp")
     plain = held.select("grp", "doc_id", "text", "sha8").groupBy("grp")
     hashes = plain.cogroup(copies.groupBy("grp")).applyInArrow(_gather_hashes, "h long, held long")
     hashes = hashes.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_hashes(hot), _SIDE)
     shared = written(hashes, "shared")
+    del hashes
+    free_shuffles(spark)
     contexts = plain.cogroup(shared.unionByName(copies).groupBy("grp")).applyInArrow(_contexts, _CONTEXT)
     contexts = contexts.repartition("h").sortWithinPartitions("h", "inside", "text", "doc")
     marks = written(contexts.mapInArrow(_marks, _SIDE), "marks")
     drop_written(spark, shared)
+    del contexts
+    free_shuffles(spark)
     out = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
     out = T.StructType([*out.fields, *(T.StructField(name, docs.schema[c].dataType) for c, name in carried.items())])
     return texts.cogroup(marks.unionByName(copies).groupBy("grp")).applyInArrow(lambda key, left, right: _cut(key, left, right, as_text), out)
