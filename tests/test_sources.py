@@ -1,12 +1,14 @@
+import http.server
 import json
 import sys
+import threading
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sedimark.operators import orgs, quality, runs
-from sedimark.sources import adapters, api, details, files, listings
+from sedimark.sources import adapters, api, boards, details, files, listings
 
 PAGE = """<html><head><script type="application/ld+json">{"@graph": [{"@type": "Other"}, {"@type": "JobPosting", "title": "T", "datePosted": "2020", "skills": ["a"]}]}</script></head><body>
 <h1> Data   Engineer </h1><h2>Benefits</h2><p>x</p><h3>ACME Sp. z o.o.</h3><div data-skill="Zeta" data-level="1"></div><div data-skill="alpha" data-level="2"></div>
@@ -147,3 +149,58 @@ def test_gate_verdict(spark):
     got = {r.check_name: (r.actual, r.ok) for r in result.collect()}
     assert got == {"id": (1, False), "s in its values": (1, False), "s set": (1, False), "rows": (3, True), "covers": (2, True)}
     assert quality.verdict(result).first()["pass"] is False and len(quality.verdict(result).first().failures) == 3
+
+
+class _Server(http.server.BaseHTTPRequestHandler):
+    seen: list = []
+
+    def log_message(self, *args):
+        pass
+
+    def _answer(self, status, body, kind, **headers):
+        self.send_response(status)
+        for name, value in {"Content-Type": kind, **headers}.items():
+            self.send_header(name.replace("_", "-"), value)
+        self.end_headers()
+        self.wfile.write(body.encode())
+
+    def do_GET(self):
+        self._answer(503 if self.path == "/busy" else 200, "<h1>é</h1>", "text/html; charset=utf-8")
+
+    def do_POST(self):
+        asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        self.seen.append((asked["method"], self.headers.get("Mcp-Session-Id")))
+        if asked["method"] == "initialize":
+            self._answer(200, json.dumps({"id": asked["id"], "result": {}}), "application/json", Mcp_Session_Id="s1")
+        elif "id" not in asked:
+            self._answer(202, "", "application/json")
+        else:
+            result = {"content": [{"type": "text", "text": json.dumps(asked["params"])}]}
+            self._answer(200, f"event: message\ndata: {json.dumps({'id': asked['id'], 'result': result})}\n\n", "text/event-stream")
+
+
+def test_pages_and_tool_calls_over_http():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        page = boards.fetch_url(f"{base}/x")
+        assert (page.body, page.url, page.status) == ("<h1>é</h1>", f"{base}/x", 200)
+        assert [a.failure_type for a in runs.attempts(lambda: boards.fetch_url(f"{base}/busy"), runs.Backoff(2), lambda s: None)] == ["HTTP_503", "HTTP_503"]
+        assert [a.outcome for a in runs.attempts(lambda: boards.fetch_url("http://127.0.0.1:9/"), runs.Backoff(2), lambda s: None)] == [runs.AGAIN, runs.FINAL]
+        call = api.http_call(f"{base}/mcp")
+        for _ in range(2):
+            got = json.loads(call("tool", {"a": 1}))
+            assert got["structured"] is None and json.loads(got["texts"][0]) == {"name": "tool", "arguments": {"a": 1}}
+        assert _Server.seen == [("initialize", None), ("notifications/initialized", "s1"), ("tools/call", "s1"), ("tools/call", "s1")]
+    finally:
+        server.shutdown()
+
+
+def test_known_boards_list_their_postings():
+    sitemap, listing = boards.SitemapAdapter(), boards.ListingAdapter()
+    xml = '<urlset xmlns="x"><url><loc> https://p.example/szczegoly/praca/a,01000000-2f10-afe4-f1b5-08df23ba5ced?s=1 </loc></url><url><loc>https://p.example/other</loc></url></urlset>'
+    assert sitemap.parse_listing(xml, "") == [("01000000-2f10-afe4-f1b5-08df23ba5ced", "https://p.example/szczegoly/praca/a,01000000-2f10-afe4-f1b5-08df23ba5ced")]
+    html = '<a href="/job-offer/a?x=1">1</a><a href="/other">2</a><a href="/job-offer/b/#y">3</a><a href="https://o.example/job-offer/a">4</a>'
+    assert listing.parse_listing(html, "https://s.example/") == [("a", "https://o.example/job-offer/a"), ("b", "https://s.example/job-offer/b/")]
+    assert len(list(listing.listing_urls())) == 30 and {"theprotocol", "justjoinit"} <= set(adapters.ADAPTERS)
