@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside operators, so that keys and joins stay total; given back as null.
 NULL_ID = -(2**63)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,10 +37,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind: Spark deletes those of a plan when it has ended."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _own_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,17 +65,13 @@ def bucketed(df: DataFrame, name: str, n: int, by: str, deal: bool = True) -> Da
     spark = df.sparkSession
     table = f"sedimark_{name}_{uuid.uuid4().hex}"
     dealt = df.repartition(n, by).sortWithinPartitions(by) if deal else df
-    dealt.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
+    with _own_shuffles(spark):
+        dealt.write.format("parquet").option("compression", "zstd").option("path", new_path(spark, name)).bucketBy(n, by).sortBy(by).saveAsTable(table)
     held = spark.table(table)
     held._sedimark_table = table
     return held
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that are done: it does when the driver's JVM finds their plans unused."""
-    spark._jvm.java.lang.System.gc()
-
-
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
     """Deletes a table of written() or bucketed() that no later plan reads."""
     files = df.inputFiles()[:1]
