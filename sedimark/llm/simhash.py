@@ -40,7 +40,7 @@ SEED, WIDTH, MAX_BITS = 42, 3, 3
 SHINGLE, WORD_BITS, WIDE, WIDE_BITS = 5, 5, 64, 90
 #: Fingerprints of one index key that one task compares with each other.
 BLOCK = 2048
-#: Runs of one key of up to so many rows are compared for many keys at once, and of up to so many by all their pairs.
+#: Runs of one key of up to so many rows are compared for many keys at once, and of up to so many always by near pairs.
 FEW, SOME = 16, 512
 #: Shingles whose bits are counted at once.
 _CHUNK = 1 << 15
@@ -167,60 +167,55 @@ def _agree(wide: np.ndarray | None, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.bitwise_count(wide[i] ^ wide[j]).sum(1) <= WIDE_BITS
 
 
-def _reach(left: np.ndarray, now: int, fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[list, list, np.ndarray]:
-    """Links that join all that ``now`` reaches among ``left``, and what is left then: each one reached looks only at those not yet reached."""
-    found_a, found_b, queue = [], [], [now]
-    left = left[left != now]
-    while queue and len(left):
-        now = queue.pop()
+def _walk(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions) that join all linked fingerprints of a group: each one reached looks only at those not yet reached."""
+    left, found_a, found_b, queue = np.arange(len(fp)), [], [], []
+    while len(left):
+        if queue:
+            now = queue.pop()
+        else:
+            now, left = int(left[0]), left[1:]
         at = np.flatnonzero(linked(fp[now], fp[left], np.full(len(left), table), most))
-        at = at[_agree(wide, np.full(len(at), now), left[at])]
+        if len(at):
+            at = at[_agree(wide, np.full(len(at), now), left[at])]
         if len(at):
             found_a.append(np.full(len(at), now))
             found_b.append(left[at])
             queue += left[at].tolist()
             left = np.delete(left, at)
-    return found_a, found_b, left
-
-
-def _walk(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions) that join all linked fingerprints of a large group.
-
-    While fingerprints have many near ones on average, all that the densest one reaches is taken out at once; then the
-    pairs of the rest are few and compared one by one.
-    """
-    left, found_a, found_b = np.arange(len(fp)), [], []
-    while len(left):
-        own, pairs_a, pairs_b, count, best = fp[left], [], [], 0, (-1, 0)
-        for k in range(0, len(left), 128):
-            near = np.bitwise_count(own[k : k + 128, None] ^ own[None]) <= most
-            degree = near.sum(1)
-            best = max(best, (int(degree.max()), int(left[k + int(degree.argmax())])))
-            count += int(degree.sum())
-            if count > 32 * len(left):
-                break
-            i, j = np.nonzero(near)
-            later = j > i + k
-            pairs_a.append(left[i[later] + k])
-            pairs_b.append(left[j[later]])
-        if count > 32 * len(left):
-            more_a, more_b, rest = _reach(left, best[1], fp, wide, table, most)
-            found_a += more_a
-            found_b += more_b
-            left = rest
-            continue
-        a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-        ok = linked(fp[a], fp[b], np.full(len(a), table), most)
-        a, b = a[ok], b[ok]
-        ok = _agree(wide, a, b)
-        keep = _forest(a[ok], b[ok])
-        found_a.append(a[ok][keep])
-        found_b.append(b[ok][keep])
-        break
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
+def _near(fp: np.ndarray, bound: int, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All pairs (positions) within ``most`` bits, or None as soon as there are more than ``bound``."""
+    a, b, count = [], [], 0
+    for k in range(0, len(fp), 128):
+        i, j = np.nonzero(np.bitwise_count(fp[k : k + 128, None] ^ fp[None, k:]) <= most)
+        later = j > i
+        a.append(i[later] + k)
+        b.append(j[later] + k)
+        count += len(a[-1])
+        if count > bound:
+            return None
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _joined(fp: np.ndarray, wide: np.ndarray | None, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all linked fingerprints of a group: from the near pairs where these are few, else by a walk."""
+    n = len(fp)
+    pairs = _near(fp, n * SOME if n <= SOME else 64 * n, most)
+    if pairs is None:
+        return _walk(fp, wide, table, most)
+    a, b = pairs
+    ok = linked(fp[a], fp[b], np.full(len(a), table), most)
+    a, b = a[ok], b[ok]
+    ok = _agree(wide, a, b)
+    a, b = a[ok], b[ok]
+    keep = _forest(a, b)
+    return a[keep], b[keep]
+
+
 def _forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The positions of links that join two trees, taken in order."""
     top: dict[int, int] = {}
@@ -260,17 +255,7 @@ def _compare(key: np.ndarray, fp: np.ndarray, node: np.ndarray, wide: np.ndarray
         found.append((node[ok], node[ok + d]))
     for first, n in zip(cut[~small].tolist(), size[~small].tolist()):
         own = slice(first, first + n)
-        if n <= SOME:
-            a, b = np.triu_indices(n, 1)
-            ok = linked(fp[own][a], fp[own][b], np.full(len(a), table[first]), most)
-            a, b = a[ok], b[ok]
-            ok = _agree(wide, first + a, first + b)
-            a, b = a[ok], b[ok]
-            if len(a) >= n:
-                keep = _forest(a, b)
-                a, b = a[keep], b[keep]
-        else:
-            a, b = _walk(fp[own], None if wide is None else wide[own], int(table[first]), most)
+        a, b = _joined(fp[own], None if wide is None else wide[own], int(table[first]), most)
         found.append((node[own][a], node[own][b]))
     if not found:
         return node[:0], node[:0]

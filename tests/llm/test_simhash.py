@@ -104,6 +104,7 @@ def test_every_way_of_comparing_joins_what_all_pairs_join(monkeypatch):
     pick = np.random.default_rng(3)
     base = pick.integers(0, 2**63, 5).astype(np.uint64)
     i, j = np.triu_indices(300, 1)
+    real = simhash._near
     for flips in (1, 4):  # dense groups and sparse ones
         fp = base[pick.integers(0, 5, 300)]
         for _ in range(flips):
@@ -112,8 +113,8 @@ def test_every_way_of_comparing_joins_what_all_pairs_join(monkeypatch):
         for table in range(6):
             ok = simhash.linked(fp[i], fp[j], np.full(len(i), table), 5) & simhash._agree(wide, i, j)
             want = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(i[ok].tolist(), j[ok].tolist())): (min(x, y), max(x, y)) in p)
-            for some in (16, 512):  # by a walk, and by all pairs
-                monkeypatch.setattr(simhash, "SOME", some)
+            for near in (real, lambda *x: None):  # by near pairs where they are few, and by a walk
+                monkeypatch.setattr(simhash, "_near", near)
                 a, b = simhash._compare(np.full(300, table << 24), fp, np.arange(300), wide, 5)
                 got = slow_components([(k, k) for k in range(300)], lambda x, y, p=set(zip(a.tolist(), b.tolist())) | set(zip(b.tolist(), a.tolist())): (x, y) in p)
                 assert got == want and len(a) < 300
