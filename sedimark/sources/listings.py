@@ -49,17 +49,21 @@ def joined_url(base: Column, href: Column) -> Column:
     )
 
 
-def anchors(pages: DataFrame, base: str = "url", html: str = "html") -> DataFrame:
-    """(``base``, pos, href) of every <a href> of a page, by pattern; see details.py for the tolerant parser."""
+def anchors(pages: DataFrame, *base: str, html: str = "html") -> DataFrame:
+    """(``base`` or url, pos, href) of every <a href> of a page, by pattern; see details.py for the tolerant parser."""
     found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)"""), 1)
-    return pages.select(base, F.posexplode(found).alias("pos", "href"))
+    return pages.select(*(base or ("url",)), F.posexplode(found).alias("pos", "href"))
 
 
-def anchor_refs(pages: DataFrame, detail: str = ANCHOR_DETAIL, base: str = "url", html: str = "html") -> DataFrame:
-    """(``base``, source_posting_id, url): links to postings' pages; the id is the last path segment, last one wins."""
-    rows = anchors(pages, base, html).where(F.col("href").contains(detail))
+def anchor_refs(pages: DataFrame, detail: str = ANCHOR_DETAIL, base: str = "url", html: str = "html", key: str | None = None) -> DataFrame:
+    """(``key``, source_posting_id, posting_url): links to postings' pages; the id is the last path segment, of a page's equal ids the last wins.
+
+    A page is known by ``key``; without one by its URL, which then must not occur twice.
+    """
+    key = key or base
+    rows = anchors(pages, *dict.fromkeys((key, base)), html=html).where(F.col("href").contains(detail))
     rows = rows.withColumn("link", canonical_url(joined_url(F.col(base), F.col("href")))).withColumn("source_posting_id", last_segment(F.col("link")))
-    return last_wins(rows.where("source_posting_id <> ''"), [base, "source_posting_id"], ["pos"]).select(base, "source_posting_id", F.col("link").alias("posting_url"))
+    return last_wins(rows.where("source_posting_id <> ''"), [key, "source_posting_id"], ["pos"]).select(key, "source_posting_id", F.col("link").alias("posting_url"))
 
 
 def discover(refs: DataFrame, order: list[str], limit: int) -> DataFrame:

@@ -43,6 +43,12 @@ def test_listings(spark):
     assert [r.source_posting_id for r in listings.discover(refs, ["page", "pos"], 2).orderBy("page", "pos").collect()] == ["a", "b"]
 
 
+def test_pages_of_one_url_keep_their_own_links(spark):
+    rows = [(1, "https://s.example/l", '<a href="/job-offer/q?a=1"><a href="/job-offer/q?a=2">'), (2, "https://s.example/l", '<a href="/job-offer/q"><a href="/job-offer/r">'), (3, "https://s.example/l", "")]
+    got = listings.anchor_refs(spark.createDataFrame(rows, "page_id long, url string, html string"), key="page_id").collect()
+    assert sorted(map(tuple, got)) == [(k, i, f"https://s.example/job-offer/{i}") for k, i in ((1, "q"), (2, "q"), (2, "r"))]
+
+
 def test_api_payloads(spark):
     search = [
         {"offerId": "o1", "groupId": "g1", "title": " A  b ", "employer": "E"}, {"id": 7, "groupId": "g2", "title": "", "companyName": "N"}, {"groupId": "g3", "title": "t", "company": ""}, {"title": "t"},
