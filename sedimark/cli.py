@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sedimark import batch, schemas
 from sedimark.operators import enrichment, er, graph, ledger, orgs, quality, sinks, store
+from sedimark.operators.scratch import cut
 from sedimark.sources import api, boards, files
 
 
@@ -108,10 +109,11 @@ def er_eval(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.tables:
         return _pairs_of_tables(spark, args)
     postings = spark.read.parquet(args.postings)
-    pairs = er.scored_pairs(postings)
-    chosen = er.with_features(er.review_selection(pairs, args.limit_pairs), postings)
+    kinds = er.classes(postings)
+    counted = cut(er.levels(er.class_pairs(kinds)))
+    chosen = er.with_features(er.review_selection(er.leading_pairs(postings, args.limit_pairs, kinds, counted), args.limit_pairs), postings)
     sinks.write_corpus(chosen, args.out)
-    print(json.dumps(er.summary(pairs, chosen, postings).first().asDict()))
+    print(json.dumps(er.summary(counted, chosen, postings).first().asDict()))
     return 0
 
 

@@ -88,8 +88,9 @@ _FEATURES = (
 def pair_changes(state: Tables, now: Column, limit: int = 200) -> tuple[Tables, dict]:
     """New review pairs of this generator, and the counts of the pass."""
     postings = cut(state_postings(state))
-    pairs = er.scored_pairs(postings)
-    chosen = cut(er.with_features(er.review_selection(pairs, limit), postings))
+    kinds = er.classes(postings)
+    counted = cut(er.levels(er.class_pairs(kinds)))
+    chosen = cut(er.with_features(er.review_selection(er.leading_pairs(postings, limit, kinds, counted), limit), postings))
     own = _Pass(postings.sparkSession, state)
     rows = chosen.select(
         F.col("a_id").alias("posting_a_id"), F.col("b_id").alias("posting_b_id"), "stratum", F.to_json(F.struct(*_FEATURES)).alias("features_json"), F.to_json("evidence").alias("evidence_json"),
@@ -97,7 +98,7 @@ def pair_changes(state: Tables, now: Column, limit: int = 200) -> tuple[Tables,
     )
     keys = ["posting_a_id", "posting_b_id", "generator_version"]
     new = own.add("er_eval_pair", ledger.append_new(state["er_eval_pair"], rows, keys), [F.asc("rank")])
-    return own.changes, {"generator_version": er.GENERATOR_VERSION, "postings_considered": postings.count(), "candidate_pairs_generated": pairs.count(), "created_now": new.count()}
+    return own.changes, {"generator_version": er.GENERATOR_VERSION, "postings_considered": postings.count(), "candidate_pairs_generated": er.total_pairs(counted), "created_now": new.count()}
 
 
 def pair_corpus(state: Tables) -> DataFrame:
