@@ -57,6 +57,26 @@ def test_plain_h1_decodes_no_more_than_its_sql(spark, tmp_path):
     assert [t for _, t in got] == ["a &&amp", "key = &quot;1&quot; x\n&amp;", "", "", "", "", None]
 
 
+def test_pages_are_read_few_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist([{"k": k, "html": h} for k, h in enumerate(["a" * 50, None, "b" * 60, "c" * 500, "", *["d"] * 30])], pa.schema([("k", pa.int64()), ("html", pa.string())]))
+    monkeypatch.setattr(details, "PIECE_BYTES", 100)
+    monkeypatch.setattr(details, "PIECE_ROWS", 20)
+    got = list(details.pieces(batch, "html"))
+    assert [x.num_rows for x in got] == [2, 1, 1, 20, 11] and pa.Table.from_batches(got).to_pylist() == batch.to_pylist()
+    assert list(details.pieces(batch.slice(0, 0), "html")) == []
+
+
+def test_posting_pages_use_all_cores(spark, tmp_path):
+    from sedimark.plans import source_queries
+
+    rows = spark.range(2000).selectExpr("id p_partkey", "'n' p_name", "'Brand#1' p_brand", "'T' p_type", "1 p_size")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    sizes = source_queries.posting_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism and max(r["count"] for r in sizes) < 300
+
+
 def test_pages_of_one_url_keep_their_own_links(spark):
     rows = [(1, "https://s.example/l", '<a href="/job-offer/q?a=1"><a href="/job-offer/q?a=2">'), (2, "https://s.example/l", '<a href="/job-offer/q"><a href="/job-offer/r">'), (3, "https://s.example/l", "")]
     got = listings.anchor_refs(spark.createDataFrame(rows, "page_id long, url string, html string"), key="page_id").collect()
