@@ -62,8 +62,19 @@ def preview(text: Column, most: int = 500) -> Column:
     return F.left(text, F.lit(most))
 
 
-def append_new(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``new`` whose keys ``existing`` lacks, once each: what an insert that ignores conflicts adds."""
+#: Rows that a task of append_new() sorts and hashes where it is told how many there are.
+TASK_ROWS = 1_000_000
+
+
+def append_new(existing: DataFrame, new: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """The rows of ``new`` whose keys ``existing`` lacks, once each: what an insert that ignores conflicts adds.
+
+    ``rows``: about how many rows ``new`` has, where it can have many more than its input. There are then as many tasks
+    as keep each one's memory the same; Spark's setting is a fixed number of them.
+    """
+    if rows is not None:
+        n = max(int(new.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+        existing, new = existing.select(*keys).repartition(n, *keys), new.repartition(n, *keys)
     return new.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
 
 
